@@ -10,170 +10,197 @@ would need a whole order in one task, and no metric reads the number's value.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from bazaarframe.schema import TABLES
 from bazaarframe.tables import Tables
 
-LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Columns read from each test table; naming them spares a schema-inference job per read.
+_RAW = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "part": "p_partkey bigint, p_type string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double",
+}
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
 
 
-def _id(prefix: str, key: str | Column) -> Column:
-    return F.concat(F.lit(prefix), (F.col(key) if isinstance(key, str) else key).cast("string"))
+class _Source:
+    """Builds the model tables of one test-data folder."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
-def _state(nation: str) -> Column:
-    return F.concat(F.substr(F.lit(LETTERS), F.col(nation) + 1, F.lit(1)), F.lit("X"))
+    def raw(self, name: str) -> DataFrame:
+        return self.spark.read.schema(_RAW[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @staticmethod
+    def shape(df: DataFrame, name: str, **columns: str) -> DataFrame:
+        """Project to the declared columns and types; columns not given become typed NULLs."""
+        return df.selectExpr(
+            *[f"cast({columns.get(c.name, 'null')} as {c.type.simpleString()}) as {c.name}" for c in TABLES[name].columns]
+        )
 
-def _money(value: Column) -> Column:
-    return value.cast("decimal(12,2)")
+    def customers(self) -> DataFrame:
+        orders = self.raw("orders").where("o_orderkey % 500 <> 499").select("o_orderkey", "o_custkey")
+        customer = self.raw("customer").withColumnRenamed("c_custkey", "o_custkey")
+        return self.shape(
+            orders.join(customer, "o_custkey"),
+            "customers",
+            customer_id="concat('c', o_orderkey)",
+            customer_unique_id="if(o_orderkey % 10 < 9, concat('o', o_orderkey), concat('r', o_custkey))",
+            customer_city="lower(c_mktsegment)",
+            customer_state=f"if(c_nationkey = 24, null, concat(substr({_LETTERS}, c_nationkey + 1, 1), 'X'))",
+        )
 
+    def product_category_translation(self) -> DataFrame:
+        return self.shape(
+            self.raw("part").where("p_type <> 'PROMO'").select("p_type").distinct(),
+            "product_category_translation",
+            product_category_name="lower(p_type)",
+            product_category_name_english="concat('en_', lower(p_type))",
+        )
 
-def _shape(name: str, df: DataFrame) -> DataFrame:
-    """Cast to the declared types; columns the test data lacks become typed NULLs."""
-    present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(c.name) if c.name in present else F.lit(None)).cast(c.type).alias(c.name)
-            for c in TABLES[name].columns
-        ]
-    )
+    def products(self) -> DataFrame:
+        return self.shape(
+            self.raw("part"),
+            "products",
+            product_id="concat('p', p_partkey)",
+            product_category_name="if(p_partkey % 50 = 0, null, lower(p_type))",
+        )
 
+    def sellers(self) -> DataFrame:
+        return self.shape(
+            self.raw("supplier"),
+            "sellers",
+            seller_id="concat('s', s_suppkey)",
+            seller_city="concat('city_', s_suppkey % 7)",
+            seller_state=f"concat(substr({_LETTERS}, s_nationkey + 1, 1), 'X')",
+        )
 
-def load_model(spark: SparkSession, sf_dir: str) -> Tables:
-    """The clean model; the only broken references are the orders without customer."""
+    def orders(self) -> DataFrame:
+        def later(hours: str) -> str:
+            return f"o_orderdate + make_dt_interval(0, cast({hours} as int))"
+
+        delivery = later("(o_orderkey * 7 % 30) * 24 + o_orderkey * 5 % 24 + 24")
+        return self.shape(
+            self.raw("orders"),
+            "orders",
+            order_id="concat('o', o_orderkey)",
+            customer_id="concat('c', o_orderkey)",
+            order_status="case o_orderkey % 20 when 0 then 'canceled' when 1 then 'unavailable'"
+            " when 2 then 'shipped' else 'delivered' end",
+            order_purchase_timestamp=f"if(o_orderkey % 301 = 300, null, {later('o_orderkey % 24')})",
+            order_delivered_customer_date="if(o_orderkey % 20 in (1, 2) or o_orderkey % 40 = 20, null, "
+            f"{delivery})",
+            order_estimated_delivery_date="if(o_orderkey % 97 = 96, null, "
+            f"{later('24 * (10 + o_orderkey % 11)')})",
+        )
 
-    def raw(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    def order_items(self) -> DataFrame:
+        return self.shape(
+            self.raw("lineitem"),
+            "order_items",
+            order_id="concat('o', l_orderkey)",
+            order_item_id="l_linenumber",
+            product_id="concat('p', l_partkey)",
+            seller_id="concat('s', l_suppkey)",
+            price="l_extendedprice",
+            freight_value="l_quantity + 5.25D",
+        )
 
-    key = F.col("o_orderkey")
-    orders = raw("orders")
+    def order_payments(self) -> DataFrame:
+        first = self.shape(
+            self.raw("orders").where("o_orderkey % 200 <> 0"),
+            "order_payments",
+            order_id="concat('o', o_orderkey)",
+            payment_sequential="1",
+            payment_value="o_totalprice",
+        )
+        second = self.shape(
+            self.raw("orders").where("o_orderkey % 15 = 0"),
+            "order_payments",
+            order_id="concat('o', o_orderkey)",
+            payment_sequential="2",
+            payment_value="10",
+        )
+        return first.unionByName(second)
+
+    def order_reviews(self) -> DataFrame:
+        first = self.shape(
+            self.raw("orders").where("o_orderkey % 8 <> 0"),
+            "order_reviews",
+            review_id="concat('r1_', o_orderkey)",
+            order_id="concat('o', o_orderkey)",
+            review_score="o_orderkey % 5 + 1",
+        )
+        second = self.shape(
+            self.raw("orders").where("o_orderkey % 50 = 3"),
+            "order_reviews",
+            review_id="concat('r2_', o_orderkey)",
+            order_id="concat('o', o_orderkey)",
+            review_score="5",
+        )
+        return first.unionByName(second)
+
+    # Variants with broken references, bad values, missing keys and untidy text.
+
+    def untidy_customers(self) -> DataFrame:
+        return self.shape(
+            self.customers(),
+            "customers",
+            customer_id="customer_id",
+            customer_unique_id="customer_unique_id",
+            customer_city="if(length(customer_id) % 2 = 0, concat(' ', customer_city, '\\t'), customer_city)",
+            customer_state="lower(customer_state)",
+        )
 
-    def hours_later(hours: Column) -> Column:
-        return F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(hours=hours.cast("int"))
+    def dirty_items(self) -> DataFrame:
+        return self.shape(
+            self.raw("lineitem"),
+            "order_items",
+            order_id="if(l_orderkey % 503 = 7, 'o10000000', concat('o', l_orderkey))",
+            order_item_id="if(l_orderkey % 899 = 11, null, l_linenumber)",
+            product_id="if(l_partkey % 211 = 3, 'p10000000', concat('p', l_partkey))",
+            seller_id="if(l_suppkey % 53 = 9, 's10000000', concat('s', l_suppkey))",
+            price="if(l_orderkey % 601 = 2, -1D, l_extendedprice)",
+            freight_value="if(l_orderkey % 701 = 3, -1D, l_quantity + 5.25D)",
+        )
 
-    customers = (
-        orders.where(key % 500 != 499)
-        .select("o_orderkey", "o_custkey")
-        .join(raw("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            _id("c", key).alias("customer_id"),
-            F.when(key % 10 < 9, _id("o", key)).otherwise(_id("r", "o_custkey")).alias("customer_unique_id"),
-            F.lower("c_mktsegment").alias("customer_city"),
-            F.when(F.col("c_nationkey") != 24, _state("c_nationkey")).alias("customer_state"),
+    def dirty_payments(self) -> DataFrame:
+        return self.shape(
+            self.raw("orders"),
+            "order_payments",
+            order_id="concat('o', if(o_orderkey % 409 = 6, o_orderkey + 10000000, o_orderkey))",
+            payment_sequential="1",
+            payment_value="if(o_orderkey % 307 = 4, -1D, o_totalprice)",
         )
-    )
-    delivery_hours = (key * 7 % 30) * 24 + key * 5 % 24 + 24
-    undelivered = (key % 20).isin(1, 2) | (key % 40 == 20)
-    placed = orders.select(
-        _id("o", key).alias("order_id"),
-        _id("c", key).alias("customer_id"),
-        F.when(key % 20 == 0, "canceled")
-        .when(key % 20 == 1, "unavailable")
-        .when(key % 20 == 2, "shipped")
-        .otherwise("delivered")
-        .alias("order_status"),
-        F.when(key % 301 != 300, hours_later(key % 24)).alias("order_purchase_timestamp"),
-        F.when(~undelivered, hours_later(delivery_hours)).alias("order_delivered_customer_date"),
-        F.when(key % 97 != 96, hours_later(24 * (10 + key % 11))).alias("order_estimated_delivery_date"),
-    )
-    products = raw("part").select(
-        _id("p", "p_partkey").alias("product_id"),
-        F.when(F.col("p_partkey") % 50 != 0, F.lower("p_type")).alias("product_category_name"),
-    )
-    translation = (
-        raw("part")
-        .where(F.col("p_type") != "PROMO")
-        .select(F.lower("p_type").alias("product_category_name"))
-        .distinct()
-        .withColumn("product_category_name_english", _id("en_", "product_category_name"))
-    )
-    sellers = raw("supplier").select(
-        _id("s", "s_suppkey").alias("seller_id"),
-        _id("city_", F.col("s_suppkey") % 7).alias("seller_city"),
-        _state("s_nationkey").alias("seller_state"),
-    )
-    items = raw("lineitem").select(
-        _id("o", "l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        _id("p", "l_partkey").alias("product_id"),
-        _id("s", "l_suppkey").alias("seller_id"),
-        _money(F.col("l_extendedprice")).alias("price"),
-        _money(F.col("l_quantity") + 5.25).alias("freight_value"),
-    )
-    first_payment = orders.where(key % 200 != 0).select(
-        _id("o", key).alias("order_id"),
-        F.lit(1).alias("payment_sequential"),
-        _money(F.col("o_totalprice")).alias("payment_value"),
-    )
-    second_payment = orders.where(key % 15 == 0).select(
-        _id("o", key).alias("order_id"),
-        F.lit(2).alias("payment_sequential"),
-        _money(F.lit(10)).alias("payment_value"),
-    )
-    first_review = orders.where(key % 8 != 0).select(
-        _id("r1_", key).alias("review_id"),
-        _id("o", key).alias("order_id"),
-        (key % 5 + 1).cast("int").alias("review_score"),
-    )
-    second_review = orders.where(key % 50 == 3).select(
-        _id("r2_", key).alias("review_id"),
-        _id("o", key).alias("order_id"),
-        F.lit(5).alias("review_score"),
-    )
-    frames = {
-        "customers": customers,
-        "product_category_translation": translation,
-        "products": products,
-        "sellers": sellers,
-        "orders": placed,
-        "order_items": items,
-        "order_payments": first_payment.unionByName(second_payment),
-        "order_reviews": first_review.unionByName(second_review),
-    }
-    return Tables(**{name: _shape(name, df) for name, df in frames.items()})
+
+    def dirty_reviews(self) -> DataFrame:
+        return self.shape(
+            self.raw("orders").where("o_orderkey % 8 <> 0"),
+            "order_reviews",
+            review_id="if(o_orderkey % 997 = 5, null, concat('r1_', o_orderkey))",
+            order_id="concat('o', if(o_orderkey % 401 = 5, o_orderkey + 10000000, o_orderkey))",
+            review_score="case o_orderkey % 211 when 0 then 0 when 1 then 6 when 2 then null"
+            " else o_orderkey % 5 + 1 end",
+        )
+
+
+def load_model(spark: SparkSession, sf_dir: str) -> Tables:
+    """The clean model; the only broken references are the orders without customer."""
+    source = _Source(spark, sf_dir)
+    return Tables(**{name: getattr(source, name) for name in TABLES})
 
 
 def load_dirty_model(spark: SparkSession, sf_dir: str) -> Tables:
     """The model with broken references, bad values, missing keys and untidy text."""
-    clean = load_model(spark, sf_dir)
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    key, line_key = F.col("o_orderkey"), F.col("l_orderkey")
-
-    reviews = orders.where(key % 8 != 0).select(
-        F.when(key % 997 != 5, _id("r1_", key)).alias("review_id"),
-        _id("o", F.when(key % 401 == 5, key + 10_000_000).otherwise(key)).alias("order_id"),
-        F.when(key % 211 == 0, 0)
-        .when(key % 211 == 1, 6)
-        .when(key % 211 != 2, key % 5 + 1)
-        .cast("int")
-        .alias("review_score"),
-    )
-    payments = orders.select(
-        _id("o", F.when(key % 409 == 6, key + 10_000_000).otherwise(key)).alias("order_id"),
-        F.lit(1).alias("payment_sequential"),
-        _money(F.when(key % 307 == 4, -1.0).otherwise(F.col("o_totalprice"))).alias("payment_value"),
-    )
-    items = lineitem.select(
-        F.when(line_key % 503 == 7, "o10000000").otherwise(_id("o", line_key)).alias("order_id"),
-        F.when(line_key % 899 != 11, F.col("l_linenumber")).alias("order_item_id"),
-        F.when(F.col("l_partkey") % 211 == 3, "p10000000").otherwise(_id("p", "l_partkey")).alias("product_id"),
-        F.when(F.col("l_suppkey") % 53 == 9, "s10000000").otherwise(_id("s", "l_suppkey")).alias("seller_id"),
-        _money(F.when(line_key % 601 == 2, -1.0).otherwise(F.col("l_extendedprice"))).alias("price"),
-        _money(F.when(line_key % 701 == 3, -1.0).otherwise(F.col("l_quantity") + 5.25)).alias("freight_value"),
-    )
-    untidy_city = F.when(
-        F.length("customer_id") % 2 == 0, F.concat(F.lit(" "), "customer_city", F.lit("\t"))
-    ).otherwise(F.col("customer_city"))
-    customers = clean.customers.withColumns(
-        {"customer_city": untidy_city, "customer_state": F.lower("customer_state")}
-    )
-    return clean.with_tables(
-        customers=customers,
-        order_items=_shape("order_items", items),
-        order_payments=_shape("order_payments", payments),
-        order_reviews=_shape("order_reviews", reviews),
+    source = _Source(spark, sf_dir)
+    return load_model(spark, sf_dir).with_tables(
+        customers=source.untidy_customers,
+        order_items=source.dirty_items,
+        order_payments=source.dirty_payments,
+        order_reviews=source.dirty_reviews,
     )

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from bazaarframe.schema import TABLES
+
 
-@dataclass(frozen=True)
 class Tables:
+    """The model tables as attributes. A table given as a function is opened on first use, so a
+    query touches no table it does not read."""
+
     customers: DataFrame
     product_category_translation: DataFrame
     products: DataFrame
@@ -18,8 +22,21 @@ class Tables:
     order_payments: DataFrame
     order_reviews: DataFrame
 
+    def __init__(self, **sources: DataFrame | Callable[[], DataFrame]):
+        if set(sources) != set(TABLES):
+            raise ValueError(f"expected the tables {sorted(TABLES)}, got {sorted(sources)}")
+        self._sources = sources
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._sources:
+            raise AttributeError(name)
+        source = self._sources[name]
+        df = source() if callable(source) else source
+        setattr(self, name, df)
+        return df
+
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in TABLES}
 
-    def with_tables(self, **changed: DataFrame) -> Tables:
-        return replace(self, **changed)
+    def with_tables(self, **changed: DataFrame | Callable[[], DataFrame]) -> Tables:
+        return Tables(**{**self._sources, **changed})
