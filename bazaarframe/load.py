@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from bazaarframe.operators.checks import check_columns, require_valid
@@ -17,26 +16,29 @@ from bazaarframe.sources.snapshot import publish_snapshot, replace_table
 CUSTOMER_FILE_COLUMNS = ("customer_zip_code_prefix",)
 
 
-def _typed(text: Column, kind: T.DataType) -> Column:
-    """Typed value of a text, NULL if it does not convert."""
+def _typed(name: str, kind: T.DataType) -> str:
+    """SQL for the typed value of a text column, NULL if it does not convert."""
     if isinstance(kind, T.IntegerType):
         # Through a decimal: "500.0" and "5e2" are whole numbers too, and halves round up.
-        return F.round(text.try_cast("decimal(38,10)"), 0).try_cast(kind)
-    return text.try_cast(kind)
+        return f"try_cast(round(try_cast({name} as decimal(38,10)), 0) as int)"
+    return f"try_cast({name} as {kind.simpleString()})"
 
 
 def coerce(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Cast text columns to the declared types; a value that does not convert fails the job."""
     columns = []
     for c in spec.columns:
-        text, typed = F.col(c.name), _typed(F.col(c.name), c.type)
+        kind = c.type.simpleString()
         if isinstance(c.type, T.StringType):
-            columns.append(text.cast("string").alias(c.name))
+            columns.append(f"cast({c.name} as string) as {c.name}")
             continue
-        message = F.concat(F.lit(f"{spec.name}.{c.name}: not a {c.type.simpleString()}: "), text.cast("string"))
-        broken = text.isNotNull() & typed.isNull()
-        columns.append(F.when(broken, F.raise_error(message).cast(c.type)).otherwise(typed).alias(c.name))
-    return df.select(*columns)
+        typed = _typed(c.name, c.type)
+        message = f"concat('{spec.name}.{c.name}: not a {kind}: ', {c.name})"
+        columns.append(
+            f"case when {c.name} is not null and {typed} is null then cast(raise_error({message}) as {kind})"
+            f" else {typed} end as {c.name}"
+        )
+    return df.selectExpr(*columns)
 
 
 def prepare(df: DataFrame, spec: TableSpec, also: tuple[str, ...] = ()) -> DataFrame:

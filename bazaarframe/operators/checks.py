@@ -7,9 +7,10 @@ sides of the anti join are unique on the key.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,11 +24,9 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, name: str) -> DataFrame:
     """Number of child rows whose key has no parent; NULL keys count."""
-    keys = child.groupBy(F.col(key).alias("child_key")).agg(F.count("*").alias("rows"))
-    known = parent.select(F.col(parent_key).alias("parent_key"))
-    return keys.join(known, F.col("child_key") == F.col("parent_key"), "left_anti").agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias(name)
-    )
+    keys = child.groupBy(F.col(key).alias("parent_key")).agg(F.count("*").alias("rows"))
+    known = parent.selectExpr(f"{parent_key} as parent_key")
+    return keys.join(known, "parent_key", "left_anti").selectExpr(f"coalesce(sum(rows), 0L) as {name}")
 
 
 def _reference(t: Tables, child: str, key: str, name: str) -> DataFrame:
@@ -96,18 +95,18 @@ def check_columns(df: DataFrame, spec: TableSpec, also: tuple[str, ...] = ()) ->
 
 def pk_nulls(df: DataFrame, spec: TableSpec) -> DataFrame:
     """One row (table_name, null_key_rows): rows with NULL in any key column."""
-    any_null = reduce(Column.__or__, [F.col(c).isNull() for c in spec.primary_key])
-    return df.agg(F.count_if(any_null).alias("null_key_rows")).select(
-        F.lit(spec.name).alias("table_name"), "null_key_rows"
-    )
+    any_null = " or ".join(f"{c} is null" for c in spec.primary_key)
+    return df.selectExpr(f"'{spec.name}' as table_name", f"count_if({any_null}) as null_key_rows")
 
 
 def pk_duplicates(df: DataFrame, spec: TableSpec) -> DataFrame:
     """One row (table_name, duplicated_keys, surplus_rows); NULL equals NULL."""
-    repeated = df.groupBy(*spec.primary_key).agg(F.count("*").alias("n")).where("n > 1")
-    return repeated.agg(
-        F.count("*").alias("duplicated_keys"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus_rows")
-    ).select(F.lit(spec.name).alias("table_name"), "duplicated_keys", "surplus_rows")
+    copies = df.groupBy(*spec.primary_key).agg(F.count("*").alias("n"))
+    return copies.selectExpr(
+        f"'{spec.name}' as table_name",
+        "count_if(n > 1) as duplicated_keys",
+        "coalesce(sum(n - 1), 0L) as surplus_rows",
+    )
 
 
 def all_pk_nulls(t: Tables) -> DataFrame:
@@ -126,50 +125,41 @@ def require_valid(df: DataFrame, spec: TableSpec) -> None:
         raise ValueError(f"{spec.name}: duplicated primary key detected")
 
 
-def _row_rules(spec: TableSpec) -> list[tuple[str, Column]]:
-    """(rule, condition that marks a violating row) pairs that need only the row itself."""
-    rules = [(f"not null {c}", F.col(c).isNull()) for c in spec.required_columns]
+def _row_rules(spec: TableSpec) -> list[tuple[str, str]]:
+    """(rule, SQL condition that marks a violating row) pairs that need only the row itself."""
+    rules = [(f"not null {c}", f"{c} is null") for c in spec.required_columns]
     for c in spec.columns:
         if c.max_length is not None:
-            rules.append((f"length {c.name}", F.length(c.name) > c.max_length))
+            rules.append((f"length {c.name}", f"length({c.name}) > {c.max_length}"))
         if isinstance(c.type, T.DecimalType):
             limit = 10 ** (c.type.precision - c.type.scale)
-            rules.append((f"range {c.name}", F.abs(F.round(c.name, c.type.scale)) >= limit))
+            rules.append((f"range {c.name}", f"abs(round({c.name}, {c.type.scale})) >= {limit}"))
     for column, low, high in spec.ranges:
-        rules.append((f"check {column}", ~F.col(column).between(low, high)))
+        rules.append((f"check {column}", f"{column} not between {low} and {high}"))
     return rules
 
 
 def row_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
     """(table_name, rule, violations) for all row rules of a table, counted in one scan."""
     rules = _row_rules(spec)
-    counts = df.agg(*[F.count_if(bad).alias(f"r{i}") for i, (_, bad) in enumerate(rules)])
-    rows = [
-        F.struct(
-            F.lit(spec.name).alias("table_name"), F.lit(rule).alias("rule"), F.col(f"r{i}").alias("violations")
-        )
-        for i, (rule, _) in enumerate(rules)
-    ]
-    return counts.select(F.inline(F.array(*rows)))
+    counts = df.selectExpr(*[f"count_if({bad}) as r{i}" for i, (_, bad) in enumerate(rules)])
+    rows = ", ".join(f"'{spec.name}', '{rule}', r{i}" for i, (rule, _) in enumerate(rules))
+    return counts.selectExpr(f"stack({len(rules)}, {rows}) as (table_name, rule, violations)")
 
 
 def key_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
-    return pk_duplicates(df, spec).select(
-        "table_name", F.lit("primary key").alias("rule"), F.col("surplus_rows").alias("violations")
-    )
+    """Surplus rows of the primary key in the form of the other rules."""
+    return pk_duplicates(df, spec).selectExpr("table_name", "'primary key' as rule", "surplus_rows as violations")
 
 
-def reference_violations(tables: dict[str, DataFrame], spec: TableSpec) -> DataFrame | None:
+def reference_violations(tables: dict[str, DataFrame], spec: TableSpec) -> list[DataFrame]:
     """Broken references of one table. NULL keys are left to the NOT NULL rules."""
     found = []
     for fk in spec.foreign_keys:
-        child = tables[spec.name].where(F.col(fk.column).isNotNull())
-        found.append(
-            orphans(child, fk.column, tables[fk.parent], fk.parent_column, "violations").select(
-                F.lit(spec.name).alias("table_name"), F.lit(f"reference {fk.column}").alias("rule"), "violations"
-            )
-        )
-    return union_all(found) if found else None
+        child = tables[spec.name].where(f"{fk.column} is not null")
+        broken = orphans(child, fk.column, tables[fk.parent], fk.parent_column, "violations")
+        found.append(broken.selectExpr(f"'{spec.name}' as table_name", f"'reference {fk.column}' as rule", "violations"))
+    return found
 
 
 def constraint_violations(tables: Tables | dict[str, DataFrame], names: list[str] | None = None) -> DataFrame:
@@ -184,7 +174,6 @@ def constraint_violations(tables: Tables | dict[str, DataFrame], names: list[str
     for name, spec in TABLES.items():
         if name in wanted:
             found += [row_violations(frames[name], spec), key_violations(frames[name], spec)]
-        touched = [fk for fk in spec.foreign_keys if name in wanted or fk.parent in wanted]
-        if touched:
-            found.append(reference_violations(frames, TableSpec(name, (), (), tuple(touched))))
+        touched = tuple(fk for fk in spec.foreign_keys if name in wanted or fk.parent in wanted)
+        found += reference_violations(frames, replace(spec, foreign_keys=touched))
     return union_all(found)

@@ -78,11 +78,12 @@ class CsvScan:
         """All records as text columns named by the header, missing-value words as NULL."""
         frames = []
         if self.plain_files:
-            frames.append(_read_plain(self.spark, self.plain_files))
+            frames.append(_read_plain(self.spark, self.plain_files, self.columns))
         if self.joined_files:
             frames.append(_parse(_join_records(self), self.columns))
         df = reduce(DataFrame.unionByName, frames)
-        return df.select(*[F.when(~_name(c).isin(*NULL_WORDS), _name(c)).alias(c) for c in df.columns])
+        words = ", ".join(f"'{word}'" for word in NULL_WORDS)
+        return df.selectExpr(*[f"if({c} in ({words}), null, {c}) as {c}" for c in map(_quoted, df.columns)])
 
     def count(self) -> int:
         """Number of source records. Plain files were already counted, without the CSV parser."""
@@ -90,8 +91,8 @@ class CsvScan:
         return self.plain_rows + joined
 
 
-def _name(column: str):
-    return F.col("`" + column.replace("`", "``") + "`")
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -100,9 +101,15 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def _read_plain(spark: SparkSession, paths: list[str]) -> DataFrame:
-    # enforceSchema=False compares every file's header with the first one instead of trusting order.
-    return spark.read.options(header=True, enforceSchema=False, **_CSV_OPTIONS).csv(paths)
+def _text_schema(columns: list[str]) -> str:
+    return ", ".join(f"{_quoted(c)} string" for c in columns)
+
+
+def _read_plain(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+    # enforceSchema=False compares every file's header with the columns instead of trusting order.
+    return (
+        spark.read.schema(_text_schema(columns)).options(header=True, enforceSchema=False, **_CSV_OPTIONS).csv(paths)
+    )
 
 
 def scan_csv(spark: SparkSession, path: str) -> CsvScan:
@@ -277,9 +284,7 @@ def _join_records(scan: CsvScan) -> DataFrame:
 
 
 def _parse(records: DataFrame, columns: list[str]) -> DataFrame:
-    quoted = ["`" + c.replace("`", "``") + "`" for c in columns]
-    schema = ", ".join(f"{c} string" for c in quoted)
-    return records.select(F.from_csv("record", schema, _CSV_OPTIONS).alias("r")).select(*[f"r.{c}" for c in quoted])
+    return records.select(F.from_csv("record", _text_schema(columns), _CSV_OPTIONS).alias("r")).select("r.*")
 
 
 def find_csv(spark: SparkSession, raw_dir: str, spec: TableSpec, names: dict[str, str] | None = None) -> str:

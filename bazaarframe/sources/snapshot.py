@@ -12,7 +12,6 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from bazaarframe.operators.checks import constraint_violations, union_all
 from bazaarframe.schema import TABLES
@@ -57,7 +56,7 @@ def row_counts(tables: Tables | dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) of each table; Parquet answers it from file footers."""
     frames = tables.as_dict() if isinstance(tables, Tables) else tables
     return union_all(
-        [df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in frames.items()]
+        [df.selectExpr(f"'{name}' as table_name", "count(*) as row_count") for name, df in frames.items()]
     )
 
 

@@ -57,15 +57,18 @@ RAW = {
 }
 
 
-@pytest.fixture
-def raw(tmp_path):
-    folder = tmp_path / "raw"
+def _write_raw(folder):
     folder.mkdir()
     for name, lines in RAW.items():
         (folder / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
     return folder
 
 
+@pytest.fixture
+def raw(tmp_path):
+    return _write_raw(tmp_path / "raw")
+
+
 def _change(folder, name, old, new):
     path = folder / name
     text = path.read_text(encoding="utf-8")
@@ -107,33 +110,80 @@ def test_full_load(spark, raw, tmp_path):
     assert reports.executive_kpis(t).first()["gmv"] == Decimal("158.90")
 
 
+@pytest.fixture(scope="module")
+def published(spark, tmp_path_factory):
+    """A store that holds one good snapshot."""
+    folder = tmp_path_factory.mktemp("published")
+    _write_raw(folder / "raw")
+    load.run_load(spark, str(folder / "raw"), str(folder / "store"))
+    return str(folder / "store")
+
+
+@pytest.mark.parametrize(
+    "changes, messages",
+    [
+        ([("customers.csv", "customer_state", "state")], ["missing columns"]),
+        (
+            [
+                ("customers.csv", "c3,u2", ",u2"),
+                ("customers.csv", "\tsp ", "spx"),
+                ("shop_orders_dataset.csv", "o2,c2", "o2,c7"),
+                ("shop_orders_dataset.csv", "shipped,", "NULL,"),
+                ("shop_order_items_dataset.csv", "o1,2,", "o1,1,"),
+                ("shop_order_reviews_dataset.csv", "r2,o2,5", "r2,o2,6"),
+            ],
+            [
+                "customers: not null customer_id .1 rows",
+                "customers: length customer_state .1 rows",
+                "orders: reference customer_id .1 rows",
+                "orders: not null order_status .1 rows",
+                "order_items: primary key .1 rows",
+                "order_reviews: check review_score .1 rows",
+            ],
+        ),
+        ([("shop_order_items_dataset.csv", "58.90", "abc")], ["order_items.price: not a decimal.12,2.: abc"]),
+        ([("shop_order_reviews_dataset.csv", 'last",', "last,")], ["inside a quoted field"]),
+        ([("shop_order_payments_dataset.csv", ",3,172.69", "")], ["(?i)malformed"]),
+    ],
+)
+def test_a_broken_file_leaves_the_old_snapshot_current(spark, raw, published, changes, messages):
+    before = snapshot.current_paths(spark, published)
+    for change in changes:
+        _change(raw, *change)
+    with pytest.raises(Exception) as error:
+        load.run_load(spark, str(raw), published)
+    for message in messages:
+        error.match(message)
+    assert snapshot.current_paths(spark, published) == before
+    assert snapshot.open_snapshot(spark, published).customers.count() == 3
+
+
 @pytest.mark.parametrize(
-    "name, old, new, message",
+    "name, column, text, value",
     [
-        ("customers.csv", "customer_state", "state", "missing columns"),
-        ("customers.csv", "c3,u2", ",u2", "not null customer_id"),
-        ("customers.csv", "c3,u2", "c1,u2", "primary key"),
-        ("customers.csv", "\tsp ", "spx", "length customer_state"),
-        ("shop_orders_dataset.csv", "o2,c2", "o2,c7", "reference customer_id"),
-        ("shop_orders_dataset.csv", "shipped,", "NULL,", "not null order_status"),
-        ("shop_order_items_dataset.csv", "58.90", "abc", "order_items.price"),
-        ("shop_order_items_dataset.csv", "58.90", "12345678901.00", "order_items.price"),
-        ("shop_order_items_dataset.csv", "o1,2,", "o1,two,", "order_items.order_item_id"),
-        ("shop_orders_dataset.csv", "2020-02-10 10:00:00", "2020-02-30 10:00:00", "order_purchase_timestamp"),
-        ("shop_order_reviews_dataset.csv", "r2,o2,5", "r2,o2,6", "check review_score"),
-        ("shop_order_reviews_dataset.csv", 'last",', "last,", "inside a quoted field"),
-        ("shop_order_payments_dataset.csv", ",3,172.69", "", ""),
+        ("order_items", "order_item_id", "7", 7),
+        ("order_items", "order_item_id", "7.0", 7),
+        ("order_items", "order_item_id", "7.5", 8),
+        ("order_items", "order_item_id", "two", None),
+        ("order_items", "order_item_id", "3000000000", None),
+        ("order_items", "price", "58.905", Decimal("58.91")),
+        ("order_items", "price", "12345678901.00", None),
+        ("orders", "order_approved_at", "2020-02-29 10:00:00", datetime(2020, 2, 29, 10)),
+        ("orders", "order_approved_at", "2020-02-30 10:00:00", None),
     ],
 )
-def test_a_broken_file_leaves_the_old_snapshot_current(spark, raw, tmp_path, name, old, new, message):
-    root = str(tmp_path / "store")
-    load.run_load(spark, str(raw), root)
-    before = snapshot.current_paths(spark, root)
-    _change(raw, name, old, new)
-    with pytest.raises(Exception, match=message):
-        load.run_load(spark, str(raw), root)
-    assert snapshot.current_paths(spark, root) == before
-    assert snapshot.open_snapshot(spark, root).customers.count() == 3
+def test_coerce_converts_or_fails(spark, name, column, text, value):
+    spec = TABLES[name]
+    df = spark.createDataFrame(
+        [tuple(text if c == column else None for c in spec.column_names)], ", ".join(f"{c} string" for c in spec.column_names)
+    )
+    typed = load.coerce(df, spec)
+    assert typed.schema == spec.struct
+    if value is not None:
+        assert typed.first()[column] == value
+        return
+    with pytest.raises(Exception, match=f"{name}.{column}: not a"):
+        typed.collect()
 
 
 def test_missing_files(spark, raw, tmp_path):
