@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from bazaarframe.operators.checks import check_columns, require_valid
 from bazaarframe.operators.clean import clean_text_columns, project_to_spec
 from bazaarframe.schema import TABLES, TableSpec
-from bazaarframe.session import tune
+from bazaarframe.session import size_for, tune
 from bazaarframe.sources.csv_source import scan_csv_table
 from bazaarframe.sources.snapshot import publish_snapshot, replace_table
 
@@ -56,7 +56,7 @@ def run_load(
     value rules are checked on the written Parquet, which is far cheaper to scan than the text, and
     before the snapshot becomes current.
     """
-    tune(spark)
+    size_for(tune(spark), raw_dir)
     scans = {name: scan_csv_table(spark, raw_dir, spec, names) for name, spec in TABLES.items()}
     prepared = {name: prepare(scan.frame(), TABLES[name]) for name, scan in scans.items()}
     expected = {name: scan.count() for name, scan in scans.items()}

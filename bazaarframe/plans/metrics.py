@@ -4,9 +4,9 @@ Shared choices:
 
 * Items, payments and reviews are reduced to one row per order before any join, so an order with
   many of them is combined map-side and never fans out.
-* Nothing carries a broadcast hint. Spark compares the measured size of a side with
-  ``spark.sql.autoBroadcastJoinThreshold``, and adaptive execution splits an oversized partition of
-  a sort-merge join, which is what a hot customer or product becomes.
+* Nothing carries a broadcast hint: Spark compares the measured size of a side with
+  ``spark.sql.autoBroadcastJoinThreshold``. Beyond it, ``spread_join`` keeps a hot customer, order
+  or product from ending up in one task.
 * A distinct count over one column runs as two hash aggregations, first by (group, value), so a
   group that holds most of the rows is still spread over all tasks.
 """
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from bazaarframe.functions.exact import duration_days, exact_avg, mean_score
 from bazaarframe.functions.predicates import active_orders
+from bazaarframe.operators.joins import spread_join
 from bazaarframe.tables import Tables
 
 
@@ -37,7 +38,7 @@ def order_metrics(t: Tables) -> DataFrame:
 
     # Customers first: the exchange on order_id that follows lets adaptive execution split a hot
     # customer_id, and all three left joins then reuse that one partitioning.
-    placed = t.orders.join(t.customers, "customer_id")
+    placed = spread_join(t.orders, t.customers, "customer_id", ["order_id"])
     late = F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date")
     return (
         placed.join(items, "order_id", "left")
@@ -86,14 +87,13 @@ def monthly_sales(t: Tables) -> DataFrame:
 def product_categories(t: Tables) -> DataFrame:
     """Category label of each product: English name, else original name, else 'unknown'."""
     label = F.coalesce("product_category_name_english", "product_category_name", F.lit("unknown"))
-    return t.products.join(t.product_category_translation, "product_category_name", "left").select(
-        "product_id", label.alias("category")
-    )
+    named = spread_join(t.products, t.product_category_translation, "product_category_name", ["product_id"], "left")
+    return named.select("product_id", label.alias("category"))
 
 
 def _active_items(t: Tables, *columns: str) -> DataFrame:
-    sales = active_orders(t.orders).select("order_id")
-    return t.order_items.select("order_id", *columns, "price", "freight_value").join(sales, "order_id")
+    items = t.order_items.select("order_id", "order_item_id", *columns, "price", "freight_value")
+    return spread_join(items, active_orders(t.orders).select("order_id"), "order_id", items.columns)
 
 
 def _sales_measures(items_sold: Column) -> list[Column]:
@@ -108,9 +108,9 @@ def _sales_measures(items_sold: Column) -> list[Column]:
 
 def category_performance(t: Tables) -> DataFrame:
     """Sales per product category."""
+    items = _active_items(t, "product_id")
     return (
-        _active_items(t, "order_item_id", "product_id")
-        .join(product_categories(t), "product_id")
+        spread_join(items, product_categories(t), "product_id", ["order_id", "order_item_id"])
         .groupBy("category")
         .agg(*_sales_measures(F.count("order_item_id")))
     )

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bazaarframe.sources.files import folder_bytes
+
 _PLAN_SETTINGS = {
     # Adaptive execution picks broadcast joins from measured sizes and sizes shuffle partitions.
     "spark.sql.adaptive.enabled": "true",
@@ -26,6 +28,35 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SHUFFLE_BYTES = 128 << 20  # wanted input per shuffle partition; adaptive execution merges small ones
+MAX_SHUFFLE_PARTITIONS = 20_000
+MAX_SCAN_TASKS = 200_000
+_sized: dict[tuple[str, str], int] = {}
+
+
+def partitions_for(input_bytes: int) -> tuple[int, int]:
+    """(initial shuffle partitions, bytes per scan task) for an input of the given size."""
+    shuffle = min(max(input_bytes // SHUFFLE_BYTES, 1), MAX_SHUFFLE_PARTITIONS)
+    return shuffle, max(128 << 20, input_bytes // MAX_SCAN_TASKS)
+
+
+def size_for(spark: SparkSession, folder: str) -> SparkSession:
+    """Size shuffles and scan tasks for the data under a folder, never below the session's setting.
+
+    Adaptive execution can merge small shuffle partitions but not divide evenly large ones, so the
+    initial number has to fit the input.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _sized:
+        _sized[key] = folder_bytes(spark, folder)
+    shuffle, scan_bytes = partitions_for(_sized[key])
+    if shuffle > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffle))
+    if scan_bytes > 128 << 20:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan_bytes))
+    return spark
+
+
 def local_session(cores: int | str = "*", name: str = "bazaarframe", **conf: str) -> SparkSession:
     """A session on this machine, for tests and benchmarks."""
     builder = (
@@ -35,6 +66,7 @@ def local_session(cores: int | str = "*", name: str = "bazaarframe", **conf: str
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.shuffle.accurateBlockSkewedFactor", "5")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

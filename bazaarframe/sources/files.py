@@ -51,3 +51,8 @@ def replace_text(spark: SparkSession, path: str, text: str, temporary: str) -> N
 
 def delete(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).delete(_path(spark, path), True)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under a path."""
+    return _file_system(spark, path).getContentSummary(_path(spark, path)).getLength()

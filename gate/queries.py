@@ -15,7 +15,7 @@ from bazaarframe.plans import dashboards as d
 from bazaarframe.plans import metrics as m
 from bazaarframe.plans import reports as r
 from bazaarframe.plans.sql_surface import register_views, run_query
-from bazaarframe.session import tune
+from bazaarframe.session import size_for, tune
 from bazaarframe.sources.snapshot import row_counts
 from bazaarframe.sources.testdata import load_dirty_model, load_model
 from bazaarframe.tables import Tables
@@ -56,11 +56,11 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _clean(build: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plain(build(load_model(tune(spark), sf_dir)))
+    return lambda spark, sf_dir: plain(build(load_model(size_for(tune(spark), sf_dir), sf_dir)))
 
 
 def _dirty(build: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plain(build(load_dirty_model(tune(spark), sf_dir)))
+    return lambda spark, sf_dir: plain(build(load_dirty_model(size_for(tune(spark), sf_dir), sf_dir)))
 
 
 def _all_profiles(build: Callable[[DataFrame, str], DataFrame]) -> Callable[[Tables], DataFrame]:
@@ -69,7 +69,7 @@ def _all_profiles(build: Callable[[DataFrame, str], DataFrame]) -> Callable[[Tab
 
 def _in_views(text: str, params: dict | None = None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        register_views(tune(spark), load_model(spark, sf_dir), base_tables=False)
+        register_views(size_for(tune(spark), sf_dir), load_model(spark, sf_dir), base_tables=False)
         return plain(run_query(spark, text, params))
 
     return query

@@ -1,0 +1,147 @@
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from bazaarframe.operators import joins
+from bazaarframe.plans import metrics as m
+from bazaarframe.plans import reports as r
+from bazaarframe.schema import TABLES
+from bazaarframe.session import partitions_for, size_for
+from bazaarframe.tables import Tables
+
+N = 6_000
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    """A third of the rows share one customer, product, seller, order and category."""
+    folder = tmp_path_factory.mktemp("hot")
+    n = spark.range(N)
+
+    def third(prefix, other):
+        return f"if(id % 3 = 0, '{prefix}0', concat('{prefix}', {other}))"
+
+    sources = {
+        "customers": n.selectExpr("concat('c', id) customer_id", "concat('u', id div 2) customer_unique_id", "if(id % 3 = 0, null, 'SP') customer_state"),
+        "product_category_translation": spark.range(1).selectExpr("'cat1' product_category_name", "'one' product_category_name_english"),
+        "products": n.selectExpr("concat('p', id) product_id", "if(id % 3 = 0, null, concat('cat', id % 5)) product_category_name"),
+        "sellers": n.selectExpr("concat('s', id) seller_id", "'rio' seller_city", "'RJ' seller_state"),
+        "orders": n.selectExpr(
+            "concat('o', id) order_id", f"{third('c', 'id')} customer_id", "if(id % 10 = 9, 'canceled', 'delivered') order_status",
+            "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, cast(id % 2000 as int)) order_purchase_timestamp",
+        ),
+        "order_items": n.selectExpr(
+            f"{third('o', 'id')} order_id", "cast(id as int) order_item_id", f"{third('p', 'id')} product_id",
+            f"{third('s', 'id % 7')} seller_id", "cast(id % 100 as decimal(12,2)) price", "1.00BD freight_value",
+        ),
+        "order_payments": n.selectExpr(f"{third('o', 'id')} order_id", "cast(id as int) payment_sequential", "2.00BD payment_value"),
+        "order_reviews": n.selectExpr("concat('r', id) review_id", f"{third('o', 'id')} order_id", "cast(id % 5 + 1 as int) review_score"),
+    }
+    for name, df in sources.items():
+        columns = [
+            (F.col(c.name) if c.name in df.columns else F.lit(None)).cast(c.type).alias(c.name) for c in TABLES[name].columns
+        ]
+        df.select(*columns).write.parquet(str(folder / name))
+    return Tables(**{name: spark.read.schema(TABLES[name].struct).parquet(str(folder / name)) for name in TABLES})
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+BUILDS = [m.order_metrics, m.category_performance, m.seller_performance, r.executive_kpis, r.top_states]
+
+
+@pytest.mark.parametrize("build", BUILDS, ids=lambda b: b.__name__)
+def test_salting_changes_no_result(spark, hot, no_broadcast, monkeypatch, build):
+    expected = sorted(map(str, build(hot).collect()))
+    monkeypatch.setattr(joins, "skew_is_hidden", lambda spark: True)
+    monkeypatch.setattr(joins.salted_join, "__defaults__", ("inner", 0.5, 100))
+    df = build(hot)
+    assert sorted(map(str, df.collect())) == expected
+    assert "__piece" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hot_keys_are_cut_into_pieces(spark, hot):
+    pieces = hot.orders.limit(1).select(joins.hot_key_pieces(hot.orders, "customer_id", 1.0, 100).alias("p")).first()["p"]
+    assert pieces == {"c0": 20}
+    joined = joins.salted_join(hot.orders, hot.customers, "customer_id", ["order_id"], "inner", 1.0, 100)
+    assert joined.count() == N
+
+
+def test_unknown_keys_are_spread_in_left_joins(spark, hot, no_broadcast):
+    joined = joins.salted_join(
+        hot.products, hot.product_category_translation, "product_category_name", ["product_id"], "left", 1.0, 100
+    )
+    assert joined.count() == N
+    assert joined.where("product_category_name_english = 'one'").count() == hot.products.where("product_category_name = 'cat1'").count()
+
+
+def test_adaptive_execution_splits_a_hot_customer(spark, hot, no_broadcast):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        assert "SortMergeJoin(skew=true)" in final_plan(hot.orders.repartition(8).join(hot.customers, "customer_id"))
+        plain = r.executive_kpis(hot)
+        assert "skew=true" in final_plan(plain)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_seller_meets_the_join_as_one_row(hot, no_broadcast):
+    plan = hot and m.seller_performance(hot)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join Inner", 1)
+    assert "Aggregate" not in above and "Aggregate [seller_id" in below
+
+
+def test_no_cross_joins_and_no_broadcast_hints(hot):
+    for build in [*BUILDS, m.monthly_sales, m.customer_metrics, m.delivery_performance, r.console_report]:
+        plan = build(hot)._jdf.queryExecution().toString()
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Cross" not in plan
+        assert "ResolvedHint" not in plan and "strategy=broadcast" not in plan
+
+
+def test_filters_and_columns_reach_the_scan(hot):
+    plan = r.executive_kpis(hot)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Not(In(order_status, [canceled,unavailable])" in plan
+    assert "ReadSchema: struct<order_id:string,price:decimal(12,2)>" in plan
+    assert "payment_value" not in plan  # payments are not read at all
+
+
+def test_partition_sizing(spark, tmp_path):
+    assert partitions_for(10 << 20) == (1, 128 << 20)
+    shuffle, scan = partitions_for(100 << 40)
+    assert shuffle == 20_000 and scan == (100 << 40) // 200_000
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    (tmp_path / "x").write_text("small")
+    size_for(spark, str(tmp_path))
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) == before
+
+
+def test_skew_is_hidden_only_beyond_exact_sizes(spark):
+    assert not joins.skew_is_hidden(spark)  # few partitions, and the session asks for accurate sizes
+
+
+def test_values_of_the_hot_groups(hot):
+    got = m.order_metrics(hot).where("order_id = 'o0'").first()
+    assert got["items_count"] == N // 3 and got["payment_value"] == Decimal(2 * N // 3)
+    assert got["order_purchase_timestamp"] == datetime(2020, 1, 1)
