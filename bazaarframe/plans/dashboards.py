@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarframe.functions.exact import MICROS_PER_DAY
-from bazaarframe.functions.predicates import Bound, in_period, in_state, is_active, month_in_period
+from bazaarframe.functions.predicates import Bound, in_period, in_state, month_in_period
 from bazaarframe.functions.text import brl_text, fixed_text, int_text
 from bazaarframe.plans import metrics, reports
 from bazaarframe.tables import Tables
@@ -185,43 +185,6 @@ def dash_monthly_filtered(
     )
 
 
-def _sum_if(condition: Column, value: Column) -> Column:
-    return F.sum(F.when(condition, value))
-
-
-def _person_facts(t: Tables, chosen: Column) -> DataFrame:
-    """One row per person with the sums that the KPI, delivery and retention figures need.
-
-    All three figures come from a single pass over the order metrics: distinct customers turn into
-    a count of persons, so nothing has to be scanned twice or joined back together.
-    """
-    active = is_active()
-    chosen = active & chosen
-    delivered = F.col("order_delivered_customer_date").isNotNull()
-    late, scored = F.col("delivered_late"), F.col("review_score").isNotNull()
-    orders = metrics.order_metrics(t).withColumn(
-        "micros",
-        reports.duration_micros(F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")).cast(
-            "decimal(20,0)"
-        ),
-    )
-    return orders.groupBy("customer_unique_id").agg(
-        F.count_if(active).alias("active_orders"),
-        F.count_if(chosen).alias("chosen_orders"),
-        _sum_if(chosen, F.col("product_value")).alias("chosen_value"),
-        _sum_if(chosen, F.col("review_score")).alias("chosen_score"),
-        F.count_if(chosen & scored).alias("chosen_scored"),
-        F.count_if(delivered).alias("delivered"),
-        F.count_if(delivered & late).alias("late"),
-        _sum_if(delivered, F.col("micros")).alias("micros"),
-        F.count_if(delivered & F.col("micros").isNotNull()).alias("timed"),
-        _sum_if(delivered & late, F.col("review_score")).alias("late_score"),
-        F.count_if(delivered & late & scored).alias("late_scored"),
-        _sum_if(delivered & ~late, F.col("review_score")).alias("on_time_score"),
-        F.count_if(delivered & ~late & scored).alias("on_time_scored"),
-    )
-
-
 def _retention_pct() -> Column:
     return _plain_pct(F.count_if(F.col("active_orders") > 1), F.count_if(F.col("active_orders") > 0))
 
@@ -253,7 +216,7 @@ def dash_cards(
         ("Repeat Customers", int_text(F.count_if(F.col("active_orders") > 1))),
         ("Repeat Customer Rate", F.concat(fixed_text(_retention_pct()), F.lit("%"))),
     ]
-    texts = _person_facts(t, in_period(start, end) & in_state(state)).agg(
+    texts = reports.person_facts(t, in_period(start, end) & in_state(state)).agg(
         *[text.alias(f"card_{i}") for i, (_, text) in enumerate(cards)]
     )
     rows = [
@@ -272,7 +235,7 @@ def dash_insights(t: Tables) -> DataFrame:
         plain_avg(F.sum("on_time_score"), F.sum("on_time_scored")) - plain_avg(F.sum("late_score"), F.sum("late_scored")),
         F.lit(0.0),
     )
-    shares = _person_facts(t, F.lit(False)).agg(
+    shares = reports.person_facts(t, F.lit(False)).agg(
         _retention_pct().alias("repeat_customer_percentage"),
         _plain_pct(F.sum("late"), F.sum("delivered")).alias("late_delivery_percentage"),
         gap.alias("review_difference"),

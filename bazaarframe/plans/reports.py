@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from bazaarframe.functions.exact import (
     MICROS_PER_DAY,
     SCORE_SCALE,
-    divide_half_up,
     duration_micros,
     exact_avg,
     exact_pct,
 )
+from bazaarframe.functions.predicates import is_active
 from bazaarframe.functions.text import comma_text, fixed_text
 from bazaarframe.plans import metrics
 from bazaarframe.tables import Tables
@@ -78,17 +78,20 @@ def delivery_facts(t: Tables) -> DataFrame:
     )
 
 
+def _mean_days(total_micros: Column, count: Column) -> Column:
+    """Mean of durations in days, rounded to two digits from the exact sum."""
+    per_day = F.lit(MICROS_PER_DAY).cast("decimal(14,0)")
+    return exact_avg(total_micros, count * per_day, total_scale=0)
+
+
 def delivery_summary(t: Tables) -> DataFrame:
     """Delivered orders, their mean duration and the share that came late.
 
-    Orders without a purchase time count as delivered but have no duration. The mean divides the
-    exact sum of microseconds once.
+    Orders without a purchase time count as delivered but have no duration.
     """
-    total = F.sum(F.col("micros").cast("decimal(20,0)"))
-    hundredths = divide_half_up(total, F.count("micros") * F.lit(MICROS_PER_DAY).cast("decimal(14,0)"), shift=2)
     return delivery_facts(t).agg(
         F.count("*").alias("delivered_orders"),
-        (hundredths.cast("decimal(19,0)") * F.expr("0.01BD")).alias("average_delivery_days"),
+        _mean_days(F.sum(F.col("micros").cast("decimal(20,0)")), F.count("micros")).alias("average_delivery_days"),
         exact_pct(F.count_if("delivered_late"), F.count("*")).alias("late_delivery_percentage"),
     )
 
@@ -132,47 +135,79 @@ def report_top_categories(t: Tables, n: int = 10) -> DataFrame:
     return leaders.select(position.alias("position"), "*")
 
 
-def _lines(df: DataFrame, section: str, entries: list[tuple[str, Column]]) -> DataFrame:
-    """Turn a single-row result into (section, line, text) rows."""
-    rows = [
-        F.struct(F.lit(section).alias("section"), F.lit(i).alias("line"), F.concat(F.lit(label), text).alias("text"))
-        for i, (label, text) in enumerate(entries, start=1)
-    ]
-    return df.select(F.inline(F.array(*rows)))
+def _sum_if(condition: Column, value: Column) -> Column:
+    return F.sum(F.when(condition, value))
+
+
+def person_facts(t: Tables, chosen: Column) -> DataFrame:
+    """One row per person with the sums that the KPI, delivery and retention figures need.
+
+    All three figures come from a single pass over the order metrics: distinct customers turn into
+    a count of persons, so nothing has to be scanned twice or joined back together.
+    """
+    active = is_active()
+    chosen = active & chosen
+    delivered = F.col("order_delivered_customer_date").isNotNull()
+    late, scored = F.col("delivered_late"), F.col("review_score").isNotNull()
+    orders = metrics.order_metrics(t).withColumn(
+        "micros",
+        duration_micros(F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")).cast(
+            "decimal(20,0)"
+        ),
+    )
+    return orders.groupBy("customer_unique_id").agg(
+        F.count_if(active).alias("active_orders"),
+        F.count_if(chosen).alias("chosen_orders"),
+        _sum_if(chosen, F.col("product_value")).alias("chosen_value"),
+        _sum_if(chosen, F.col("review_score")).alias("chosen_score"),
+        F.count_if(chosen & scored).alias("chosen_scored"),
+        F.count_if(delivered).alias("delivered"),
+        F.count_if(delivered & late).alias("late"),
+        _sum_if(delivered, F.col("micros")).alias("micros"),
+        F.count_if(delivered & F.col("micros").isNotNull()).alias("timed"),
+        _sum_if(delivered & late, F.col("review_score")).alias("late_score"),
+        F.count_if(delivered & late & scored).alias("late_scored"),
+        _sum_if(delivered & ~late, F.col("review_score")).alias("on_time_score"),
+        F.count_if(delivered & ~late & scored).alias("on_time_scored"),
+    )
 
 
 def console_report(t: Tables) -> DataFrame:
-    """The printed report as rows (section, line, text), to be ordered by the reader."""
+    """The printed report as rows (section, line, text), to be ordered by the reader.
+
+    Its three blocks of figures come from one pass over the order metrics.
+    """
+    days = _mean_days(F.sum("micros"), F.sum("timed"))
+    repeated, people = F.count_if(F.col("active_orders") > 1), F.count_if(F.col("active_orders") > 0)
+    orders, value = F.sum("chosen_orders"), F.sum("chosen_value")
+    score = exact_avg(F.sum("chosen_score"), F.sum("chosen_scored"), total_scale=SCORE_SCALE)
+    customers = F.count_if((F.col("chosen_orders") > 0) & F.col("customer_unique_id").isNotNull())
     # Section names and line labels of the report.
-    kpis = _lines(
-        executive_kpis(t),
-        "EXECUTIVE KPIs",
-        [
-            ("Orders: ", comma_text(F.col("total_orders"))),
-            ("Unique customers: ", comma_text(F.col("unique_customers"))),
-            ("GMV: R$ ", comma_text(F.col("gmv"), 2)),
-            ("Average order value: R$ ", comma_text(F.col("average_order_value"), 2)),
-            ("Average review score: ", fixed_text(F.col("average_review_score"))),
+    sections = {
+        "EXECUTIVE KPIs": [
+            ("Orders: ", comma_text(F.coalesce(orders, F.lit(0)))),
+            ("Unique customers: ", comma_text(customers)),
+            ("GMV: R$ ", comma_text(value, 2)),
+            ("Average order value: R$ ", comma_text(exact_avg(value, orders), 2)),
+            ("Average review score: ", fixed_text(score)),
         ],
-    )
-    delivery = _lines(
-        delivery_summary(t),
-        "DELIVERY",
-        [
-            ("Delivered orders: ", comma_text(F.col("delivered_orders"))),
-            ("Average delivery time: ", F.concat(fixed_text(F.col("average_delivery_days")), F.lit(" days"))),
-            ("Late deliveries: ", F.concat(fixed_text(F.col("late_delivery_percentage")), F.lit("%"))),
+        "DELIVERY": [
+            ("Delivered orders: ", comma_text(F.coalesce(F.sum("delivered"), F.lit(0)))),
+            ("Average delivery time: ", F.concat(fixed_text(days), F.lit(" days"))),
+            ("Late deliveries: ", F.concat(fixed_text(exact_pct(F.sum("late"), F.sum("delivered"))), F.lit("%"))),
         ],
-    )
-    customers = _lines(
-        repeat_customers(t),
-        "CUSTOMERS",
-        [
-            ("One-time customers: ", comma_text(F.col("one_time_customers"))),
-            ("Repeat customers: ", comma_text(F.col("repeat_customers"))),
-            ("Repeat customer rate: ", F.concat(fixed_text(F.col("repeat_customer_percentage")), F.lit("%"))),
+        "CUSTOMERS": [
+            ("One-time customers: ", comma_text(F.count_if(F.col("active_orders") == 1))),
+            ("Repeat customers: ", comma_text(repeated)),
+            ("Repeat customer rate: ", F.concat(fixed_text(exact_pct(repeated, people)), F.lit("%"))),
         ],
+    }
+    lines = [(name, i, label, text) for name, entries in sections.items() for i, (label, text) in enumerate(entries, 1)]
+    figures = person_facts(t, F.lit(True)).agg(
+        *[F.concat(F.lit(label), text).alias(f"l{n}") for n, (_, _, label, text) in enumerate(lines)]
     )
+    rows = ", ".join(f"'{name}', {i}, l{n}" for n, (name, i, _, _) in enumerate(lines))
+    figures = figures.selectExpr(f"stack({len(lines)}, {rows}) as (section, line, text)")
     categories = report_top_categories(t).select(
         F.lit("TOP 10 CATEGORIES").alias("section"),
         F.col("position").alias("line"),
@@ -184,7 +219,7 @@ def console_report(t: Tables) -> DataFrame:
             _pad_left(comma_text(F.col("revenue"), 2), 12),
         ).alias("text"),
     )
-    return kpis.unionByName(delivery).unionByName(customers).unionByName(categories)
+    return figures.unionByName(categories)
 
 
 def _pad_right(text: Column, width: int) -> Column:

@@ -77,7 +77,7 @@ def local_session(cores: int | str = "*", name: str = "bazaarframe", **conf: str
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach: the cluster's checkpoint directory, or a local one in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir is not set; name a folder that all executors can reach")

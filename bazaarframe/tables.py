@@ -22,6 +22,8 @@ class Tables:
     order_payments: DataFrame
     order_reviews: DataFrame
 
+    stored_order_metrics: DataFrame | None = None
+
     def __init__(self, **sources: DataFrame | Callable[[], DataFrame]):
         if set(sources) != set(TABLES):
             raise ValueError(f"expected the tables {sorted(TABLES)}, got {sorted(sources)}")
@@ -40,3 +42,9 @@ class Tables:
 
     def with_tables(self, **changed: DataFrame | Callable[[], DataFrame]) -> Tables:
         return Tables(**{**self._sources, **changed})
+
+    def with_order_metrics(self, stored: DataFrame) -> Tables:
+        """The same tables with a stored result that stands in for the order metrics' joins."""
+        tables = Tables(**self._sources)
+        tables.stored_order_metrics = stored
+        return tables

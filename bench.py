@@ -26,21 +26,18 @@ HEADLINE = [
     "seller_performance",
     "delivery_performance",
     "executive_kpis",
-    "top_categories",
     "top_states",
-    "top_sellers",
     "delivery_summary",
     "review_by_lateness",
     "repeat_customers",
     "freight_impact",
-    "top_customers",
+    "console_report",
     "dash_kpis",
     "dash_monthly_filtered",
     "dash_cards",
     "dash_insights",
     "dq_orphan_items_orders",
     "dq_pk_duplicates",
-    "constraint_violations",
     "profile_duplicates",
 ]
 RUNS = 3

@@ -30,12 +30,11 @@ NOTHING = (date(1970, 1, 1), date(1970, 1, 31), "AX")
 
 SQL_KPIS = """
     select count(*) as total_orders, count(distinct customer_unique_id) as unique_customers,
-           coalesce(sum(product_value), 0) as gmv
+           ifnull(sum(product_value), 0) as gmv
     from vw_order_metrics
-    where order_status not in ('canceled', 'unavailable')
-      and order_purchase_timestamp >= :start_date
-      and order_purchase_timestamp < cast(:end_date as date) + interval '1 day'
-      and (:selected_state = 'All states' or customer_state = :selected_state)
+    where not array_contains(array('canceled', 'unavailable'), order_status)
+      and order_purchase_timestamp >= :first_day and order_purchase_timestamp < dateadd(day, 1, :last_day)
+      and if(:state = 'All states', true, customer_state = :state)
 """
 SQL_LATE_SHARE = """
     select customer_state, count(*) as delivered, count(*) filter (where delivered_late) as late
@@ -75,6 +74,10 @@ def _in_views(text: str, params: dict | None = None) -> Query:
     return query
 
 
+def _parameters(period) -> dict:
+    return dict(zip(("first_day", "last_day", "state"), period))
+
+
 def _order_texts(t: Tables) -> DataFrame:
     """Amounts of every order as the dashboard prints them."""
     return m.order_metrics(t).select(
@@ -157,12 +160,12 @@ def all_queries() -> dict[str, Query]:
         "dash_cards_default": _clean(d.dash_cards),
         "dash_insights": _clean(lambda t: _rounded(d.dash_insights(t), "value")),
         "order_texts": _clean(_order_texts),
-        # SQL surface
-        "sql_kpis": _in_views(
-            SQL_KPIS, {"start_date": date(1996, 1, 15), "end_date": date(1996, 12, 31), "selected_state": "AX"}
-        ),
-        "sql_kpis_all_states": _in_views(
-            SQL_KPIS, {"start_date": date(1997, 1, 1), "end_date": date(1997, 12, 31), "selected_state": "All states"}
+        "stored_dash_kpis": _clean(
+            lambda t: _rounded(d.dash_kpis(m.store_order_metrics(t), *mid), "average_review_score")
         ),
+        "stored_review_by_lateness": _clean(lambda t: r.review_by_lateness(m.store_order_metrics(t))),
+        # SQL surface
+        "sql_kpis": _in_views(SQL_KPIS, _parameters(mid)),
+        "sql_kpis_all_states": _in_views(SQL_KPIS, _parameters(year)),
         "sql_late_share": _in_views(SQL_LATE_SHARE),
     }

@@ -241,12 +241,26 @@ def test_console_report(shop):
     assert len(got) == 5 + 3 + 3 + 3
 
 
+def test_stored_order_metrics_stand_in_for_the_joins(shop):
+    stored = m.store_order_metrics(shop)
+    for build in (r.executive_kpis, r.top_customers, r.delivery_summary, d.dash_cards, d.dash_insights):
+        assert sorted(map(str, build(stored).collect())) == sorted(map(str, build(shop).collect()))
+    plan = r.executive_kpis(stored)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_report_without_data(make_tables):
+    got = {(x["section"], x["line"]): x["text"] for x in r.console_report(make_tables()).collect()}
+    assert got["EXECUTIVE KPIs", 1] == "Orders: 0"
+    assert got["CUSTOMERS", 2] == "Repeat customers: 0"
+
+
 def test_sql_views(spark, shop):
     names = register_views(spark, shop)
     assert len(names) == 14
     text = """select count(*) as n from vw_order_metrics
-              where order_purchase_timestamp >= :start_date and customer_state = :selected_state"""
-    got = run_query(spark, text, {"start_date": date(2020, 1, 15), "selected_state": "RJ"})
+              where order_purchase_timestamp >= :first_day and customer_state = :state"""
+    got = run_query(spark, text, {"first_day": date(2020, 1, 15), "state": "RJ"})
     assert got.first()["n"] == 1
     assert run_query(spark, "select * from vw_monthly_sales order by month nulls last").columns == [
         "month",
