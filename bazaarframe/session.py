@@ -67,6 +67,8 @@ def local_session(cores: int | str = "*", name: str = "bazaarframe", **conf: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.shuffle.accurateBlockSkewedFactor", "5")
+        # The test tables are single-task scans; a shuffle spreads what follows, a broadcast would not.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
