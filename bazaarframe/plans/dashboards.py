@@ -17,8 +17,9 @@ from bazaarframe.functions.text import brl_text, fixed_text, int_text
 from bazaarframe.plans import metrics, reports
 from bazaarframe.tables import Tables
 
-# Allowed range of the "categories displayed" control.
+# Allowed range of the "categories displayed" control, and the delivery labels.
 MIN_CATEGORIES, MAX_CATEGORIES, DEFAULT_CATEGORIES = 5, 20, 10
+ON_TIME_LABEL, LATE_LABEL = "On time", "Late"
 
 
 def plain_avg(total: Column, count: Column) -> Column:
@@ -69,7 +70,7 @@ def dash_review_by_lateness(t: Tables) -> DataFrame:
         .where(F.col("review_score").isNotNull())
         .groupBy("delivered_late")
         .agg(F.count("*").alias("orders"), _mean_score().alias("average_review_score"))
-        .withColumn("delivery_status", F.when(F.col("delivered_late"), "Late").otherwise("On time"))
+        .withColumn("delivery_status", F.when(F.col("delivered_late"), LATE_LABEL).otherwise(ON_TIME_LABEL))
         .orderBy(F.col("delivered_late").asc_nulls_last())
     )
 

@@ -8,6 +8,7 @@ import pytest
 
 from bazaarframe import load
 from bazaarframe.plans import reports
+from bazaarframe.plans.inspection import inspect_folder
 from bazaarframe.schema import TABLES
 from bazaarframe.sources import files, snapshot
 from bazaarframe.sources.csv_source import read_csv_folder, read_csv_table, scan_csv
@@ -207,6 +208,15 @@ def test_folder_scan(spark, raw):
     assert found["product_category_name_translation.csv"].columns[0] == "product_category_name"
 
 
+def test_inspection_of_a_raw_folder(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("x,y\n1,NA\n1,\n2,z\n")
+    (tmp_path / "a.csv").write_text("it's\nq\n")
+    found = inspect_folder(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in found["shape"].collect()) == [("a.csv", 1, 1), ("b.csv", 3, 2)]
+    assert sorted(tuple(r) for r in found["columns"].collect()) == [("a.csv", 1, "it's", 0), ("b.csv", 1, "x", 0), ("b.csv", 2, "y", 2)]
+    assert sorted(tuple(r) for r in found["duplicates"].collect()) == [("a.csv", 0), ("b.csv", 1)]
+
+
 def test_count_mismatch_is_refused(spark, shop, tmp_path):
     root = str(tmp_path / "store")
     good = shop.with_tables(orders=shop.orders.where("order_id <> 'o7'"))
