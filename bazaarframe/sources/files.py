@@ -54,5 +54,7 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under a path."""
+    """Total size of the files under a path; 0 if there is none."""
+    if not exists(spark, path):
+        return 0
     return _file_system(spark, path).getContentSummary(_path(spark, path)).getLength()

@@ -192,6 +192,8 @@ def test_missing_files(spark, raw, tmp_path):
         read_csv_table(spark, str(tmp_path / "nowhere"), TABLES["orders"])
     with pytest.raises(FileNotFoundError):
         read_csv_folder(spark, str(tmp_path / "nowhere"))
+    with pytest.raises(FileNotFoundError):
+        load.run_load(spark, str(tmp_path / "nowhere"), str(tmp_path / "store"))
     (raw / "other_orders_dataset.csv").write_text("x\n")
     with pytest.raises(ValueError, match="several files"):
         read_csv_table(spark, str(raw), TABLES["orders"])
