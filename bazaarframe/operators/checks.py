@@ -31,8 +31,7 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, name
 
 def _reference(t: Tables, child: str, key: str, name: str) -> DataFrame:
     fk = next(fk for fk in TABLES[child].foreign_keys if fk.column == key)
-    tables = t.as_dict()
-    return orphans(tables[child], key, tables[fk.parent], fk.parent_column, name)
+    return orphans(getattr(t, child), key, getattr(t, fk.parent), fk.parent_column, name)
 
 
 def orphan_orders(t: Tables) -> DataFrame:

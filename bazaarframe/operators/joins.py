@@ -2,73 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-PIECE_ROWS = 4_000_000  # rows of one hot key per join task
-SAMPLE = 0.001  # share of rows looked at to find hot keys; steers the layout only
-MAX_HOT_KEYS = 1_000
-NULL_PIECES = 1_000
 
+def require_exact_sizes(spark: SparkSession, partitions: int) -> None:
+    """Raise if adaptive execution would miss a hot key at this number of shuffle partitions.
 
-def skew_is_hidden(spark: SparkSession) -> bool:
-    """Whether adaptive execution would miss a hot key.
-
-    Above 2000 shuffle partitions Spark keeps only the average size of a map output's blocks, and a
-    hot key's block counts as average too unless ``spark.shuffle.accurateBlockSkewedFactor`` is set.
-    That setting belongs to the application and cannot be changed from a running session.
+    Above ``spark.shuffle.minNumPartitionsToHighlyCompress`` Spark keeps only the average size of a map output's
+    blocks, and a hot key's block counts as average too unless ``spark.shuffle.accurateBlockSkewedFactor`` is set. That
+    setting belongs to the application and cannot be changed from a running session.
     """
     conf = spark.sparkContext.getConf()
-    partitions = spark.conf.get(
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", None
-    ) or spark.conf.get("spark.sql.shuffle.partitions")
     exact_up_to = int(conf.get("spark.shuffle.minNumPartitionsToHighlyCompress", "2000"))
-    return int(partitions) > exact_up_to and float(conf.get("spark.shuffle.accurateBlockSkewedFactor", "-1")) <= 0
-
-
-def hot_key_pieces(df: DataFrame, key: str, sample: float, piece_rows: int) -> Column:
-    """Scalar subquery: a map from each hot key to the number of pieces its rows are cut into.
-
-    Counts come from a sample of the key column alone and are combined before they are shuffled. A
-    key that is missed or misjudged changes how rows are spread, never which rows come out.
-    """
-    limit = piece_rows * sample
-    counts = df.where(F.col(key).isNotNull()).select(key).sample(sample, seed=11).groupBy(key).agg(F.count("*").alias("n"))
-    hottest = counts.where(F.col("n") > limit).orderBy(F.desc("n"), key).limit(MAX_HOT_KEYS)
-    pieces = F.ceil(F.col("n") / F.lit(limit)).cast("int")
-    return hottest.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), pieces))).alias("pieces")).scalar()
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread_by: list[str],
-    how: str = "inner",
-    sample: float = SAMPLE,
-    piece_rows: int = PIECE_ROWS,
-) -> DataFrame:
-    """Join on ``key`` with the left rows of hot keys cut into pieces by a hash of ``spread_by``.
-
-    The matching right rows are repeated once per piece; all other keys have one piece. Unknown
-    keys match nothing and are spread as well.
-    """
-    pieces = F.coalesce(F.try_element_at(hot_key_pieces(left, key, sample, piece_rows), F.col(key)), F.lit(1))
-    own = F.xxhash64(*spread_by)
-    cut = left.withColumn(
-        "__piece",
-        F.when(F.col(key).isNull(), F.pmod(own, F.lit(NULL_PIECES))).otherwise(F.pmod(own, pieces)).cast("int"),
-    )
-    copies = right.withColumn("__piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
-    return cut.join(copies, [key, "__piece"], how).drop("__piece")
+    if partitions > exact_up_to and float(conf.get("spark.shuffle.accurateBlockSkewedFactor", "-1")) <= 0:
+        raise ValueError(
+            f"{partitions} shuffle partitions hide hot keys from adaptive execution; "
+            "start the application with spark.shuffle.accurateBlockSkewedFactor=5"
+        )
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, spread_by: list[str], how: str = "inner") -> DataFrame:
+def unique_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join a large left side to a right side that is unique on ``key``.
 
-    A plain join lets Spark broadcast a small right side, and adaptive execution split a hot
-    partition. Where it could not see one, the hot keys are salted instead.
+    Spark broadcasts a small right side, and adaptive execution splits a hot key's partition: the rows of the left side
+    by the map tasks that wrote them, each part with all of the right side's partition. ``require_exact_sizes`` sees to it
+    that hot keys show at every number of partitions.
     """
-    if skew_is_hidden(left.sparkSession):
-        return salted_join(left, right, key, spread_by, how)
     return left.join(right, key, how)

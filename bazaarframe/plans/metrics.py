@@ -5,7 +5,7 @@ Shared choices:
 * Items, payments and reviews are reduced to one row per order before any join, so an order with
   many of them is combined map-side and never fans out.
 * Nothing carries a broadcast hint: Spark compares the measured size of a side with
-  ``spark.sql.autoBroadcastJoinThreshold``. Beyond it, ``spread_join`` keeps a hot customer, order
+  ``spark.sql.autoBroadcastJoinThreshold``. Beyond it, ``unique_join`` keeps a hot customer, order
   or product from ending up in one task.
 * A distinct count over one column runs as two hash aggregations, first by (group, value), so a
   group that holds most of the rows is still spread over all tasks.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from bazaarframe.functions.exact import duration_days, exact_avg, mean_score
 from bazaarframe.functions.predicates import active_orders
-from bazaarframe.operators.joins import spread_join
+from bazaarframe.operators.joins import unique_join
 from bazaarframe.session import materialize
 from bazaarframe.tables import Tables
 
@@ -41,7 +41,7 @@ def order_metrics(t: Tables) -> DataFrame:
 
     # Customers first: the exchange on order_id that follows lets adaptive execution split a hot
     # customer_id, and all three left joins then reuse that one partitioning.
-    placed = spread_join(t.orders, t.customers, "customer_id", ["order_id"])
+    placed = unique_join(t.orders, t.customers, "customer_id")
     late = F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date")
     return (
         placed.join(items, "order_id", "left")
@@ -101,13 +101,13 @@ def monthly_sales(t: Tables) -> DataFrame:
 def product_categories(t: Tables) -> DataFrame:
     """Category label of each product: English name, else original name, else 'unknown'."""
     label = F.coalesce("product_category_name_english", "product_category_name", F.lit("unknown"))
-    named = spread_join(t.products, t.product_category_translation, "product_category_name", ["product_id"], "left")
+    named = unique_join(t.products, t.product_category_translation, "product_category_name", "left")
     return named.select("product_id", label.alias("category"))
 
 
 def _active_items(t: Tables, *columns: str) -> DataFrame:
     items = t.order_items.select("order_id", "order_item_id", *columns, "price", "freight_value")
-    return spread_join(items, active_orders(t.orders).select("order_id"), "order_id", items.columns)
+    return unique_join(items, active_orders(t.orders).select("order_id"), "order_id")
 
 
 def _sales_measures(items_sold: Column) -> list[Column]:
@@ -124,7 +124,7 @@ def category_performance(t: Tables) -> DataFrame:
     """Sales per product category."""
     items = _active_items(t, "product_id")
     return (
-        spread_join(items, product_categories(t), "product_id", ["order_id", "order_item_id"])
+        unique_join(items, product_categories(t), "product_id")
         .groupBy("category")
         .agg(*_sales_measures(F.count("order_item_id")))
     )

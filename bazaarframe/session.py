@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bazaarframe.operators.joins import require_exact_sizes
 from bazaarframe.sources.files import folder_bytes
 
 _PLAN_SETTINGS = {
@@ -31,7 +32,6 @@ def tune(spark: SparkSession) -> SparkSession:
 SHUFFLE_BYTES = 128 << 20  # wanted input per shuffle partition; adaptive execution merges small ones
 MAX_SHUFFLE_PARTITIONS = 20_000
 MAX_SCAN_TASKS = 200_000
-_sized: dict[tuple[str, str], int] = {}
 
 
 def partitions_for(input_bytes: int) -> tuple[int, int]:
@@ -46,14 +46,15 @@ def size_for(spark: SparkSession, folder: str) -> SparkSession:
     Adaptive execution can merge small shuffle partitions but not divide evenly large ones, so the
     initial number has to fit the input.
     """
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _sized:
-        _sized[key] = folder_bytes(spark, folder)
-    shuffle, scan_bytes = partitions_for(_sized[key])
-    if shuffle > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffle))
-    if scan_bytes > 128 << 20:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan_bytes))
+    shuffle, scan_bytes = partitions_for(folder_bytes(spark, folder))
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    now = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(first, None) or 0))
+    require_exact_sizes(spark, max(shuffle, now))
+    if shuffle > now:
+        spark.conf.set(first, str(shuffle))
+    scan = "spark.sql.files.maxPartitionBytes"
+    if scan_bytes > spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(scan)):
+        spark.conf.set(scan, str(scan_bytes))
     return spark
 
 

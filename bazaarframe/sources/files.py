@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -32,21 +33,30 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def replace_text(spark: SparkSession, path: str, text: str, temporary: str) -> None:
-    """Swap one small file in a single rename, so readers see the old or the new text."""
+def create_text(spark: SparkSession, path: str, text: str, temporary: str) -> bool:
+    """Publish one small file under a name that must be new; False if the name is taken.
+
+    The text is written aside and renamed without overwriting. On file systems with a true rename that is one step, and of two
+    writers one wins.
+    """
     stream = _file_system(spark, path).create(_path(spark, temporary), True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
     jvm = spark._jvm
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         _path(spark, path).toUri(), spark._jsc.hadoopConfiguration()
     )
-    context.rename(_path(spark, temporary), _path(spark, path), options)
+    try:
+        context.rename(_path(spark, temporary), _path(spark, path), options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        delete(spark, temporary)
+        return False
+    return True
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -1,8 +1,10 @@
 """Parquet snapshots published all or nothing.
 
-Each table version is a directory of its own; a small ``_CURRENT`` file names the version of every
-table. A load writes new directories, checks them, and swaps that file last. Readers resolve it once,
-so they keep a consistent set of tables while a load is running, and a failed load changes nothing.
+Each table version is a directory of its own; a numbered file in ``_manifests`` names the version of every
+table, and the highest number is current. A load writes new directories, checks them, and creates the next number
+last, which never overwrites: of two loads at once the later one checks its tables against the other's and takes the number
+after. Readers resolve the manifest once, so they keep a consistent set of tables while a load is running, and a failed load
+changes nothing.
 """
 
 from __future__ import annotations
@@ -23,8 +25,19 @@ from bazaarframe.tables import Tables
 STORED_BY = {"orders": ("order_purchase_timestamp", "order_id")}
 
 
-def _pointer(root: str) -> str:
-    return f"{root.rstrip('/')}/_CURRENT"
+def _manifests(root: str) -> str:
+    return f"{root.rstrip('/')}/_manifests"
+
+
+def _latest(spark: SparkSession, root: str) -> int:
+    """Number of the current manifest; 0 if nothing is published."""
+    names = [path.rsplit("/", 1)[-1] for path in files.glob(spark, f"{_manifests(root)}/*.json")]
+    return max((int(name.split(".")[0]) for name in names if name.split(".")[0].isdigit()), default=0)
+
+
+def _manifest(spark: SparkSession, root: str, number: int) -> dict[str, str]:
+    tables = json.loads(files.read_text(spark, f"{_manifests(root)}/{number:06}.json"))["tables"]
+    return {name: f"{root.rstrip('/')}/{relative}" for name, relative in tables.items()}
 
 
 def write_table(df: DataFrame, path: str, name: str, mode: str = "errorifexists") -> None:
@@ -37,10 +50,10 @@ def write_table(df: DataFrame, path: str, name: str, mode: str = "errorifexists"
 
 def current_paths(spark: SparkSession, root: str) -> dict[str, str]:
     """Table directories of the published snapshot."""
-    if not files.exists(spark, _pointer(root)):
+    number = _latest(spark, root)
+    if not number:
         raise FileNotFoundError(f"No snapshot published under {root}")
-    tables = json.loads(files.read_text(spark, _pointer(root)))["tables"]
-    return {name: f"{root.rstrip('/')}/{relative}" for name, relative in tables.items()}
+    return _manifest(spark, root, number)
 
 
 def _read(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
@@ -76,30 +89,45 @@ def _require_constraints(frames: dict[str, DataFrame], names: list[str]) -> None
         raise ValueError(f"constraints violated: {found}")
 
 
-def _publish(
-    spark: SparkSession,
-    root: str,
-    changed: dict[str, DataFrame],
-    kept: dict[str, str],
-    expected: dict[str, int],
-) -> str:
+def _publish(spark: SparkSession, root: str, changed: dict[str, DataFrame], expected: dict[str, int]) -> str:
+    """Write the changed tables, check them with the others as they are published, and publish all together.
+
+    If another load publishes meanwhile, the checks run again with its tables. Once a manifest was tried, the staged tables
+    stay unless the manifest of that number can be read and does not name them.
+    """
     root = root.rstrip("/")
     version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     staged = {name: f"{root}/{name}/{version}" for name in changed}
+    tried = None
     try:
         for name, df in changed.items():
             write_table(df, staged[name], name)
-        frames = _read(spark, {**kept, **staged})
-        verify_counts({name: frames[name] for name in staged}, expected)
-        _require_constraints(frames, list(staged))
-        relative = {name: path[len(root) + 1 :] for name, path in {**kept, **staged}.items()}
-        manifest = json.dumps({"version": version, "tables": relative}, indent=1, sort_keys=True)
-        files.replace_text(spark, _pointer(root), manifest, f"{root}/_CURRENT.{version}")
+        verify_counts(_read(spark, staged), expected)
+        while True:
+            number = _latest(spark, root)
+            paths = {**(_manifest(spark, root, number) if number else {}), **staged}
+            _require_constraints(_read(spark, paths), list(staged))
+            relative = {name: path[len(root) + 1 :] for name, path in paths.items()}
+            manifest = json.dumps({"version": version, "tables": relative}, indent=1, sort_keys=True)
+            tried = number + 1
+            if files.create_text(spark, f"{_manifests(root)}/{tried:06}.json", manifest, f"{_manifests(root)}/{version}.new"):
+                return version
+            tried = None
     except Exception:
-        for path in staged.values():
-            files.delete(spark, path)
+        if tried is None or not _may_be_published(spark, root, tried, staged):
+            for path in staged.values():
+                files.delete(spark, path)
         raise
-    return version
+
+
+def _may_be_published(spark: SparkSession, root: str, number: int, staged: dict[str, str]) -> bool:
+    """Whether the manifest of that number names the staged tables, or cannot be read to tell."""
+    try:
+        if _latest(spark, root) < number:
+            return False
+        return any(path in staged.values() for path in _manifest(spark, root, number).values())
+    except Exception:  # no answer is no licence to delete
+        return True
 
 
 def publish_snapshot(
@@ -113,7 +141,7 @@ def publish_snapshot(
     missing = [name for name in TABLES if name not in frames]
     if missing:
         raise ValueError(f"a full snapshot needs all tables, missing {missing}")
-    return _publish(spark, root, {name: frames[name] for name in TABLES}, {}, expected or {})
+    return _publish(spark, root, {name: frames[name] for name in TABLES}, expected or {})
 
 
 def replace_table(
@@ -124,5 +152,5 @@ def replace_table(
     Tables that refer to the new one are checked against it: unlike an emptying cascade, a reload
     that would orphan their rows is refused.
     """
-    kept = {n: path for n, path in current_paths(spark, root).items() if n != name}
-    return _publish(spark, root, {name: df}, kept, {} if expected_rows is None else {name: expected_rows})
+    current_paths(spark, root)  # there must be a snapshot
+    return _publish(spark, root, {name: df}, {} if expected_rows is None else {name: expected_rows})

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarframe.operators.joins import spread_join
+from bazaarframe.operators.joins import unique_join
 from bazaarframe.schema import TABLES
 from bazaarframe.tables import Tables
 
@@ -50,7 +50,7 @@ class _Source:
         orders = self.raw("orders").where("o_orderkey % 500 <> 499").select("o_orderkey", "o_custkey")
         customer = self.raw("customer").withColumnRenamed("c_custkey", "o_custkey")
         return self.shape(
-            spread_join(orders, customer, "o_custkey", ["o_orderkey"]),
+            unique_join(orders, customer, "o_custkey"),
             "customers",
             customer_id="concat('c', o_orderkey)",
             customer_unique_id="if(o_orderkey % 10 < 9, concat('o', o_orderkey), concat('r', o_custkey))",

@@ -120,13 +120,18 @@ MODEL = {
         from m_items i
         join m_products p using (product_id)
         left join m_translation x using (product_category_name)
-        where i.order_id in (select order_id from m_orders where order_status in ('shipped', 'delivered'))""",
+        where i.order_id in (select order_id from m_orders where order_status not in ('canceled', 'unavailable'))""",
     "people": """
         select customer_unique_id, count(*) as orders, sum(product_value) as spent,
                min(order_purchase_timestamp) as first_purchase, max(order_purchase_timestamp) as last_purchase
         from sales group by all""",
 }
 
+_STATE_MONTHS = """
+    select customer_state, date_trunc('month', order_purchase_timestamp)::date as month, count(*) as orders,
+           sum(items_count)::bigint as items, {money} as paid
+    from sales where {where} group by 1, 2"""
+
 _DEPENDS = {
     "d_customers": ["m_customers"],
     "item_sums": ["m_items"],
@@ -615,15 +620,9 @@ def all_oracles() -> dict[str, str]:
                 {_brl('freight_value')} as freight_text, {_int('payment_value')} as payment_text,
                 printf('%.2f', cast(score16 as double) / {_ONE}) as score_text from om""",
         ),
-        "sql_kpis": _with(
-            "sales",
-            f"""select count(*) as total_orders, count(distinct customer_unique_id) as unique_customers,
-                {_dbl('ifnull(sum(product_value), 0)')} as gmv from sales where {_chosen(MID_MONTHS)}""",
-        ),
+        "sql_kpis": _with("sales", _STATE_MONTHS.format(where=_chosen(MID_MONTHS), money=_dbl("sum(payment_value)"))),
         "sql_kpis_all_states": _with(
-            "sales",
-            f"""select count(*) as total_orders, count(distinct customer_unique_id) as unique_customers,
-                {_dbl('ifnull(sum(product_value), 0)')} as gmv from sales where {_chosen(ALL_OF_1997)}""",
+            "sales", _STATE_MONTHS.format(where=_chosen(ALL_OF_1997), money=_dbl("sum(payment_value)"))
         ),
         "sql_late_share": _with(
             "delivered",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,13 +28,15 @@ EARLY_1996 = (date(1996, 1, 15), date(1996, 3, 10), None)
 ALL_OF_1997 = (date(1997, 1, 1), date(1997, 12, 31), "All states")
 NOTHING = (date(1970, 1, 1), date(1970, 1, 31), "AX")
 
-SQL_KPIS = """
-    select count(*) as total_orders, count(distinct customer_unique_id) as unique_customers,
-           ifnull(sum(product_value), 0) as gmv
+# Orders, items and payments by state and month; the first over one state, the second over all.
+SQL_STATE_MONTHS = """
+    select customer_state, cast(date_trunc('month', order_purchase_timestamp) as date) as month,
+           count(*) as orders, sum(items_count) as items, sum(payment_value) as paid
     from vw_order_metrics
-    where not array_contains(array('canceled', 'unavailable'), order_status)
-      and order_purchase_timestamp >= :first_day and order_purchase_timestamp < dateadd(day, 1, :last_day)
-      and if(:state = 'All states', true, customer_state = :state)
+    where order_status not in ('canceled', 'unavailable')
+      and order_purchase_timestamp >= :start and order_purchase_timestamp < :stop
+      {state}
+    group by 1, 2
 """
 SQL_LATE_SHARE = """
     select customer_state, count(*) as delivered, count(*) filter (where delivered_late) as late
@@ -75,7 +77,8 @@ def _in_views(text: str, params: dict | None = None) -> Query:
 
 
 def _parameters(period) -> dict:
-    return dict(zip(("first_day", "last_day", "state"), period))
+    first, last, state = period
+    return {"start": first, "stop": last + timedelta(days=1), "state": state}
 
 
 def _order_texts(t: Tables) -> DataFrame:
@@ -165,7 +168,7 @@ def all_queries() -> dict[str, Query]:
         ),
         "stored_review_by_lateness": _clean(lambda t: r.review_by_lateness(m.store_order_metrics(t))),
         # SQL surface
-        "sql_kpis": _in_views(SQL_KPIS, _parameters(mid)),
-        "sql_kpis_all_states": _in_views(SQL_KPIS, _parameters(year)),
+        "sql_kpis": _in_views(SQL_STATE_MONTHS.format(state="and customer_state = :state"), _parameters(mid)),
+        "sql_kpis_all_states": _in_views(SQL_STATE_MONTHS.format(state=""), _parameters(year)),
         "sql_late_share": _in_views(SQL_LATE_SHARE),
     }

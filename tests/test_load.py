@@ -254,6 +254,40 @@ def test_replace_table_shares_the_others_and_protects_dependants(spark, raw, tmp
     assert snapshot.current_paths(spark, root) == after
 
 
+def test_an_error_after_the_swap_deletes_nothing(spark, shop, tmp_path, monkeypatch):
+    root = str(tmp_path / "store")
+    good = shop.with_tables(orders=shop.orders.where("order_id <> 'o7'"))
+    create = files.create_text
+
+    def lost_reply(*args):
+        create(*args)
+        raise OSError("the reply was lost")
+
+    monkeypatch.setattr(files, "create_text", lost_reply)
+    with pytest.raises(OSError, match="lost"):
+        snapshot.publish_snapshot(spark, root, good)
+    monkeypatch.setattr(files, "create_text", create)
+    assert snapshot.open_snapshot(spark, root).orders.count() == 6
+
+
+def test_two_reloads_at_once_both_stay(spark, shop, tmp_path, monkeypatch):
+    root = str(tmp_path / "store")
+    good = shop.with_tables(orders=shop.orders.where("order_id <> 'o7'"))
+    snapshot.publish_snapshot(spark, root, good)
+    translation = good.product_category_translation
+    create, others = files.create_text, [lambda: snapshot.replace_table(spark, root, "sellers", good.sellers.where("seller_id <> 's3'"))]
+
+    def after_another(*args):
+        if others:
+            others.pop()()
+        return create(*args)
+
+    monkeypatch.setattr(files, "create_text", after_another)
+    snapshot.replace_table(spark, root, "product_category_translation", translation.limit(0))
+    t = snapshot.open_snapshot(spark, root)
+    assert t.sellers.count() == 2 and t.product_category_translation.count() == 0
+
+
 def test_append(spark, shop, tmp_path):
     path = str(tmp_path / "sellers")
     snapshot.write_table(shop.sellers, path, "sellers")

@@ -63,31 +63,6 @@ def final_plan(df) -> str:
 BUILDS = [m.order_metrics, m.category_performance, m.seller_performance, r.executive_kpis, r.top_states]
 
 
-@pytest.mark.parametrize("build", BUILDS, ids=lambda b: b.__name__)
-def test_salting_changes_no_result(spark, hot, no_broadcast, monkeypatch, build):
-    expected = sorted(map(str, build(hot).collect()))
-    monkeypatch.setattr(joins, "skew_is_hidden", lambda spark: True)
-    monkeypatch.setattr(joins.salted_join, "__defaults__", ("inner", 0.5, 100))
-    df = build(hot)
-    assert sorted(map(str, df.collect())) == expected
-    assert "__piece" in df._jdf.queryExecution().optimizedPlan().toString()
-
-
-def test_hot_keys_are_cut_into_pieces(spark, hot):
-    pieces = hot.orders.limit(1).select(joins.hot_key_pieces(hot.orders, "customer_id", 1.0, 100).alias("p")).first()["p"]
-    assert pieces == {"c0": 20}
-    joined = joins.salted_join(hot.orders, hot.customers, "customer_id", ["order_id"], "inner", 1.0, 100)
-    assert joined.count() == N
-
-
-def test_unknown_keys_are_spread_in_left_joins(spark, hot, no_broadcast):
-    joined = joins.salted_join(
-        hot.products, hot.product_category_translation, "product_category_name", ["product_id"], "left", 1.0, 100
-    )
-    assert joined.count() == N
-    assert joined.where("product_category_name_english = 'one'").count() == hot.products.where("product_category_name = 'cat1'").count()
-
-
 def test_adaptive_execution_splits_a_hot_customer(spark, hot, no_broadcast):
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
@@ -137,8 +112,38 @@ def test_partition_sizing(spark, tmp_path):
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) == before
 
 
-def test_skew_is_hidden_only_beyond_exact_sizes(spark):
-    assert not joins.skew_is_hidden(spark)  # few partitions, and the session asks for accurate sizes
+def test_hidden_skew_is_an_error(spark, monkeypatch):
+    joins.require_exact_sizes(spark, 50_000)  # the session asks for accurate sizes
+
+    class Context:
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    joins.require_exact_sizes(Session(), 2000)
+    with pytest.raises(ValueError, match="accurateBlockSkewedFactor"):
+        joins.require_exact_sizes(Session(), 2001)
+
+
+def test_sizes_only_grow(spark, tmp_path, monkeypatch):
+    from bazaarframe import session
+
+    names = ["spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes"]
+    before = {n: spark.conf.get(n, None) for n in names}
+    monkeypatch.setattr(session, "folder_bytes", lambda spark, folder: 100 << 40)
+    try:
+        spark.conf.set(names[0], "50000")
+        spark.conf.set(names[1], "2g")
+        size_for(spark, str(tmp_path))
+        assert [spark.conf.get(n) for n in names] == ["50000", "2g"]
+        spark.conf.set(names[0], "10")
+        size_for(spark, str(tmp_path))
+        assert spark.conf.get(names[0]) == "20000"
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
 
 
 def test_values_of_the_hot_groups(hot):
