@@ -3,7 +3,7 @@
 Every window of ``size`` words has an anchor, the shorter word run inside it with the least hash; equal windows have equal
 anchors, so a window occurs at most as often as its anchor. Each partition counts its anchors in a count-min sketch whose
 cells stop at two; merged, the sketches overestimate and never underestimate. A second pass emits only windows whose anchor
-may occur twice, and groups them exactly by a 128-bit hash. A window met several times in one piece of text needs one row
+may occur twice, and groups them exactly by a 96-bit hash. A window met several times in one piece of text needs one row
 in its own group, so a common passage does not pile up in one task.
 """
 
@@ -159,18 +159,18 @@ def _rows(batch: pa.RecordBatch, held: list[tuple]) -> pa.RecordBatch:
     several = again.copy()
     several[:-1] |= again[1:]
     text, start = text[order], start[order]
-    keys = batch.column(1).take(pa.array(text)).to_numpy(zero_copy_only=False).view(np.uint64)
+    keys = batch.column(1).take(pa.array(text)).to_numpy(zero_copy_only=False).astype(np.uint64)
     own = mix(keys ^ mix(start.astype(np.uint64) + np.uint64(1)))
     a, b = np.where(again, own, a), np.where(again, mix(own), b)
+    # The second hash's upper half and the row's key share a number: rows are many, and hashes do not compress.
     return pa.RecordBatch.from_arrays(
         [
             batch.column(0).take(pa.array(text)),
-            batch.column(1).take(pa.array(text)),
             pa.array(np.where(several, ~start, start).astype(np.int32)),
             pa.array(a.view(np.int64)),
-            pa.array(b.view(np.int64)),
+            pa.array((b & np.uint64(0xFFFFFFFF00000000) | keys).view(np.int64)),
         ],
-        ["id", "text_key", "start", "w1", "w2"],
+        ["id", "start", "w1", "w2_key"],
     )
 
 
@@ -217,7 +217,9 @@ def repeated_passages(
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{id_col}`", text).alias("text_key"), text.alias("text"))
+    # 32 bits tell rows of one id apart.
+    key = F.xxhash64(f"`{id_col}`", text).bitwiseAND(F.lit(0xFFFFFFFF))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), key.alias("text_key"), text.alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     partial = rows.select("text").mapInArrow(_sketch(size), "slice int, once binary, more binary")
@@ -227,10 +229,13 @@ def repeated_passages(
         sketch[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
     shared = spark.sparkContext.broadcast(sketch.tobytes())
 
-    found = rows.mapInArrow(_windows(size, shared), f"id {kind}, text_key long, start int, w1 long, w2 long")
+    found = rows.mapInArrow(_windows(size, shared), f"id {kind}, start int, w1 long, w2_key long")
     # A window counts twice if it was met several times before it came here (a negative start).
     met = F.sum(F.when(F.col("start") < 0, 2).otherwise(1)).over(Window.partitionBy("w1", "w2"))
-    repeated = found.withColumn("met", met).where("met > 1")
+    # Dealt out by the first hash alone, which serves the groups as well, so that no further column is shuffled.
+    dealt = found.repartition("w1").withColumn("w2", F.shiftright("w2_key", 32))
+    repeated = dealt.withColumn("met", met).where("met > 1")
+    repeated = repeated.withColumn("text_key", F.col("w2_key").bitwiseAND(F.lit(0xFFFFFFFF)))
     start = F.when(F.col("start") < 0, -F.col("start") - 1).otherwise(F.col("start"))
     starts = repeated.groupBy("id", "text_key").agg(F.collect_set(start.cast("int")).alias("starts"))
     s = starts.select(F.col("id").alias("s_id"), F.col("text_key").alias("s_key"), "starts")
