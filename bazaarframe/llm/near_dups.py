@@ -1,13 +1,14 @@
 """Near-duplicate documents: banded MinHash candidates, checked by odd sketches, confirmed on full shingle sets.
 
-A document's MinHash samples serve twice. In bands of a few samples each they are bucket keys; folded into a
-bitmap by parity (an odd sketch), two documents' samples differ about as often as the bits of the bitmaps' XOR
-say, which is precise at high similarities. Candidates whose XOR has too many bits are never looked at again;
-the others are compared on their full sets of shingles.
+MinHash samples in bands of a few are bucket keys. Documents that share a bucket get an odd sketch: more samples, folded
+into a bitmap by parity. How far two documents' samples differ shows in the bits of the bitmaps' XOR, precisely so
+at high similarities. Candidates whose XOR has too many bits are never looked at again; the others are compared on their
+full sets of shingles.
 
 Documents with equal sets are one class from the start. Of a bucket's classes, all are compared with the one that
-shares most buckets; classes that are linked by then need no comparison any more, and pairs of different components
-are compared until none is left. So a group of copies costs about one comparison a copy, and no link is lost.
+shares most buckets, then those outside the bucket's largest component with members of that; classes that are linked by
+then need no comparison any more, and pairs of different components are compared until none is left. So a group of copies
+costs a few comparisons a copy, and no link is lost.
 """
 
 from __future__ import annotations
@@ -27,8 +28,11 @@ from bazaarframe.llm.words import lists, mix, pieces
 BANDS = 48
 #: Chance that a pair exactly at the threshold shares no bucket.
 MISS = 1e-6
-SKETCH_BITS = 1024
+#: Samples that are folded into the bits of an odd sketch.
+SKETCH_SAMPLES, SKETCH_BITS = 2048, 4096
 SIGMAS = 5
+#: Rounds in which classes outside a bucket's largest component are compared with a member of it.
+ROUNDS = 2
 #: Shingles hashed at once.
 STEP = 1024
 
@@ -38,9 +42,10 @@ def band_rows(similarity: float) -> int:
     return max(1, math.floor(math.log(1 - MISS ** (1 / BANDS)) / math.log(similarity)))
 
 
-def most_odd_bits(similarity: float, samples: int) -> int:
+def most_odd_bits(similarity: float) -> int:
     """XOR bits that a pair at the threshold stays below but for a chance of five standard deviations."""
-    differing = 2 * (samples * (1 - similarity) + SIGMAS * math.sqrt(samples * similarity * (1 - similarity)))
+    spread = math.sqrt(SKETCH_SAMPLES * similarity * (1 - similarity))
+    differing = 2 * (SKETCH_SAMPLES * (1 - similarity) + SIGMAS * spread)
     expected = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** differing)
     return math.ceil(expected + 4 * differing / math.sqrt(SKETCH_BITS))
 
@@ -58,59 +63,80 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 class Sampler:
-    """MinHash samples of a shingle set, as band keys and as an odd sketch."""
-
-    def __init__(self, similarity: float):
-        self.rows = band_rows(similarity)
-        self.samples = BANDS * self.rows
-        rng = np.random.default_rng(20)
-        self.times = rng.integers(0, 1 << 32, self.samples, np.uint32) | np.uint32(1)
-        self.plus = rng.integers(0, 1 << 32, self.samples, np.uint32)
-        self.weights = rng.integers(0, 1 << 63, self.rows, np.uint64) * np.uint64(2) + np.uint64(1)
-        self.which = rng.integers(0, 1 << 63, self.samples, np.uint64)
-        self.band = rng.integers(0, 1 << 63, BANDS, np.uint64)
-
-    def __call__(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least values of a shingle set under many hash functions."""
+
+    def __init__(self, samples: int, seed: int):
+        rng = np.random.default_rng(seed)
+        self.samples = samples
+        self.times = rng.integers(0, 1 << 32, samples, np.uint32) | np.uint32(1)
+        self.plus = rng.integers(0, 1 << 32, samples, np.uint32)
+        self.which = rng.integers(0, 1 << 63, samples, np.uint64)
+
+    def __call__(self, shingles: np.ndarray) -> np.ndarray:
         x = (shingles >> np.uint64(32)).astype(np.uint32)
         least = np.full(self.samples, 0xFFFFFFFF, np.uint32)
         for i in range(0, len(x), STEP):
             np.minimum(least, (x[i : i + STEP, None] * self.times + self.plus).min(axis=0), out=least)
-        wide = least.astype(np.uint64)
-        bands = mix((wide.reshape(BANDS, self.rows) * self.weights).sum(axis=1, dtype=np.uint64) + self.band)
-        at = (mix(wide + self.which) % np.uint64(SKETCH_BITS)).astype(np.int64)
-        odd = np.packbits((np.bincount(at, minlength=SKETCH_BITS) & 1).astype(np.uint8))
-        return bands, odd.view(np.uint64)
+        return mix(least.astype(np.uint64) + self.which)
+
+
+def band_keys(samples: np.ndarray, rows: int) -> np.ndarray:
+    keys = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
+    for column in samples.reshape(BANDS, rows).T:
+        keys = mix(keys ^ column)
+    return keys
+
+
+def odd_sketch(samples: np.ndarray) -> np.ndarray:
+    """Parity of the samples that fall on each bit."""
+    at = (samples % np.uint64(SKETCH_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=SKETCH_BITS) & 1).astype(np.uint8)).view(np.uint64)
 
 
 def _signatures(shingle: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sample = Sampler(similarity)
-        words = SKETCH_BITS // 64
+        rows = band_rows(similarity)
+        sample = Sampler(BANDS * rows, 20)
         for batch in batches:
             for piece in pieces(batch.column(2), lower=True):
-                sizes, keys, bands, odd = [], [], [], []
+                sizes, keys, bands = [], [], []
                 for i in range(piece.last - piece.first):
                     own = shingle_set(piece.hashes[piece.bounds[i] : piece.bounds[i + 1]], shingle)
                     sizes.append(len(own))
                     if len(own):
                         at = np.arange(1, len(own) + 1, dtype=np.uint64)
                         keys.append(np.array([(own * at).sum(dtype=np.uint64), mix(own).sum(dtype=np.uint64)]).tobytes())
-                        band, sketch = sample(own)
+                        bands.append(band_keys(sample(own), rows))
                     else:
                         keys.append(None)
-                        band, sketch = np.zeros(BANDS, np.uint64), np.zeros(words, np.uint64)
-                    bands.append(band)
-                    odd.append(sketch)
+                        bands.append(np.zeros(BANDS, np.uint64))
+                n = piece.last - piece.first
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(piece.first, piece.last - piece.first),
-                        batch.column(1).slice(piece.first, piece.last - piece.first),
+                        batch.column(0).slice(piece.first, n),
+                        batch.column(1).slice(piece.first, n),
                         pa.array(sizes, pa.int64()),
                         pa.array(keys, pa.binary()),
                         lists(np.concatenate(bands), BANDS),
-                        lists(np.concatenate(odd), words),
                     ],
-                    ["id", "text_key", "n_shingles", "set_key", "bands", "odd"],
+                    ["id", "text_key", "n_shingles", "set_key", "bands"],
+                )
+
+    return run
+
+
+def _sketches(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = Sampler(SKETCH_SAMPLES, 21)
+        for batch in batches:
+            for piece in pieces(batch.column(2), lower=True):
+                odd = [
+                    odd_sketch(sample(shingle_set(piece.hashes[piece.bounds[i] : piece.bounds[i + 1]], shingle)))
+                    for i in range(piece.last - piece.first)
+                ]
+                columns = [c.slice(piece.first, piece.last - piece.first) for c in batch.columns]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, lists(np.concatenate(odd), SKETCH_BITS // 64)], ["id", "n", "text", "bands", "odd"]
                 )
 
     return run
@@ -157,15 +183,14 @@ def near_duplicates(
     result; other columns are ignored.
     """
     similarity = part / whole
-    sampler = Sampler(similarity)
-    most = most_odd_bits(similarity, sampler.samples)
+    most = most_odd_bits(similarity)
     text = F.col(f"`{text_col}`").cast("string")
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     signatures = stored(
         source.mapInArrow(
             _signatures(shingle, similarity),
-            f"id {kind}, text_key long, n_shingles long, set_key binary, bands array<long>, odd array<long>",
+            f"id {kind}, text_key long, n_shingles long, set_key binary, bands array<long>",
         ),
         "signatures",
     )
@@ -177,17 +202,19 @@ def near_duplicates(
             F.min(F.struct("id", "text_key")).alias("row"),
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
-            F.first("odd").alias("odd"),
         )
-        .select("set_key", "row.*", "n", "bands", "odd"),
+        .select("set_key", "row.*", "n", "bands"),
         "classes",
     )
-    keys = classes.select("id", F.explode("bands").alias("key"))
+    keys = classes.select("id", F.posexplode("bands").alias("band", "key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = stored(keys.join(shared, "key"), "buckets")
     wanted = buckets.select("id").distinct()
-    known = classes.select("id", "text_key", "n", "odd").join(wanted, "id", "left_semi")
-    known = stored(known.join(source, ["id", "text_key"]), "texts")
+    known = classes.select("id", "text_key", "n", "bands").join(wanted, "id", "left_semi").join(source, ["id", "text_key"])
+    known = known.select("id", "n", "text", "bands").mapInArrow(
+        _sketches(shingle), f"id {kind}, n long, text string, bands array<long>, odd array<long>"
+    )
+    known = stored(known, "texts")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """Of candidate pairs (a, b), those that the full sets confirm."""
@@ -214,19 +241,37 @@ def near_duplicates(
     linked = confirm(stars.distinct())
     labels = stored(components(linked), "labels")
 
-    # What is left: pairs in a bucket that are not yet in one component. The classes outside the bucket's largest
-    # component are compared with all others there.
-    rows = buckets.select("key", "id").join(labels, F.col("id") == F.col("node"), "left")
-    rows = rows.select("key", "id", F.coalesce("component", "id").alias("label"))
-    main = (
-        rows.groupBy("key", "label")
-        .agg(F.count("*").alias("n"))
-        .groupBy("key")
-        .agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
-        .where("labels > 1")
-        .select("key", F.col("main.label").alias("main"))
-    )
-    mixed = stored(rows.join(main, "key").join(known.select("id", "n", "odd"), "id"), "mixed")
+    def several_labels() -> DataFrame:
+        """Rows of the buckets with several labels (equal only if linked): band, key, id, label, main (the commonest)."""
+        rows = buckets.select("band", "key", "id").join(labels, F.col("id") == F.col("node"), "left")
+        rows = rows.select("band", "key", "id", F.coalesce("component", "id").alias("label"))
+        main = (
+            rows.groupBy("key", "label")
+            .agg(F.count("*").alias("n"))
+            .groupBy("key")
+            .agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
+            .where("labels > 1")
+            .select("key", F.col("main.label").alias("main"))
+        )
+        return rows.join(main, "key")
+
+    # The classes outside a bucket's largest component with one of that component, another one in every bucket.
+    for turn in range(ROUNDS):
+        several = stored(several_labels(), "several")
+        inside = several.where("label = main").groupBy("key")
+        leaders = inside.agg(F.max(F.struct(F.xxhash64(F.lit(turn), "key", "id").alias("h"), "id", "label")).alias("l"))
+        pairs = several.where("label <> main").join(leaders, "key")
+        pairs = stored(pairs.select(F.col("l.id").alias("a"), F.col("id").alias("b"), F.col("l.label").alias("label")).distinct(), "pairs")
+        found = confirm(pairs.select("a", "b"))
+        linked = linked.union(found)
+        moved = found.join(pairs, ["a", "b"]).groupBy("b").agg(F.min("label").alias("label"))
+        labels = labels.join(moved, F.col("node") == F.col("b"), "full").select(
+            F.coalesce("node", "b").alias("node"), F.coalesce("label", "component").alias("component")
+        )
+        labels = stored(labels, "labels")
+
+    # What is left: pairs in a bucket that are not yet known to be connected.
+    mixed = stored(several_labels().join(known.select("id", "n", "bands", "odd"), "id"), "mixed")
     x, y = mixed.where("label <> main").alias("x"), mixed.alias("y")
     left = (
         x.join(
@@ -235,7 +280,9 @@ def near_duplicates(
             & (F.col("x.label") != F.col("y.label"))
             & ((F.col("y.label") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
             & (F.least("x.n", "y.n") * whole >= F.greatest("x.n", "y.n") * part)
-            & _few_odd_bits("x", "y", most),
+            & _few_odd_bits("x", "y", most)
+            # A pair meets in several buckets; the first band in which it does speaks for it.
+            & (F.array_position(F.zip_with("x.bands", "y.bands", lambda a, b: a == b), True) == F.col("x.band") + 1),
         )
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
         .distinct()
