@@ -55,7 +55,7 @@ STAGES = [
     ("token_rows", token_rows),
 ]
 
-# Similarity links, seeded mixing and token ids cannot be stated in SQL; tests compare with brute force.
+# Similarity links, seeded mixing and token ids cannot be stated in SQL; the operators are tested singly in tests/llm.
 ORACLE_SQL = None
 
 
