@@ -51,45 +51,48 @@ def _variants(lines: DataFrame) -> DataFrame:
     role 0: the character at the same place of both is deleted; 1: the shorter line itself; 2: the longer without one.
     """
     rows = _segments(lines, "l1", "l2", "place")
-    cut = "concat(left(middle, i - 1), substring(middle, i + 1))"
-    same = F.expr(f"transform(sequence(1, char_length(middle)), i -> xxhash64(0, n0, key, i, {cut}))")
-    one = F.expr("array(xxhash64(1, n0, key, middle))")
-    longer = F.expr(f"array_distinct(transform(sequence(1, char_length(middle)), i -> xxhash64(1, n0, key, {cut})))")
+    each = F.explode(F.sequence(F.lit(1), F.char_length("middle"))).alias("i")
+    before, after = F.expr("left(middle, i - 1)"), F.expr("substring(middle, i + 1)")
+    same = F.xxhash64(F.lit(0), "n0", "key", "i", before, after)
+    one = F.xxhash64(F.lit(1), "n0", "key", "middle")
+    less = F.xxhash64(F.lit(1), "n0", "key", F.concat(before, after))
     equal = rows.where("n = n0")
     return (
-        equal.select("l1", "l2", "place", F.lit(0).alias("role"), F.explode(same).alias("v"))
-        .union(equal.select("l1", "l2", "place", F.lit(1), F.explode(one)))
-        .union(rows.where("n = n0 + 1").select("l1", "l2", "place", F.lit(2), F.explode(longer)))
+        equal.select("*", each).select("l1", "l2", "place", F.lit(0).alias("role"), same.alias("v"))
+        .union(equal.select("l1", "l2", "place", F.lit(1), one))
+        .union(rows.where("n = n0 + 1").select("*", each).select("l1", "l2", "place", F.lit(2), less))
     )
 
 
-def _gone(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Lines that occur again or stand near an earlier one: (l1, l2, first: place of the first, near: whether that goes too)."""
+def _rows_in_question(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The lines that occur again or share a key with another line: (id, text_key, line_no, l1, l2, place, line).
+
+    The text of a line is there only if it shares a key. Keys and hashes are grouped first, without texts.
+    """
     lines = _lines(docs, id_col, text_col)
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "line_no", "text_key")
     keys = _segments(lines, "l1", "l2").select("key", "l1", "l2")
     shared = keys.groupBy("key").agg(F.min("l1").alias("low"), F.max("l1").alias("high")).where("low <> high").select("key")
+    shared = stored(shared, "shared")
     close = keys.join(shared, "key", "left_semi").select("l1", "l2").distinct().withColumn("close", F.lit(True))
-    distinct = lines.groupBy("l1", "l2").agg(
-        F.min(place).alias("place"), F.count("*").alias("n"), F.first("line").alias("line")
-    )
+    again = lines.groupBy("l1", "l2").agg(F.count("*").alias("n")).where("n > 1").select("l1", "l2")
+    wanted = stored(again.join(close, ["l1", "l2"], "full"), "wanted")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "line_no", "text_key")
+    rows = lines.join(wanted, ["l1", "l2"]).withColumn("line", F.when(F.col("close"), F.col("line")))
+    return stored(rows.select("id", "text_key", "line_no", "l1", "l2", place.alias("place"), "line"), "rows")
+
+
+def _gone(rows: DataFrame) -> DataFrame:
+    """Of the lines in question (l1, l2, first: place of the first, near: whether that goes too, for an earlier line)."""
     known = stored(
-        distinct.join(close, ["l1", "l2"], "left")
-        .where("n > 1 or close")
-        .select("l1", "l2", "place", F.when(F.col("close"), F.col("line")).alias("line")),
-        "lines",
+        rows.groupBy("l1", "l2").agg(F.min("place").alias("place"), F.first("line").alias("line")), "distinct_lines"
     )
+    texts = known.where("line is not null")
     group = Window.partitionBy("v")
     others = [F.min(F.when(F.col("role") == r, F.col("place"))).over(group) for r in (0, 2, 1)]
     earliest = F.when(F.col("role") == 0, others[0]).when(F.col("role") == 1, others[1]).otherwise(others[2])
     candidates = (
-        _variants(known.where("line is not null"))
-        .withColumn("keep", earliest)
-        .where("keep < place")
-        .groupBy("l1", "l2")
-        .agg(F.min("keep").alias("keep"))
+        _variants(texts).withColumn("keep", earliest).where("keep < place").groupBy("l1", "l2").agg(F.min("keep").alias("keep"))
     )
-    texts = known.where("line is not null")
     checked = (
         candidates.join(texts.select("l1", "l2", "line"), ["l1", "l2"])
         .join(texts.select(F.col("place").alias("keep"), F.col("line").alias("kept_line")), "keep")
@@ -109,12 +112,11 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     without an id last. A null text has one blank line. Rows that repeat both id and text stand at the same place: what
     is first in one is first in the other. An empty table gives an empty result; other columns are ignored.
     """
-    gone = stored(_gone(docs, id_col, text_col), "gone")
-    lines = _lines(docs, id_col, text_col).select("id", "text_key", "line_no", "l1", "l2")
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "line_no", "text_key")
+    lines = _rows_in_question(docs, id_col, text_col)
+    gone = stored(_gone(lines), "gone")
     removed = (
         lines.join(gone, ["l1", "l2"])
-        .where(F.col("near") | (place != F.col("first")))
+        .where(F.col("near") | (F.col("place") != F.col("first")))
         .groupBy("id", "text_key")
         .agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
     )
