@@ -34,15 +34,20 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _segments(lines: DataFrame, *keep: str) -> DataFrame:
     """A row for each length the shorter line of a pair may have, and each segment left out: its key and its characters."""
-    n = F.char_length("line")
-    shorter = F.explode(F.array(n, n - 1)).alias("n0")
-    cut = lines.where(n >= MIN_CHARS).select(*keep, "line", n.alias("n"), shorter)
+    # In UTF-32 every character has four bytes, so parts are found without reading what stands before them.
+    cut = lines.where(F.char_length("line") >= MIN_CHARS).select(*keep, F.encode("line", "UTF-32").alias("line"))
+    n = F.expr("cast(octet_length(line) div 4 as int)")
+    cut = cut.select(*keep, "line", n.alias("n"), F.explode(F.array(n, n - 1)).alias("n0"))
     cut = cut.withColumn("m", F.greatest(F.lit(2), F.ceil(F.col("n0") / SEGMENT)).cast("int"))
     cut = cut.withColumn("size", F.floor(F.col("n0") / F.col("m")).cast("int"))
     cut = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
     before, after = F.col("j") * F.col("size"), (F.col("m") - 1 - F.col("j")) * F.col("size")
-    key = F.xxhash64("j", "m", "size", F.substring("line", F.lit(1), before), F.substring("line", F.col("n") - after + 1, after))
-    return cut.select(*keep, "n", "n0", key.alias("key"), F.substring("line", before + 1, F.col("n") - before - after).alias("middle"))
+
+    def part(first, chars):
+        return F.substring("line", first * 4 + 1, chars * 4)
+
+    key = F.xxhash64("j", "m", "size", part(F.lit(0), before), part(F.col("n") - after, after))
+    return cut.select(*keep, "n", "n0", key.alias("key"), part(before, F.col("n") - before - after).alias("middle"))
 
 
 def _variants(lines: DataFrame) -> DataFrame:
@@ -51,8 +56,8 @@ def _variants(lines: DataFrame) -> DataFrame:
     role 0: the character at the same place of both is deleted; 1: the shorter line itself; 2: the longer without one.
     """
     rows = _segments(lines, "l1", "l2", "place")
-    each = F.explode(F.sequence(F.lit(1), F.char_length("middle"))).alias("i")
-    before, after = F.expr("left(middle, i - 1)"), F.expr("substring(middle, i + 1)")
+    each = F.expr("explode(sequence(1, cast(octet_length(middle) div 4 as int)))").alias("i")
+    before, after = F.expr("substring(middle, 1, 4 * i - 4)"), F.expr("substring(middle, 4 * i + 1)")
     same = F.xxhash64(F.lit(0), "n0", "key", "i", before, after)
     one = F.xxhash64(F.lit(1), "n0", "key", "middle")
     less = F.xxhash64(F.lit(1), "n0", "key", F.concat(before, after))
