@@ -192,11 +192,18 @@ def mix(
     )
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents of the mix with all their columns: each as often as the words taken of it come nearest to."""
-    copies = F.round(F.col("taken") / F.col("size")).cast("int")
-    found = mix(docs, id_col, **options).where("taken > 0").select(F.col(f"`{id_col}`").alias("_id"), copies.alias("_copies"))
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", seed: int = 5, **options) -> DataFrame:
+    """The documents of the mix with all their columns, whole, as many copies of each as the mix takes of its words.
+
+    A fraction of a copy is a whole one with that chance, drawn by a seeded hash of the id, so a source's words stay
+    near its target whether it is taken less than once or several times. Rows that repeat an id, or have none,
+    get the same number of copies: the most that one of them is given.
+    """
+    share = F.col("taken") / F.col("size")
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.lit("copy"), f"`{id_col}`"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    copies = (F.floor(share) + (draw < share - F.floor(share)).cast("int")).cast("int")
+    found = mix(docs, id_col, seed=seed, **options).where("taken > 0").select(F.col(f"`{id_col}`").alias("_id"), copies.alias("_copies"))
     found = found.where("_copies > 0").groupBy("_id").agg(F.max("_copies").alias("_copies"))
-    joined = docs.join(found, docs[f"`{id_col}`"] == F.col("_id"))
+    joined = docs.join(found, docs[f"`{id_col}`"].eqNullSafe(F.col("_id")))
     again = F.explode(F.sequence(F.lit(1), F.col("_copies")))
     return joined.select(*[docs[f"`{c}`"] for c in docs.columns], again.alias("_copy")).drop("_copy")
