@@ -1,6 +1,6 @@
 """Exact duplicates by content sort: equal texts come to stand side by side and are compared in full.
 
-Sampled splitters range-partition the rows by their normalised text, each partition is sorted externally, and a window
+Sampled splitters range-partition the rows by the head of their normalised text and its digest, each partition is sorted externally, and a window
 over equal neighbours (Spark compares the whole keys) finds each text's best row. A text with more rows than a partition
 should hold is dealt over several runs by a salt that is part of the sort key; the runs' best rows, at most a few
 per partition, are compared in full once more. Only DataFrame functions are used.
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from bazaarframe.llm.store import stored
 
 BLANKS = r"[\x20\x09-\x0D]+"
+#: Characters of a text that decide its range.
+HEAD = 64
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -29,7 +31,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.regexp_replace(text, BLANKS, "").alias("norm"), F.char_length(text).alias("n_chars")
-    ).withColumn("digest", F.xxhash64("norm"))
+    ).withColumns({"digest": F.xxhash64("norm"), "head": F.left("norm", F.lit(HEAD))})
 
     # A text with more rows than an even share: there are fewer such texts than partitions, so the table is small.
     share = docs.count() // parts + 1
@@ -40,9 +42,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "salt", F.when(F.col("runs").isNull(), 0).otherwise(F.pmod(F.monotonically_increasing_id(), F.col("runs"))).cast("int")
     )
 
-    run = Window.partitionBy("norm", "salt")
+    # The splitters are sampled to the driver, so they hold a text's head and digest only; the sort goes on to the whole text.
+    run = Window.partitionBy("head", "digest", "salt", "norm")
     best_first = run.orderBy(F.desc("n_chars"), F.asc_nulls_last("id"))
-    sorted_rows = salted.repartitionByRange(parts, "norm", "salt").select(
+    sorted_rows = salted.repartitionByRange(parts, "head", "digest", "salt").select(
         "id",
         F.sha2("norm", 256).alias("sha"),
         "salt",
