@@ -3,14 +3,17 @@
 The mix has as many words as the documents. Sources share them by weight, but none beyond a multiple of its own size;
 what a source cannot take goes to the others by weight. The mix is cut into equal blocks; every shard of it is given its
 blocks by highest quotients target / (2k + 1), so a source's quotas are integers and add up over the shards. A
-source's documents form a stream in seeded order that is cut into blocks of the same size; its quota is filled by full
-passes over the stream and then by blocks in seeded order, the last of them cut where the target is reached.
+source's documents form a stream in seeded order that is cut into blocks of the same size, and the blocks are put in seeded
+order, pass after pass. Shard after shard takes its quota of blocks where the shard before it stopped.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +33,8 @@ def next_prime(n: int) -> int:
     return n
 
 
-def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
-    """Rows (id, source, src, size, place): src never null, place a seeded number of the row."""
+def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, *keep: str) -> DataFrame:
+    """Rows (id, source, src, size, place, keep): src never null, place a seeded number of the row."""
     text = F.col(f"`{text_col}`").cast("string")
     source = F.col(f"`{source_col}`").cast("string")
     return docs.select(
@@ -40,6 +43,7 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str, se
         F.coalesce(F.concat(F.lit("s"), source), F.lit("")).alias("src"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.xxhash64(F.lit(seed), f"`{id_col}`", text).alias("place"),
+        *keep,
     )
 
 
@@ -118,7 +122,7 @@ def apportion(targets: DataFrame, total: int, house: int, shards: int) -> DataFr
     return seats.select("src", "shard", (F.col("seats") - before).alias("quota"))
 
 
-def mix(
+def _streams(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -128,39 +132,33 @@ def mix(
     blocks: int = BLOCKS,
     shards: int = SHARDS,
     seed: int = 5,
-) -> DataFrame:
-    """One row per input row: ``<id_col>``, size, source_size, target, taken, quota.
+    keep: tuple[str, ...] = (),
+) -> tuple[DataFrame, int, int]:
+    """The rows in their sources' streams, the words of a block, and the prime that orders the blocks.
 
-    A document's size is its number of words (null: 0). Sources in code point order, null last and a source of its own,
-    have the weights in turn; targets (words, of the source) stop at ``most`` times the source's size. quota is
-    the source's number of blocks over all shards, taken the words of the document that the mix holds, repeats counted:
-    at most ``ceil(most)`` times its size. Equal seeds give equal results. Documents without words are taken 0 times; if
-    no document has words, all numbers are 0. An empty table gives an empty result; other columns are ignored.
+    A row's words are start..stop of its source's stream. ends are the words of the source that the mix holds up to the end of
+    each shard: whole blocks, but never beyond ``most`` times the source's words.
     """
-    sizes = stored(word_counts(docs, id_col, text_col, source_col, seed), "sizes")
+    sizes = stored(word_counts(docs, id_col, text_col, source_col, seed, *keep), "sizes")
     targets, total = source_targets(sizes, weights, most)
     targets = stored(targets, "targets")
     block = max(1, total // blocks)
     house = total // block
-    quotas = apportion(targets, total, house, shards).groupBy("src").agg(F.sum("quota").alias("quota"))
     prime = next_prime(max(blocks, house) + 2 + 2 * seed)
 
-    # Of each source: passes over its stream, then the blocks before `full` in seeded order and `cut` words of the next.
-    plan = targets.join(quotas, "src").withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.lit(block)))).selectExpr(
-        "*",
-        # The quota's blocks, and what rounding to blocks left over.
-        f"quota * {block}L + (cast(round(target) as long) - quota * {block}L) as words",
-        f"source_size - (blocks - 1) * {block}L as short",
-        f"pmod(xxhash64({seed}, src), blocks) as shift",
-    )
-    plan = plan.selectExpr(
-        "*",
-        "if(source_size = 0, 0L, words div greatest(source_size, 1L)) as passes",
-        "if(source_size = 0, 0L, words % greatest(source_size, 1L)) as rest",
-        f"pmod((blocks - 1) * {prime}L + shift, blocks) as short_at",
-    ).selectExpr("*", f"if(rest >= short_at * {block}L + short, rest + {block}L - short, rest) as reach").selectExpr(
-        "src", "source_size", "target", "quota", "blocks", "shift", "passes", f"reach div {block}L as full", f"reach % {block}L as cut"
+    so_far = F.sum("quota").over(Window.partitionBy("src").orderBy("shard"))
+    dealt = apportion(targets, total, house, shards).select("src", "shard", "quota", so_far.alias("so_far"))
+    dealt = dealt.groupBy("src").agg(
+        F.sum("quota").alias("quota"), F.sort_array(F.collect_list(F.struct("shard", "so_far")))["so_far"].alias("so_far")
     )
+    plan = targets.join(dealt, "src").selectExpr(
+        "src",
+        "source_size",
+        "target",
+        "quota",
+        f"greatest(1L, ceil(source_size / {block}L)) as blocks",
+        f"transform(so_far, q -> least(q * {block}L, cast(floor(source_size * {float(most)!r}D) as long))) as ends",
+    ).withColumn("shift", F.expr(f"pmod(xxhash64({seed}, src), blocks)"))
 
     rows = sizes.count()
     bits = max(1, math.ceil(math.log2(max(2, rows / BUCKET_ROWS))))
@@ -168,28 +166,69 @@ def mix(
     sums = placed.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
     before = F.sum("words").over(Window.partitionBy("src").orderBy("bucket")) - F.col("words")
     sums = sums.select("src", "bucket", before.alias("before")).join(plan, "src")
-    stream = Window.partitionBy("src", "bucket").orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    stream = Window.partitionBy("src", "bucket").orderBy("place", "id", "size", *keep).rowsBetween(Window.unboundedPreceding, 0)
     spread = placed.join(sums, ["src", "bucket"]).withColumn("stop", F.col("before") + F.sum("size").over(stream))
-    spread = spread.withColumn("start", F.col("stop") - F.col("size"))
-
-    def words_in(i):
-        low, high = F.greatest("start", i * block), F.least("stop", (i + 1) * block)
-        at = F.pmod(i * prime + F.col("shift"), F.col("blocks"))
-        part = F.greatest(F.lit(0).cast("long"), F.least(high, i * block + F.col("cut")) - low)
-        return F.when(at < F.col("full"), high - low).when(at == F.col("full"), part).otherwise(F.lit(0).cast("long"))
-
-    touched = F.sequence(F.floor(F.col("start") / block), F.floor((F.col("stop") - 1) / block))
-    once_more = F.when(
-        F.col("size") > 0, F.aggregate(touched, F.lit(0).cast("long"), lambda sum_, i: sum_ + words_in(i))
-    ).otherwise(F.lit(0).cast("long"))
-    return spread.select(
-        F.col("id").alias(id_col),
-        "size",
-        "source_size",
-        "target",
-        (F.col("passes") * F.col("size") + once_more).alias("taken"),
-        "quota",
+    return spread.withColumn("start", F.col("stop") - F.col("size")), block, prime
+
+
+def _deal(block: int, prime: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = len(batch)
+            if not n:
+                continue
+            own = {c: batch.column(c).to_numpy() for c in ("size", "source_size", "start", "blocks", "shift")}
+            ends = batch.column("ends").flatten().to_numpy().reshape(n, -1)
+            first = own["start"] // block
+            touched = np.where(own["size"] > 0, (own["start"] + own["size"] - 1) // block - first + 1, 0)
+            row = np.repeat(np.arange(n), touched)
+            i = np.arange(len(row)) - np.repeat(np.cumsum(touched) - touched, touched) + first[row]
+            size, start, whole, blocks, shift = (own[c][row] for c in ("size", "start", "source_size", "blocks", "shift"))
+            low, high = np.maximum(start, i * block), np.minimum(start + size, (i + 1) * block)
+            # Where the words of block i stand in a pass: the last block of the stream may be short.
+            at, short_at = (i * prime + shift) % blocks, ((blocks - 1) * prime + shift) % blocks
+            place = at * block + low - i * block - np.where(at > short_at, blocks * block - whole, 0)
+            shares = np.zeros((n, ends.shape[1]), np.int64)
+            for one in range(int(np.max(-(-ends[:, -1] // np.maximum(own["source_size"], 1)), initial=0))):
+                a = place + one * whole
+                b, before = a + high - low, np.zeros(len(row), np.int64)
+                for j in range(ends.shape[1]):
+                    end = ends[row, j]
+                    got = np.maximum(np.minimum(b, end) - np.maximum(a, before), 0)
+                    shares[:, j] += np.bincount(row, got, n).astype(np.int64)
+                    before = end
+            offsets = np.arange(n + 1, dtype=np.int32) * ends.shape[1]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c) for c in ("id", "size", "source_size", "target")),
+                    pa.array(shares.sum(axis=1)),
+                    batch.column("quota"),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(shares.ravel())),
+                ],
+                ["id", "size", "source_size", "target", "taken", "quota", "by_shard"],
+            )
+
+    return run
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """One row per input row: ``<id_col>``, size, source_size, target, taken, quota, by_shard. Options: those of _streams.
+
+    A document's size is its number of words (null: 0). Sources in code point order, null last and a source of its own,
+    have the weights in turn; targets (words, of the source) stop at ``most`` times the source's size. quota is
+    the source's number of blocks over all shards, by_shard the words of the document that each shard holds, repeats
+    counted, taken their sum: at most ``ceil(most)`` times its size. A source's words taken are those of its quota, or
+    ``most`` times its own if that is less. Equal seeds give equal results. Documents without words are taken 0
+    times; if no document has words, all numbers are 0. An empty table gives an empty result; other columns are ignored.
+    """
+    spread, block, prime = _streams(docs, id_col, **options)
+    rows = spread.select("id", "size", "source_size", "target", "quota", "start", "blocks", "shift", "ends")
+    kind = rows.schema["id"].dataType.simpleString()
+    dealt = rows.mapInArrow(
+        _deal(block, prime),
+        f"id {kind}, size long, source_size long, target double, taken long, quota long, by_shard array<long>",
     )
+    return dealt.withColumnRenamed("id", id_col)
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", seed: int = 5, **options) -> DataFrame:
