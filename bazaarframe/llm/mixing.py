@@ -231,18 +231,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     return dealt.withColumnRenamed("id", id_col)
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", seed: int = 5, **options) -> DataFrame:
-    """The documents of the mix with all their columns, whole, as many copies of each as the mix takes of its words.
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The documents of the mix with all their columns, whole, as many copies of each as fill their source's quota.
 
-    A fraction of a copy is a whole one with that chance, drawn by a seeded hash of the id, so a source's words stay
-    near its target whether it is taken less than once or several times. Rows that repeat an id, or have none,
-    get the same number of copies: the most that one of them is given.
+    A source's words are filled by full passes over its documents and then by documents in the seeded order of its
+    stream; the one in which the words end is taken if more than half of it is, or just half. So a source misses the words
+    that mix takes of it by at most half a document. Rows are told apart even if they repeat an id or have none. Documents
+    without words are not taken. Options: those of _streams.
     """
-    share = F.col("taken") / F.col("size")
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.lit("copy"), f"`{id_col}`"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    copies = (F.floor(share) + (draw < share - F.floor(share)).cast("int")).cast("int")
-    found = mix(docs, id_col, seed=seed, **options).where("taken > 0").select(F.col(f"`{id_col}`").alias("_id"), copies.alias("_copies"))
-    found = found.where("_copies > 0").groupBy("_id").agg(F.max("_copies").alias("_copies"))
-    joined = docs.join(found, docs[f"`{id_col}`"].eqNullSafe(F.col("_id")))
+    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    spread, _, _ = _streams(numbered, id_col, keep=("_row",), **options)
+    words = F.element_at("ends", -1)
+    found = spread.where("size > 0").select(
+        "_row", "size", "start", F.expr("element_at(ends, -1) div source_size").alias("passes"), (words % F.col("source_size")).alias("rest")
+    )
+    once_more = (2 * F.col("start") + F.col("size") <= 2 * F.col("rest")).cast("int")
+    found = found.select("_row", (F.col("passes").cast("int") + once_more).alias("_copies")).where("_copies > 0")
     again = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return joined.select(*[docs[f"`{c}`"] for c in docs.columns], again.alias("_copy")).drop("_copy")
+    return numbered.join(found, "_row").select(*[F.col(f"`{c}`") for c in docs.columns], again.alias("_copy")).drop("_copy")
