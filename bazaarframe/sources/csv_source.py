@@ -2,7 +2,7 @@
 
 Spark reads plain CSV in splits, but needs one task per file once ``multiLine`` is on. Here a first
 pass over the text finds the files in which some line ends inside a quoted field. All other files go
-to Spark's own reader, line by line. In the few that remain, each split learns from its
+to Spark's own reader, line by line. In the few that remain, read once more by themselves, each split learns from its
 predecessors' quote counts whether it begins inside a record; it then joins the lines of its own
 records, and only a record cut by a split boundary is put together through a shuffle.
 
@@ -106,10 +106,10 @@ def _text_schema(columns: list[str]) -> str:
 
 
 def _read_plain(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
-    # enforceSchema=False compares every file's header with the columns instead of trusting order.
-    return (
-        spark.read.schema(_text_schema(columns)).options(header=True, enforceSchema=False, **_CSV_OPTIONS).csv(paths)
-    )
+    # enforceSchema=False compares every file's header with the columns instead of trusting order. Without pruning the
+    # parser counts a row's fields even if some columns are dropped later.
+    options = dict(_CSV_OPTIONS, header=True, enforceSchema=False, columnPruning=False)
+    return spark.read.schema(_text_schema(columns)).options(**options).csv(paths)
 
 
 def scan_csv(spark: SparkSession, path: str) -> CsvScan:
@@ -119,40 +119,42 @@ def scan_csv(spark: SparkSession, path: str) -> CsvScan:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     header = spark.read.options(header=True, **_CSV_OPTIONS).csv(path).columns
 
+    per_file = _line_counts(_lines(spark, [path]), "file")
+    # One row per file.
+    plain, joined, plain_rows = [], [], 0
+    for row in per_file.collect():
+        if row["open_lines"]:
+            joined.append(row["file"])
+        else:
+            plain.append(row["file"])
+            plain_rows += max(row["lines"] - 1, 0)
+    return CsvScan(spark, header, sorted(plain), _split_states(spark, sorted(joined)) if joined else {}, plain_rows)
+
+
+def _line_counts(lines: DataFrame, *keys: str) -> DataFrame:
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    per_split = (
-        _lines(spark, [path])
-        .groupBy("file", "split")
-        .agg(
-            F.count_if(F.col("value").rlike(r"[^\x00-\x20]")).alias("lines"),
-            F.sum(quotes % 2).alias("odd_lines"),
-            F.count_if(~F.col("value").rlike(_WHOLE_LINE)).alias("open_lines"),
-        )
+    return lines.groupBy(*keys).agg(
+        F.count_if(F.col("value").rlike(r"[^\x00-\x20]")).alias("lines"),
+        F.sum(quotes % 2).alias("odd_lines"),
+        F.count_if(~F.col("value").rlike(_WHOLE_LINE)).alias("open_lines"),
     )
-    in_file = Window.partitionBy("file")
-    before = in_file.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _split_states(spark: SparkSession, paths: list[str]) -> dict[str, dict[int, SplitState]]:
+    """Of each file its splits, cut as _join_records cuts them: Spark's cut depends on the size of all files read together."""
+    per_split = _line_counts(_lines(spark, paths), "file", "split")
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     starts_open = F.coalesce(F.sum("odd_lines").over(before), F.lit(0)) % 2 == 1
     # A split inside one long record has no odd line; the record then belongs to an earlier split.
     begins_record = ~F.col("starts_open") | (F.col("odd_lines") > 0)
-    states = (
-        per_split.withColumn("file_lines", F.sum("lines").over(in_file))
-        .withColumn("file_open_lines", F.sum("open_lines").over(in_file))
-        .withColumn("first_split", F.min("split").over(in_file))
-        .withColumn("starts_open", starts_open)
-        .withColumn("owner", F.last(F.when(begins_record, F.col("split")), ignorenulls=True).over(before))
-        .where("file_open_lines > 0 or split = first_split")
+    states = per_split.withColumn("starts_open", starts_open).withColumn(
+        "owner", F.last(F.when(begins_record, F.col("split")), ignorenulls=True).over(before)
     )
-    # One row per plain file, one per split of the others.
-    plain, joined, plain_rows = [], {}, 0
+    found: dict[str, dict[int, SplitState]] = {}
     for row in states.collect():
-        if row["file_open_lines"]:
-            ends_open = row["starts_open"] != (row["odd_lines"] % 2 == 1)
-            splits = joined.setdefault(row["file"], {})
-            splits[row["split"]] = SplitState(row["starts_open"], ends_open, row["owner"])
-        else:
-            plain.append(row["file"])
-            plain_rows += max(row["file_lines"] - 1, 0)
-    return CsvScan(spark, header, sorted(plain), joined, plain_rows)
+        ends_open = row["starts_open"] != (row["odd_lines"] % 2 == 1)
+        found.setdefault(row["file"], {})[row["split"]] = SplitState(row["starts_open"], ends_open, row["owner"])
+    return found
 
 
 def _ends_open(line: str) -> bool:
