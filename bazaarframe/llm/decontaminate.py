@@ -6,8 +6,9 @@ in few places. Items and windows of documents are sequences of words. Each of ma
 the embedding within the first steps that an item of that length takes; a window that has an item's words in all
 places sampled by one walk is a candidate, and a candidate counts if its edit distance to the item is within the bound.
 
-Windows are taken where they can matter: an item within the bound has a run of RUN words unedited, so only starts that
-such a run of some item allows are embedded. This leaves out no pair within the bound.
+Windows are taken where they can matter: an item within the bound has a run of so many words unedited (sure_run), so only
+starts that such a run of some item allows are embedded. This leaves out no pair within the bound. Short items are found
+by the hash of all their words.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ from bazaarframe.llm.words import mix, pieces
 
 #: Edits (words inserted, deleted or replaced) allowed for each word of the item.
 EDITS = 0.1
-#: Shorter items say too little to tell a leak from chance.
+#: Shorter items say too little to tell an edited copy from chance; they count if all their words stand in a row.
 MIN_WORDS = 8
-#: An item of n words with at most EDITS * n edits keeps (n - e) / (e + 1) words in a row, never fewer than 4 for n >= 8.
+#: Words of the runs that windows are taken from, at most.
 RUN = 4
 WALKS = 48
 SAMPLED = 3
@@ -38,6 +39,12 @@ def allowed(n: int, edits: float) -> int:
     return int(n * edits)
 
 
+def sure_run(lengths: list[int], edits: float) -> int:
+    """Words in a row that every item of these lengths keeps within the bound, RUN at most: n - e words in e + 1 runs."""
+    kept = [-(-(n - allowed(n, edits)) // (allowed(n, edits) + 1)) for n in lengths]
+    return min([RUN, *kept])
+
+
 def walks(symbols: np.ndarray, starts: np.ndarray, stops: np.ndarray, seeds: np.ndarray, steps: int) -> np.ndarray:
     """Embedding of symbols[start:stop] by each seed: starts x seeds x steps; past the end it writes zeros."""
     at = np.repeat(starts[:, None], len(seeds), axis=1)
@@ -59,17 +66,28 @@ class Benchmark:
         self.seeds = rng.integers(0, 1 << 63, n_walks, np.uint64) * np.uint64(2) + np.uint64(1)
         texts = pa.array([text for _, text in items], pa.string()).cast(pa.binary())
         self.ids, self.words = [], []
+        short: dict[int, list[tuple]] = {}
         for piece in pieces(texts, lower=True):
             for i in range(piece.last - piece.first):
                 own = piece.hashes[piece.bounds[i] : piece.bounds[i + 1]]
                 if len(own) >= MIN_WORDS:
                     self.ids.append(items[piece.first + i][0])
                     self.words.append(own.copy())
+                elif len(own):
+                    short.setdefault(len(own), []).append((int(_runs(own, len(own))[0]), items[piece.first + i][0]))
+        # Hashes of the short items of each length in order, and their places in ids, after the longer ones.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n, own in short.items():
+            hashes = np.array([h for h, _ in own], np.uint64)
+            order = np.argsort(hashes, kind="stable")
+            self.short[n] = hashes[order], order + len(self.ids)
+            self.ids += [item for _, item in own]
         self.lengths = sorted({len(w) for w in self.words})
         # For every run and length of an item that holds it: the least and greatest place at which it stands there.
+        self.run = sure_run(self.lengths, edits)
         runs: dict[tuple[int, int], list[int]] = {}
         for own in self.words:
-            for at, run in enumerate(_runs(own)):
+            for at, run in enumerate(_runs(own, self.run)):
                 low_high = runs.setdefault((int(run), len(own)), [at, at])
                 low_high[0], low_high[1] = min(low_high[0], at), max(low_high[1], at)
         entries = sorted(runs)
@@ -106,7 +124,7 @@ class Benchmark:
         """Item-sized windows that may hold an item: where each begins, its words, and the end of its text."""
         if not len(self.runs):
             return (np.zeros(0, np.int64),) * 3
-        runs = _runs(piece.hashes)
+        runs = _runs(piece.hashes, self.run)
         at = np.flatnonzero(self.gate[(runs >> np.uint64(64 - _GATE_BITS)).astype(np.int64)])
         first, last = np.searchsorted(self.runs, runs[at], "left"), np.searchsorted(self.runs, runs[at], "right")
         entry, at = _spread(first, last - first), np.repeat(at, last - first)
@@ -122,6 +140,21 @@ class Benchmark:
         _, one = np.unique(starts * (self.lengths[-1] + 1) + self.sizes[entry], return_index=True)
         return starts[one], self.sizes[entry[one]], stops[one]
 
+    def short_items(self, piece) -> list[tuple[int, int]]:
+        """(text, item) of the short items that stand in a text, all words in a row."""
+        found = []
+        for n, (known, items) in self.short.items():
+            runs = _runs(piece.hashes, n)
+            first, last = np.searchsorted(known, runs, "left"), np.searchsorted(known, runs, "right")
+            at = np.flatnonzero(last > first)
+            text = np.searchsorted(piece.bounds, at, "right") - 1
+            inside = at + n <= piece.bounds[text + 1]
+            at, text = at[inside], text[inside]
+            # Each text and hash once, then the items with that hash.
+            once = np.unique(np.stack([text, first[at], last[at]], axis=1), axis=0)
+            found += [(int(t), int(item)) for t, a, b in once for item in items[a:b]]
+        return found
+
     def candidates(self, piece, starts: np.ndarray, sizes: np.ndarray, stops: np.ndarray) -> set[tuple[int, int]]:
         """(start, item) of the windows that share the sampled places of some walk with an item of their size."""
         found: set[tuple[int, int]] = set()
@@ -142,12 +175,13 @@ def _spread(first: np.ndarray, several: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(several) - several), several) + np.arange(several.sum())
 
 
-def _runs(words: np.ndarray) -> np.ndarray:
-    if len(words) < RUN:
+def _runs(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the size words from each word on."""
+    if len(words) < size:
         return np.zeros(0, np.uint64)
-    runs = words[: len(words) - RUN + 1].copy()
-    for i in range(1, RUN):
-        runs = mix(runs * np.uint64(0x9E3779B97F4A7C15) + words[i : len(words) - RUN + 1 + i])
+    runs = words[: len(words) - size + 1].copy()
+    for i in range(1, size):
+        runs = mix(runs * np.uint64(0x9E3779B97F4A7C15) + words[i : len(words) - size + 1 + i])
     return runs
 
 
@@ -169,10 +203,8 @@ def _search(shared, edits: float, n_walks: int):
         for batch in batches:
             rows, items, distances = [], [], []
             for piece in pieces(batch.column(2), lower=True):
+                best: dict[tuple[int, int], int] = {found: 0 for found in known.short_items(piece)}
                 windows = known.windows(piece)
-                if not len(windows[0]):
-                    continue
-                best: dict[tuple[int, int], int] = {}
                 for start, item in sorted(known.candidates(piece, *windows)):
                     text = int(np.searchsorted(piece.bounds, start, "right")) - 1
                     if best.get((text, item)) == 0:
@@ -211,11 +243,13 @@ def contaminated(
     """One row per input row: ``<id_col>``, contaminated, n_items, item_ids (ascending), least_edits (null if clean).
 
     A document is contaminated by an item if some run of its words is within ``edits`` word edits for each word of the
-    item, A-Z in lower case. Whole texts and all items of at least MIN_WORDS words are searched; shorter, blank and null
-    items, and items without an id, are not searched for. A null or empty text is clean. Rows with one id and different texts are
+    item, A-Z in lower case, or, for an item of fewer than MIN_WORDS words, if all its words stand in it in a row. Whole texts
+    and all items are searched but blank and null items, and items without an id. ``edits`` is below 1. A null or empty text is clean. Rows with one id and different texts are
     told apart; repeated rows get the same answer. With an empty benchmark all rows are clean; an empty table gives
     an empty result; other columns are ignored.
     """
+    if not 0 <= edits < 1:
+        raise ValueError(f"edits must be at least 0 and below 1, not {edits}")
     spark = docs.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
