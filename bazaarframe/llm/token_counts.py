@@ -2,7 +2,8 @@
 
 A text's count depends on its bytes and on the tokenizer alone. So the cache is a Parquet table of counts under the digest
 of the tokenizer's file and library version, keyed by the SHA-256 of the text (null as empty). Only distinct texts that
-the cache lacks are encoded, and their counts are appended before the result is joined together from the cache.
+the cache lacks are encoded, and their counts are appended before the result is joined together from the cache. Without a
+folder of its own the cache is one in the session's shared folder, the same for all calls of the session.
 """
 
 from __future__ import annotations
@@ -11,19 +12,23 @@ import hashlib
 import importlib.metadata
 import json
 import re
+import threading
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarframe.llm.store import new_path
+from bazaarframe.llm.store import scratch
 
 #: A blank between two characters that are no white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Encoded word runs remembered by a task.
 MEMO = 300_000
 BATCH = 512
+#: Of calls at once, one appends at a time: Spark's writers into one folder share its temporary files.
+_APPEND = threading.Lock()
+_COUNTS = "digest binary, n_tokens long"
 
 
 def splits_at_blanks(spec: dict) -> bool:
@@ -118,7 +123,7 @@ def count_tokens(
     """One row per input row: ``<id_col>``, n_bytes, n_tokens, over_limit (n_tokens above ``limit``).
 
     ``tokenizer`` names a file on the driver; its bytes are sent to the executors. ``cache`` is a folder that all machines
-    reach; without one the counts live in the session's shared folder. Counts are those of the library's default call
+    reach; without one the counts live in the session's shared folder until ``store.clear``, and later calls find them. Counts are those of the library's default call
     without added special tokens, truncation or padding. A null text counts as empty: 0 bytes, 0 tokens (or what the
     tokenizer gives for an empty text). Repeated texts are encoded once. An empty table gives an empty result.
     """
@@ -126,18 +131,19 @@ def count_tokens(
     with open(tokenizer, "rb") as file:
         content = file.read()
     name = version(tokenizer, content)
-    folder = f"{(cache or new_path(spark, 'token-cache')).rstrip('/')}/tokenizer={name}"
+    folder = f"{(cache or f'{scratch(spark)}/token-cache').rstrip('/')}/tokenizer={name}"
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))
     digest = F.unhex(F.sha2("text", 256)).alias("digest")
 
     misses = rows.select(digest, "text").dropDuplicates(["digest"])
-    if _exists(spark, folder):
-        misses = misses.join(spark.read.parquet(folder).select("digest"), "digest", "left_anti")
     shared = spark.sparkContext.broadcast(content)
-    misses.mapInArrow(_encode(tokenizer, shared), "digest binary, n_tokens long").write.mode("append").parquet(folder)
+    with _APPEND:
+        if _exists(spark, folder):
+            misses = misses.join(spark.read.schema(_COUNTS).parquet(folder).select("digest"), "digest", "left_anti")
+        misses.mapInArrow(_encode(tokenizer, shared), _COUNTS).write.mode("append").parquet(folder)
 
-    known = spark.read.schema("digest binary, n_tokens long").parquet(folder)
+    known = spark.read.schema(_COUNTS).parquet(folder)
     counts = known.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     found = rows.select("id", F.octet_length("text").cast("long").alias("n_bytes"), digest).join(counts, "digest", "left")
     return found.select(
