@@ -112,8 +112,8 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: ``<id_col>``, n_lines, n_removed, removed_lines (numbers from 0, ascending, joined by commas).
 
     Lines are divided by line feeds and compared without blanks at their ends; blank lines count but never go. A line goes
-    if an equal line stands earlier, or if it has at least MIN_CHARS characters and a line within one edit (one
-    character inserted, deleted or replaced) has its first place earlier; earlier is by id, then by line number, rows
+    if an equal line stands earlier, or if a line within one edit (one character inserted, deleted or replaced) has its
+    first place earlier and both have at least MIN_CHARS characters; earlier is by id, then by line number, rows
     without an id last. A null text has one blank line. Rows that repeat both id and text stand at the same place: what
     is first in one is first in the other. An empty table gives an empty result; other columns are ignored.
     """
