@@ -85,4 +85,55 @@ _OP7 = r"""
     from texts t left join gone g using (doc_id) left join kept k using (doc_id)
 """
 
-ORACLES = {"op2_exact_dups": _OP2, "op6_line_dups": _OP6, "op7_passages": _OP7}
+
+def _merkle(levels: int = 10) -> str:
+    """Hash trees over the documents, level by level, deep enough for 8**levels rows of a language."""
+    framed = "||".join(
+        f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')" for c in ("doc_id", "source", "lang", "n_chars", "{}")
+    )
+    plain, forged = framed.format("text", "text"), framed.format("forged", "forged")
+    # The checksum of the digits of an id, bit by bit.
+    crc = """xor(list_reduce([4294967295::ubigint] || [ascii(c)::ubigint for c in string_split(cast(doc_id as varchar), '')],
+        lambda crc, byte: list_reduce([xor(crc, byte)] || [0::ubigint for i in range(8)],
+            lambda x, y: case when x % 2 = 1 then xor(x // 2, 3988292384::ubigint) else x // 2 end)), 4294967295::ubigint)"""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    parts = [
+        f"changed as (select *, case when {crc} % 3 = 0 then translate(text, '{upper}', '{lower}') else text end as forged from documents)",
+        f"leaves as (select doc_id, lang, sha256({plain}) as leaf, sha256({forged}) as other from changed)",
+        "ranked as (select *, dense_rank() over (order by lang nulls first) - 1 as g, "
+        "row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i from leaves)",
+        "n0 as (select g, i, leaf as h from ranked)",
+        "p0 as (select doc_id, g, i, leaf, other as node, '' as proof from ranked)",
+    ]
+
+    def climb(k: int, group: str, nodes: str, paths: str, keep: str) -> None:
+        parts.append(
+            f"s{k} as (select a.*, (select count(*) from {nodes} c where c.{group} = a.{group}) as many, "
+            f"coalesce((select string_agg(b.h, '' order by b.i) from {nodes} b where b.{group} = a.{group} and b.i // 8 = a.i // 8 and b.i < a.i), '') as l, "
+            f"coalesce((select string_agg(b.h, '' order by b.i) from {nodes} b where b.{group} = a.{group} and b.i // 8 = a.i // 8 and b.i > a.i), '') as r "
+            f"from {nodes} a)"
+        )
+        parts.append(
+            f"n{k + 1} as (select {group}, i // 8 as i, case when min(many) = 1 then min(h) else sha256(string_agg(h, '' order by i)) end as h "
+            f"from s{k} group by {group}, i // 8)"
+        )
+        parts.append(
+            f"p{k + 1} as (select {keep}, p.i // 8 as i, case when many = 1 then node else sha256(l || node || r) end as node, "
+            f"case when many = 1 then proof else proof || l || r end as proof from {paths} p join s{k} s on s.{group} = p.{group} and s.i = p.i)"
+        )
+
+    for k in range(levels):
+        climb(k, "g", f"n{k}", f"p{k}", "doc_id, p.g, leaf")
+    m = levels + 1
+    parts.append(f"n{m} as (select 0 as t, g as i, h from n{levels})")
+    parts.append(f"p{m} as (select doc_id, 0 as t, p.g as i, leaf, node, proof, h as subroot from p{levels} p join n{levels} n on n.g = p.g)")
+    for k in range(m, m + 4):
+        climb(k, "t", f"n{k}", f"p{k}", "doc_id, p.t, leaf, subroot")
+    last = m + 4
+    return (
+        "with " + ",\n".join(parts) + f"\nselect doc_id, leaf, subroot, h as root, sha256(proof) as proof_sha256, node as folded_root, "
+        f"node = h as verified from p{last}, n{last}"
+    )
+
+
+ORACLES = {"op2_exact_dups": _OP2, "op6_line_dups": _OP6, "op7_passages": _OP7, "op11_merkle": _merkle()}

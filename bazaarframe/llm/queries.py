@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bazaarframe.llm import (
     decontaminate,
@@ -13,6 +14,7 @@ from bazaarframe.llm import (
     language,
     line_dups,
     maxent_lm,
+    merkle,
     mixing,
     near_dups,
     packing,
@@ -74,6 +76,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), path, length=2048, end_id=50256, pad_id=50256)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = merkle.manifest(documents(spark, sf_dir), altered={"text": F.when(changed, lower).otherwise(F.col("text"))})
+    seen = merkle.folded(F.coalesce("altered_leaf", "leaf"), F.col("proof"))
+    out = rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), seen.alias("folded_root")
+    )
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,5 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontaminate,
         op9_maxent_lm,
         op10_packing,
+        op11_merkle,
     )
 }
