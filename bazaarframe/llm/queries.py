@@ -19,6 +19,7 @@ from bazaarframe.llm import (
     near_dups,
     packing,
     passages,
+    periodic_runs,
     token_counts,
 )
 
@@ -87,6 +88,25 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def looped_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in one document of ten, by the checksum of its id, the text's words repeat from some word on."""
+    check = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    rows = docs.select("doc_id", "text", F.floor(check / 10).alias("g"), F.when(check % 10 == 0, words).alias("words"))
+    n = F.size("words")
+    rows = rows.withColumn("from", F.when(n > 0, F.col("g") % n).cast("int"))
+    rows = rows.withColumn("period", (1 + F.floor((n - F.col("from")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = n - F.col("from")
+    block = F.slice("words", F.col("from") + 1, F.col("period"))
+    tail = F.slice(F.flatten(F.array_repeat(block, F.ceil(rest / F.col("period")).cast("int"))), F.lit(1), rest)
+    looped = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("from")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("from").isNotNull(), looped).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(looped_tails(documents(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -101,5 +121,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_maxent_lm,
         op10_packing,
         op11_merkle,
+        op13_periodic_runs,
     )
 }
