@@ -20,6 +20,7 @@ from bazaarframe.llm import (
     packing,
     passages,
     periodic_runs,
+    pii,
     token_counts,
 )
 
@@ -88,6 +89,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.personal_data(docs, pii.fit(docs))
+
+
 def looped_tails(docs: DataFrame) -> DataFrame:
     """doc_id and text; in one document of ten, by the checksum of its id, the text's words repeat from some word on."""
     check = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -121,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_maxent_lm,
         op10_packing,
         op11_merkle,
+        op12_pii,
         op13_periodic_runs,
     )
 }
