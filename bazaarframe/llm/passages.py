@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarframe.llm.words import WINDOW_BASES, mix, pieces, sliding_min
+from bazaarframe.llm.words import WINDOW_SEEDS, mix, pieces, sliding_min
 
 #: Words of the run that anchors a window, at most.
 ANCHOR = 20
@@ -33,7 +33,7 @@ EMIT_WORDS = 1 << 20
 def _anchored(piece, size: int):
     """Window starts that lie in one text, each one's anchor hash, and all hashes of the anchor runs."""
     run = min(ANCHOR, size)
-    grams = piece.windows(run, WINDOW_BASES[1])
+    grams = piece.windows(run, WINDOW_SEEDS[1])
     n = len(piece.hashes) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), grams
@@ -133,7 +133,7 @@ def _windows(size: int, shared):
                 inside = inside[_maybe_repeated(least, sketch)] if len(inside) else inside
                 if len(inside):
                     owner = piece.texts_of_words()[inside]
-                    first, second = piece.windows(size, WINDOW_BASES[0]), piece.windows(size, WINDOW_BASES[1])
+                    first, second = piece.windows(size, WINDOW_SEEDS[0]), piece.windows(size, WINDOW_SEEDS[1])
                     held.append((first[inside], second[inside], owner + piece.first, inside - piece.bounds[owner]))
                 words += len(piece.hashes)
                 if words >= EMIT_WORDS and held:
@@ -145,6 +145,11 @@ def _windows(size: int, shared):
     return run
 
 
+def _place_hashes(window: np.ndarray, start: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """A hash of a window and the place where it stands."""
+    return mix(window ^ mix(start.astype(np.uint64) + np.uint64(1)) ^ mix(keys))
+
+
 def _rows(batch: pa.RecordBatch, held: list[tuple]) -> pa.RecordBatch:
     """A row per window: its hash, its text and place, whether it was met before here.
 
@@ -160,7 +165,7 @@ def _rows(batch: pa.RecordBatch, held: list[tuple]) -> pa.RecordBatch:
     several[:-1] |= again[1:]
     text, start = text[order], start[order]
     keys = batch.column(1).take(pa.array(text)).to_numpy(zero_copy_only=False).astype(np.uint64)
-    own = mix(keys ^ mix(start.astype(np.uint64) + np.uint64(1)))
+    own = _place_hashes(a, start, keys)
     a, b = np.where(again, own, a), np.where(again, mix(own), b)
     # The second hash's upper half and the row's key share a number: rows are many, and hashes do not compress.
     return pa.RecordBatch.from_arrays(
@@ -174,18 +179,29 @@ def _rows(batch: pa.RecordBatch, held: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def _own_starts(batch: pa.RecordBatch, row: int, size: int) -> np.ndarray:
+    """The starts that came to a row's key and are its own: another row of the same id may have the same 32 bits."""
+    (piece,) = pieces(batch.column(1).slice(row, 1), lower=False)
+    first = piece.windows(size, WINDOW_SEEDS[0])
+    at, hashes = batch.column(2)[row].values.to_numpy(), batch.column(3)[row].values.to_numpy().view(np.uint64)
+    at, hashes = at[at < len(first)], hashes[at < len(first)]
+    key = np.array([batch.column(4)[row].as_py()], np.int64).astype(np.uint64)
+    own = (first[at] == hashes) | (_place_hashes(first[at], at, key) == hashes)
+    return np.unique(at[own])
+
+
 def _removed(size: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, digests, texts = [], [], [], []
-            for text, starts in zip(batch.column(1), batch.column(2)):
+            for i, (text, starts) in enumerate(zip(batch.column(1), batch.column(2))):
                 words = (text.as_py() or "").encode().split()
                 n_words.append(len(words))
-                if starts.is_valid and len(starts):
+                at = _own_starts(batch, i, size) if starts.is_valid else None
+                if at is not None and len(at):
                     edges = np.zeros(len(words) + 1, np.int64)
-                    at = starts.values.to_numpy()
-                    edges[at] += 1
-                    edges[at + size] -= 1
+                    np.add.at(edges, at, 1)
+                    np.add.at(edges, at + size, -1)
                     covered = np.cumsum(edges[:-1]) > 0
                     n_removed.append(int(covered.sum()))
                     words = [w for w, c in zip(words, covered) if not c]
@@ -217,7 +233,7 @@ def repeated_passages(
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    # 32 bits tell rows of one id apart.
+    # 32 bits tell rows of one id apart; where they do not, each row takes up only starts of windows it has.
     key = F.xxhash64(f"`{id_col}`", text).bitwiseAND(F.lit(0xFFFFFFFF))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), key.alias("text_key"), text.alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -237,11 +253,12 @@ def repeated_passages(
     repeated = dealt.withColumn("met", met).where("met > 1")
     repeated = repeated.withColumn("text_key", F.col("w2_key").bitwiseAND(F.lit(0xFFFFFFFF)))
     start = F.when(F.col("start") < 0, -F.col("start") - 1).otherwise(F.col("start"))
-    starts = repeated.groupBy("id", "text_key").agg(F.collect_set(start.cast("int")).alias("starts"))
-    s = starts.select(F.col("id").alias("s_id"), F.col("text_key").alias("s_key"), "starts")
+    found = F.collect_set(F.struct(start.cast("int").alias("start"), "w1"))
+    starts = repeated.groupBy("id", "text_key").agg(found.alias("found"))
+    s = starts.select(F.col("id").alias("s_id"), F.col("text_key").alias("s_key"), "found.start", "found.w1")
     whole = rows.join(s, rows["id"].eqNullSafe(F.col("s_id")) & (rows["text_key"] == F.col("s_key")), "left")
     extra = ", kept_text string" if with_text else ""
-    out = whole.select("id", "text", "starts").mapInArrow(
+    out = whole.select("id", "text", "start", "w1", "text_key").mapInArrow(
         _removed(size, with_text), f"id {kind}, n_words long, n_removed long, kept_sha256 string{extra}"
     )
     return out.withColumnRenamed("id", id_col)

@@ -6,6 +6,7 @@ in pieces of about a megabyte (a longer text is a piece of its own), so memory s
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,26 +21,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 PIECE_BYTES = 1 << 20
 
-# Odd multipliers of the polynomial hashes; any odd 64-bit numbers serve.
-BYTES_BASE = 0x9E3779B97F4A7C15
-WINDOW_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        have = np.full(max(n, PIECE_BYTES + 1), base, np.uint64)
-        have[0] = 1
-        have = np.cumprod(have, dtype=np.uint64)
-        if n <= 4 * PIECE_BYTES:
-            _powers[base] = have
-    return have[:n]
-
-
-def inverse(base: int) -> int:
-    return pow(base, -1, 1 << 64)
+# Odd multipliers and seeds; any odd 64-bit numbers serve.
+TIMES, TIMES_AGAIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+WINDOW_SEEDS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+#: Bytes of a word that are hashed eight at a time with those of other words; longer words are hashed one by one.
+SHORT_WORD = 64
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -49,12 +36,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _segment_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash of values[start:end], the same wherever the segment stands."""
-    n = len(values)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * powers(base, n), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * powers(inverse(base), n + 1)[starts])
+def fold(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """One number for each pair; no sum of powers, which would be equal for whole families of sequences."""
+    z = x * TIMES
+    z += y
+    z ^= z >> np.uint64(32)
+    z *= TIMES_AGAIN
+    return z
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word's bytes; words of up to eight bytes never share one with others of their length."""
+    sizes = ends - starts
+    eights = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]).data, strides=(1,))
+    hashes = mix((sizes.astype(np.uint64) * TIMES) ^ (eights[starts] & _MASKS[np.minimum(sizes, 8)]))
+    more, done = np.flatnonzero((sizes > 8) & (sizes <= SHORT_WORD)), 8
+    while len(more):
+        chunk = eights[starts[more] + done] & _MASKS[np.minimum(sizes[more] - done, 8)]
+        hashes[more] = mix(fold(hashes[more], chunk))
+        done += 8
+        more = more[sizes[more] > done]
+    for i in np.flatnonzero(sizes > SHORT_WORD):
+        hashes[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return hashes
 
 
 @dataclass
@@ -69,13 +73,21 @@ class Piece:
     hashes: np.ndarray  # uint64 of each word
     bounds: np.ndarray  # words of row first+i: bounds[i]..bounds[i+1]
 
-    def windows(self, size: int, base: int = WINDOW_BASES[0]) -> np.ndarray:
+    def windows(self, size: int, seed: int = WINDOW_SEEDS[0]) -> np.ndarray:
         """Hash of the size words from each word on; only those inside one text mean anything."""
         n = len(self.hashes) - size + 1
         if n <= 0:
             return np.zeros(0, np.uint64)
-        at = np.arange(n)
-        return _segment_hashes(self.hashes, at, at + size, base)
+        runs, out, width, done = mix(self.hashes ^ np.uint64(seed)), None, 1, 0
+        while True:  # runs of 1, 2, 4, ... words, and of them those that make up the size
+            if size & width:
+                part = runs[done : done + n]
+                out = part if out is None else fold(out, part)
+                done += width
+            if done == size:
+                return mix(out)
+            runs = fold(runs[:-width], runs[width:])
+            width *= 2
 
     def texts_of_words(self) -> np.ndarray:
         """Row offset (0 = first) of each word."""
@@ -114,7 +126,7 @@ def _piece(data: np.ndarray, offsets: np.ndarray, first: int, last: int, lower:
     begins[cuts] = inside[cuts]
     closes[cuts - 1] = inside[cuts - 1]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(closes) + 1
-    hashes = _segment_hashes(data.astype(np.uint64) + np.uint64(1), starts, ends, BYTES_BASE)
+    hashes = _word_hashes(data, starts, ends)
     return Piece(first, last, data, starts, ends, hashes, np.searchsorted(starts, offsets))
 
 
