@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarframe.llm.store import components, stored
+from bazaarframe.llm.store import components, stored, unnamed
 from bazaarframe.llm.words import lists, mix, pieces
 
 BANDS = 48
@@ -211,6 +211,7 @@ def near_duplicates(
     buckets = stored(keys.join(shared, "key"), "buckets")
     wanted = buckets.select("id").distinct()
     known = classes.select("id", "text_key", "n", "bands").join(wanted, "id", "left_semi").join(source, ["id", "text_key"])
+    known = known.dropDuplicates(["id", "text_key"])  # a class's row may be repeated
     known = known.select("id", "n", "text", "bands").mapInArrow(
         _sketches(shingle), f"id {kind}, n long, text string, bands array<long>, odd array<long>"
     )
@@ -310,5 +311,6 @@ def near_duplicates(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that near_duplicates keeps, with all their columns; a row without an id stays."""
     found = near_duplicates(docs, id_col, text_col, **options)
-    drop = found.where("not kept").select(F.col(f"`{id_col}`").alias("_drop")).distinct()
-    return docs.join(drop, docs[f"`{id_col}`"] == F.col("_drop"), "left_anti")
+    drop = found.where("not kept").select(F.col(f"`{id_col}`").alias("drop_id")).distinct()
+    rows, (own_id,) = unnamed(docs, id_col)
+    return rows.join(drop, F.col(own_id) == F.col("drop_id"), "left_anti").toDF(*docs.columns)

@@ -40,10 +40,13 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def no_columns_named(df: DataFrame, *names: str) -> DataFrame:
-    """Without extra columns of the input that would clash with those an operator adds."""
-    taken = {n.lower() for n in names}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+def unnamed(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """The frame with columns c0, c1, ..., and what ``names`` are called there: no column clashes with those an operator adds.
+
+    ``toDF(*df.columns)`` gives the names back.
+    """
+    places = {c.lower(): f"c{i}" for i, c in reversed(list(enumerate(df.columns)))}
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), [places[n.lower()] for n in names]
 
 
 def components(edges: DataFrame) -> DataFrame:
