@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaarframe.llm.store import unnamed
 from bazaarframe.llm.words import mix, pieces
 
 #: Edits (words inserted, deleted or replaced) allowed for each word of the item.
@@ -230,24 +231,8 @@ def _search(shared, edits: float, n_walks: int):
     return run
 
 
-def contaminated(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_id_col: str = "item_id",
-    item_text_col: str = "text",
-    edits: float = EDITS,
-    n_walks: int = WALKS,
-) -> DataFrame:
-    """One row per input row: ``<id_col>``, contaminated, n_items, item_ids (ascending), least_edits (null if clean).
-
-    A document is contaminated by an item if some run of its words is within ``edits`` word edits for each word of the
-    item, A-Z in lower case, or, for an item of fewer than MIN_WORDS words, if all its words stand in it in a row. Whole texts
-    and all items are searched but blank and null items, and items without an id. ``edits`` is below 1. A null or empty text is clean. Rows with one id and different texts are
-    told apart; repeated rows get the same answer. With an empty benchmark all rows are clean; an empty table gives
-    an empty result; other columns are ignored.
-    """
+def _hits(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_id_col: str, item_text_col: str, edits: float, n_walks: int):
+    """Ids and text keys of all rows, and the items found by id and text key."""
     if not 0 <= edits < 1:
         raise ValueError(f"edits must be at least 0 and below 1, not {edits}")
     spark = docs.sparkSession
@@ -266,10 +251,30 @@ def contaminated(
     by_text = hits.groupBy("id", "text_key").agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.min("edits").alias("least_edits")
     )
-    h = by_text.select(F.col("id").alias("h_id"), F.col("text_key").alias("h_key"), "item_ids", "least_edits")
-    out = rows.select("id", "text_key").join(
-        h, rows["id"].eqNullSafe(F.col("h_id")) & (rows["text_key"] == F.col("h_key")), "left"
-    )
+    return rows.select("id", "text_key"), by_text.select(F.col("id").alias("h_id"), F.col("text_key").alias("h_key"), "item_ids", "least_edits")
+
+
+def contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    edits: float = EDITS,
+    n_walks: int = WALKS,
+) -> DataFrame:
+    """One row per input row: ``<id_col>``, contaminated, n_items, item_ids (ascending), least_edits (null if clean).
+
+    A document is contaminated by an item if some run of its words is within ``edits`` word edits for each word of the
+    item, A-Z in lower case, or, for an item of fewer than MIN_WORDS words, if all its words stand in it in a row. Whole texts
+    and all items are searched but blank and null items, and items without an id. ``edits`` is below 1. A null or empty text is clean. Rows with one id and different texts are
+    told apart; repeated rows get the same answer. With an empty benchmark all rows are clean; an empty table gives
+    an empty result; other columns are ignored.
+    """
+    rows, h = _hits(docs, benchmark, id_col, text_col, item_id_col, item_text_col, edits, n_walks)
+    item_kind = h.schema["item_ids"].dataType.elementType.simpleString()
+    out = rows.join(h, rows["id"].eqNullSafe(F.col("h_id")) & (rows["text_key"] == F.col("h_key")), "left")
     return out.select(
         F.col("id").alias(id_col),
         F.col("item_ids").isNotNull().alias("contaminated"),
@@ -279,8 +284,18 @@ def contaminated(
     )
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no passage of the benchmark, with all their columns; rows without an id stay."""
-    found = contaminated(docs, benchmark, id_col, **options).where("contaminated")
-    drop = found.select(F.col(f"`{id_col}`").alias("_drop")).distinct()
-    return docs.join(drop, docs[f"`{id_col}`"] == F.col("_drop"), "left_anti")
+def clean_documents(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", spare_without_id: bool = True, **options
+) -> DataFrame:
+    """The rows of ``docs`` that hold no passage of the benchmark, with all their columns, whatever their names.
+
+    Each row is judged by its own text: of rows with one id only those that hold a passage go. Rows without an id stay unless
+    ``spare_without_id`` is false; then they are judged as well. Repeated rows go or stay together; null and empty texts stay. With
+    an empty benchmark all stay; an empty table gives an empty result. Options: those of contaminated.
+    """
+    given = {"item_id_col": "item_id", "item_text_col": "text", "edits": EDITS, "n_walks": WALKS} | options
+    _, h = _hits(docs, benchmark, id_col, text_col, **given)
+    rows, (own_id, own_text) = unnamed(docs, id_col, text_col)
+    key = F.xxhash64(F.coalesce(F.col(own_text).cast("string"), F.lit("")))
+    h = h.where("h_id is not null") if spare_without_id else h
+    return rows.join(h, F.col(own_id).eqNullSafe(F.col("h_id")) & (key == F.col("h_key")), "left_anti").toDF(*docs.columns)
