@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaarframe.llm.store import unnamed
 from bazaarframe.llm.words import LOWER, SPACES, texts_and_offsets
 
 FEATURES = 1 << 15
@@ -166,10 +167,21 @@ def held_out(id_col: str, parts: int) -> Column:
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per input row: the columns ``keep``, lang_pred, score (0 to 1), ambiguous.
 
-    The whole text is read. lang_pred is ``und`` with score 0 if the text is null or has no letter, or if there was nothing
+    Columns of ``keep`` that are named like one of the three results are left out. Repeated rows get the same prediction. The whole text is read. lang_pred is ``und`` with score 0 if the text is null or has no letter, or if there was nothing
     to learn from. Nothing but the text is an input. An empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.code, model.weights, model.trust))
-    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text"), *[F.col(f"`{c}`") for c in keep])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    return rows.mapInArrow(_predict(shared), f"{schema}, lang_pred string, score double, ambiguous boolean")
+    kept = [c for c in keep if c.lower() not in ("lang_pred", "score", "ambiguous")]
+    rows = docs.select(F.col(f"`{text_col}`").cast("string"), *[F.col(f"`{c}`") for c in kept])
+    rows = rows.toDF("text", *[f"c{i}" for i in range(len(kept))])
+    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:]], "lang_pred string, score double, ambiguous boolean"])
+    return rows.mapInArrow(_predict(shared), schema).toDF(*kept, "lang_pred", "score", "ambiguous")
+
+
+def with_language(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in a language that the model knows, with all their columns, whatever their names.
+
+    Rows whose text is null or has no letter go, and all if there was nothing to learn from.
+    """
+    rows, (text,) = unnamed(docs, text_col)
+    return predict(rows, model, text, tuple(rows.columns)).where(F.col("lang_pred") != UNKNOWN).select(*rows.columns).toDF(*docs.columns)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarframe.llm.store import stored
+from bazaarframe.llm.store import stored, unnamed
 
 #: Shorter lines go only if an earlier line is equal; one character would change what they say.
 MIN_CHARS = 16
@@ -108,6 +108,17 @@ def _gone(rows: DataFrame) -> DataFrame:
     return known.select("l1", "l2", F.col("place").alias("first")).join(checked, ["l1", "l2"], "left")
 
 
+def _removed(lines: DataFrame) -> DataFrame:
+    """Rows (id, text_key, removed): the numbers of the lines that go."""
+    gone = stored(_gone(lines), "gone")
+    return (
+        lines.join(gone, ["l1", "l2"])
+        .where(F.col("near") | (F.col("place") != F.col("first")))
+        .groupBy("id", "text_key")
+        .agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
+    )
+
+
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``<id_col>``, n_lines, n_removed, removed_lines (numbers from 0, ascending, joined by commas).
 
@@ -117,14 +128,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     without an id last. A null text has one blank line. Rows that repeat both id and text stand at the same place: what
     is first in one is first in the other. An empty table gives an empty result; other columns are ignored.
     """
-    lines = _rows_in_question(docs, id_col, text_col)
-    gone = stored(_gone(lines), "gone")
-    removed = (
-        lines.join(gone, ["l1", "l2"])
-        .where(F.col("near") | (F.col("place") != F.col("first")))
-        .groupBy("id", "text_key")
-        .agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
-    )
+    removed = _removed(_rows_in_question(docs, id_col, text_col))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_key"), F.size(F.split(text, "\n")).cast("long").alias("n_lines")
@@ -140,12 +144,16 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def without_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the lines that duplicate_lines names taken out of the text; null stays null."""
-    found = duplicate_lines(docs, id_col, text_col).where("n_removed > 0")
-    found = found.select(F.col(f"`{id_col}`").alias("_id"), F.split("removed_lines", ",").cast("array<int>").alias("_gone")).distinct()
-    joined = docs.join(found, docs[f"`{id_col}`"].eqNullSafe(F.col("_id")), "left")
-    text = F.col(f"`{text_col}`")
-    rest = F.expr(f"array_join(filter(split(`{text_col}`, '\\n'), (x, i) -> not array_contains(_gone, i)), '\\n')")
-    return joined.select(
-        *[F.when(F.col("_gone").isNull(), text).otherwise(rest).alias(c) if c == text_col else docs[f"`{c}`"] for c in docs.columns]
-    )
+    """The rows of ``docs`` with the lines that duplicate_lines names taken out of the text; null stays null.
+
+    Rows with one id and different texts lose their own lines each. Other columns may have any names; an empty table gives
+    an empty result.
+    """
+    removed = _removed(_rows_in_question(docs, id_col, text_col))
+    found = removed.select(F.col("id").alias("r_id"), F.col("text_key").alias("r_key"), F.col("removed").cast("array<int>").alias("gone"))
+    rows, (own_id, own_text) = unnamed(docs, id_col, text_col)
+    text = F.coalesce(F.col(own_text).cast("string"), F.lit(""))
+    joined = rows.join(found, F.col(own_id).eqNullSafe(F.col("r_id")) & (F.xxhash64(text) == F.col("r_key")), "left")
+    rest = F.expr(f"array_join(filter(split({own_text}, '\\n'), (x, i) -> not array_contains(gone, i)), '\\n')")
+    kept = F.when(F.col("gone").isNull(), F.col(own_text)).otherwise(rest).alias(own_text)
+    return joined.select(*[kept if c == own_text else c for c in rows.columns]).toDF(*docs.columns)

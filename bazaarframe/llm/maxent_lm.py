@@ -226,7 +226,7 @@ def score(docs: DataFrame, train: DataFrame, text_col: str = "text", keep: tuple
     Texts are lower-cased (A-Z), a token for each word and one for the end, so a null or empty text has one token. n_known
     tokens occur in the texts of ``train``, train_tokens is their number there; base_score is the log10 probability by
     smoothed counts of single words, score by the model. Words are told apart by 64-bit hashes. With nothing to
-    learn from, every word is unknown and the counts are 0. Repeated rows are scored each; an empty table gives an empty
+    learn from, every word is unknown and the counts are 0. Columns of ``keep`` named like a result are left out. Repeated rows are scored each; an empty table gives an empty
     result; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -260,26 +260,29 @@ def score(docs: DataFrame, train: DataFrame, text_col: str = "text", keep: tuple
 
     model = (head_words[order], head_counts, singles, weights, total + 0.5 * (distinct + 1), class_totals)
     shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text"), *[F.col(f"`{c}`") for c in keep])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    results = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    kept = [c for c in keep if c.lower() not in results]
+    rows = docs.select(F.col(f"`{text_col}`").cast("string"), *[F.col(f"`{c}`") for c in kept])
+    rows = rows.toDF("text", *[f"c{i}" for i in range(len(kept))])
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[1:])
     scored = rows.mapInArrow(
-        _score(shared), f"{schema}, n_tokens long, n_known long, base_score double, score double, tail array<long>"
+        _score(shared), f"{schema}n_tokens long, n_known long, base_score double, score double, tail array<long>"
     )
-    scored = stored(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
+    scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = words.where(F.col("n") < least) if least is not None else words
-    tail = scored.select("_row", F.explode("tail").alias("word")).groupBy("_row", "word").agg(F.count("*").alias("times"))
+    tail = scored.select("row", F.explode("tail").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times"))
     found = tail.join(rare.select("word", "n"), "word", "left")
     n = F.coalesce("n", F.lit(0))
-    sums = found.groupBy("_row").agg(
+    sums = found.groupBy("row").agg(
         F.sum(F.col("times") * F.log10(n + 0.5)).alias("more"), F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known")
     )
-    out = scored.drop("tail").join(sums, "_row", "left")
+    out = scored.drop("tail").join(sums, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
     return out.select(
-        *[F.col(f"`{c}`") for c in keep],
+        *rows.columns[1:],
         "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base_score") + more).alias("base_score"),
         (F.col("score") + more).alias("score"),
-    )
+    ).toDF(*kept, *results)

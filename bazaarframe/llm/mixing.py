@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarframe.llm.store import stored
+from bazaarframe.llm.store import stored, unnamed
 from bazaarframe.llm.words import WORD
 
 #: Blocks in the mix; a block has at least one word.
@@ -231,21 +231,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     return dealt.withColumnRenamed("id", id_col)
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
     """The documents of the mix with all their columns, whole, as many copies of each as fill their source's quota.
 
     A source's words are filled by full passes over its documents and then by documents in the seeded order of its
     stream; the one in which the words end is taken if more than half of it is, or just half. So a source misses the words
     that mix takes of it by at most half a document. Rows are told apart even if they repeat an id or have none. Documents
-    without words are not taken. Options: those of _streams.
+    without words are not taken; an empty table gives an empty result. Other columns may have any names. Options: those of _streams.
     """
-    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    spread, _, _ = _streams(numbered, id_col, keep=("_row",), **options)
+    rows, (own_id, text, source) = unnamed(docs, id_col, text_col, source_col)
+    numbered = stored(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    spread, _, _ = _streams(numbered, own_id, text, source, keep=("row",), **options)
     words = F.element_at("ends", -1)
     found = spread.where("size > 0").select(
-        "_row", "size", "start", F.expr("element_at(ends, -1) div source_size").alias("passes"), (words % F.col("source_size")).alias("rest")
+        "row", "size", "start", F.expr("element_at(ends, -1) div source_size").alias("passes"), (words % F.col("source_size")).alias("rest")
     )
     once_more = (2 * F.col("start") + F.col("size") <= 2 * F.col("rest")).cast("int")
-    found = found.select("_row", (F.col("passes").cast("int") + once_more).alias("_copies")).where("_copies > 0")
-    again = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return numbered.join(found, "_row").select(*[F.col(f"`{c}`") for c in docs.columns], again.alias("_copy")).drop("_copy")
+    found = found.select("row", (F.col("passes").cast("int") + once_more).alias("copies")).where("copies > 0")
+    again = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return numbered.join(found, "row").select(*rows.columns, again.alias("copy")).drop("copy").toDF(*docs.columns)
