@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from bazaarframe.llm import decontaminate, language, mixing, near_dups, packing
 from bazaarframe.llm.queries import tune
@@ -18,8 +17,7 @@ from bazaarframe.llm.store import stored
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones teach; texts that are null or have no letter go."""
     tune(spark)
-    found = language.predict(docs, language.fit(docs), keep=tuple(docs.columns))
-    return found.where(F.col("lang_pred") != language.UNKNOWN).select(*[f"`{c}`" for c in docs.columns])
+    return language.with_language(docs, language.fit(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +27,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark, also of those that have no id."""
     tune(spark)
-    return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), spare_without_id=False)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
