@@ -48,19 +48,19 @@ def prepare(df: DataFrame, spec: TableSpec, also: tuple[str, ...] = ()) -> DataF
 
 
 def run_load(
-    spark: SparkSession, raw_dir: str, root: str, names: dict[str, str] | None = None
+    spark: SparkSession, raw_dir: str, root: str, names: dict[str, str] | None = None, derived: tuple[str, ...] = ()
 ) -> str:
     """Load all eight files and publish them together; returns the snapshot's version.
 
     All files are found and their columns checked before anything is written. Keys, references and
     value rules are checked on the written Parquet, which is far cheaper to scan than the text, and
-    before the snapshot becomes current.
+    before the snapshot becomes current. ``derived`` names tables to compute from it and publish with it.
     """
     size_for(tune(spark), raw_dir)
     scans = {name: scan_csv_table(spark, raw_dir, spec, names) for name, spec in TABLES.items()}
     prepared = {name: prepare(scan.frame(), TABLES[name]) for name, scan in scans.items()}
     expected = {name: scan.count() for name, scan in scans.items()}
-    return publish_snapshot(spark, root, prepared, expected)
+    return publish_snapshot(spark, root, prepared, expected, derived)
 
 
 def reload_customers(

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from bazaarframe.functions.exact import duration_days, exact_avg, mean_score
 from bazaarframe.functions.predicates import active_orders
 from bazaarframe.operators.joins import unique_join
-from bazaarframe.session import materialize
 from bazaarframe.tables import Tables
 
 
@@ -29,8 +28,8 @@ def _or_zero(column: str) -> Column:
 
 def order_metrics(t: Tables) -> DataFrame:
     """One row per order that has a customer: its place, status, times, amounts and score."""
-    if t.stored_order_metrics is not None:
-        return t.stored_order_metrics
+    if "order_metrics" in t.derived:
+        return t.derived["order_metrics"]
     items = t.order_items.groupBy("order_id").agg(
         F.count("*").alias("items_count"),
         F.sum("price").alias("product_value"),
@@ -67,17 +66,6 @@ def order_metrics(t: Tables) -> DataFrame:
     )
 
 
-def store_order_metrics(t: Tables) -> Tables:
-    """The same tables with the order metrics written once to the shared folder.
-
-    For a session that asks many questions: each then scans the columns it needs of one table
-    instead of repeating the joins. Files cover ranges of purchase time, so a filtered period skips
-    most of them.
-    """
-    laid_out = order_metrics(t).repartitionByRange("order_purchase_timestamp", "order_id")
-    return t.with_order_metrics(materialize(laid_out, "order_metrics"))
-
-
 def active_order_metrics(t: Tables) -> DataFrame:
     """Order metrics of sales only; the status filter reaches the scan of orders."""
     return active_orders(order_metrics(t))
@@ -174,6 +162,16 @@ def delivery_performance(t: Tables) -> DataFrame:
     )
 
 
+def store_order_metrics(t: Tables) -> Tables:
+    """The same tables with the order metrics written once to the shared folder.
+
+    For tables that no snapshot holds; a snapshot names its stored results itself (``snapshot.derive``).
+    """
+    from bazaarframe.plans.derived import store
+
+    return store(t, "order_metrics")
+
+
 # The view names under which these are registered for SQL.
 VIEWS = {
     "vw_order_metrics": order_metrics,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from bazaarframe.operators.joins import require_exact_sizes
 from bazaarframe.sources.files import folder_bytes
@@ -82,17 +82,14 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach: the cluster's checkpoint directory, or a local one in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
             raise ValueError("spark.checkpoint.dir is not set; name a folder that all executors can reach")
         folder = tempfile.mkdtemp(prefix="bazaarframe-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back, so that later queries start from the
-    stored result and lost executors cost no recomputation of it."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

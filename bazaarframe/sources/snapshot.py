@@ -5,6 +5,10 @@ table, and the highest number is current. A load writes new directories, checks
 last, which never overwrites: of two loads at once the later one checks its tables against the other's and takes the number
 after. Readers resolve the manifest once, so they keep a consistent set of tables while a load is running, and a failed load
 changes nothing.
+
+A manifest may also name derived tables, each with the versions of the tables it was computed from. A load that replaces one of
+those either computes the derived table again from its own staged tables or leaves it out, so no reader meets one that is
+older than its inputs.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarframe.operators.checks import constraint_violations, union_all
+from bazaarframe.plans.derived import DERIVED, write_derived
 from bazaarframe.schema import TABLES
 from bazaarframe.sources import files
 from bazaarframe.tables import Tables
@@ -35,11 +40,39 @@ def _latest(spark: SparkSession, root: str) -> int:
     return max((int(name.split(".")[0]) for name in names if name.split(".")[0].isdigit()), default=0)
 
 
-def _manifest(spark: SparkSession, root: str, number: int) -> dict[str, str]:
-    tables = json.loads(files.read_text(spark, f"{_manifests(root)}/{number:06}.json"))["tables"]
+class StaleDerivedTable(ValueError):
+    """A derived table whose inputs are not the tables beside it."""
+
+
+def _content(spark: SparkSession, root: str, number: int) -> dict:
+    """A manifest as written: version, tables, derived; empty for number 0."""
+    if not number:
+        return {"tables": {}, "derived": {}}
+    return {"derived": {}} | json.loads(files.read_text(spark, f"{_manifests(root)}/{number:06}.json"))
+
+
+def _absolute(root: str, tables: dict[str, str]) -> dict[str, str]:
     return {name: f"{root.rstrip('/')}/{relative}" for name, relative in tables.items()}
 
 
+def _manifest(spark: SparkSession, root: str, number: int) -> dict[str, str]:
+    return _absolute(root, _content(spark, root, number)["tables"])
+
+
+def _fresh(tables: dict[str, str], entry: dict) -> bool:
+    """Whether a derived table was computed from these versions."""
+    return all(tables.get(name) == version for name, version in entry["inputs"].items())
+
+
+def derived_paths(spark: SparkSession, root: str, content: dict | None = None) -> dict[str, str]:
+    """Directories of the current derived tables; raises if one is older than the tables beside it."""
+    content = content or _content(spark, root, _latest(spark, root))
+    for name, entry in content["derived"].items():
+        if not _fresh(content["tables"], entry):
+            raise StaleDerivedTable(f"{name} was computed from {entry['inputs']}, the snapshot has other versions")
+    return _absolute(root, {name: entry["path"] for name, entry in content["derived"].items()})
+
+
 def write_table(df: DataFrame, path: str, name: str, mode: str = "errorifexists") -> None:
     """Write a table's modelled columns by name; ``mode='append'`` adds to what is there."""
     df = df.select(*TABLES[name].column_names)
@@ -60,9 +93,17 @@ def _read(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
     return {name: spark.read.schema(TABLES[name].struct).parquet(path) for name, path in paths.items()}
 
 
-def open_snapshot(spark: SparkSession, root: str) -> Tables:
-    """The published tables. The pointer is read once, here."""
-    return Tables(**_read(spark, current_paths(spark, root)))
+def open_snapshot(spark: SparkSession, root: str, derived: bool = True) -> Tables:
+    """The published tables, with the derived ones unless they are not wanted. The pointer is read once, here."""
+    number = _latest(spark, root)
+    if not number:
+        raise FileNotFoundError(f"No snapshot published under {root}")
+    content = _content(spark, root, number)
+    t = Tables(**_read(spark, _absolute(root, content["tables"])))
+    if derived:
+        stored = derived_paths(spark, root, content)
+        t = t.with_derived(**{name: spark.read.parquet(path) for name, path in stored.items() if name in DERIVED})
+    return t
 
 
 def row_counts(tables: Tables | dict[str, DataFrame]) -> DataFrame:
@@ -89,68 +130,126 @@ def _require_constraints(frames: dict[str, DataFrame], names: list[str]) -> None
         raise ValueError(f"constraints violated: {found}")
 
 
-def _publish(spark: SparkSession, root: str, changed: dict[str, DataFrame], expected: dict[str, int]) -> str:
+def _version() -> str:
+    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+
+
+def _publish(
+    spark: SparkSession,
+    root: str,
+    changed: dict[str, DataFrame],
+    expected: dict[str, int],
+    derived: tuple[str, ...] = (),
+    check=_require_constraints,
+) -> str:
     """Write the changed tables, check them with the others as they are published, and publish all together.
 
-    If another load publishes meanwhile, the checks run again with its tables. Once a manifest was tried, the staged tables
-    stay unless the manifest of that number can be read and does not name them.
+    ``derived`` tables are computed from the tables as they will be published, unless the manifest has them already from
+    the same versions; others that are no longer good are left out. If another load publishes meanwhile, all
+    of this is done again with its tables. Once a manifest was tried, the staged tables stay unless the manifest of that number can be read
+    and does not name them.
     """
     root = root.rstrip("/")
-    version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    version = _version()
     staged = {name: f"{root}/{name}/{version}" for name in changed}
+    built: dict[str, dict] = {}  # derived tables written by this load
+    scrap: list[str] = []  # those of them that another load has made old
     tried = None
     try:
         for name, df in changed.items():
             write_table(df, staged[name], name)
-        verify_counts(_read(spark, staged), expected)
+        if staged:
+            verify_counts(_read(spark, staged), expected)
         while True:
             number = _latest(spark, root)
-            paths = {**(_manifest(spark, root, number) if number else {}), **staged}
-            _require_constraints(_read(spark, paths), list(staged))
+            before = _content(spark, root, number)
+            paths = {**_absolute(root, before["tables"]), **staged}
+            if staged:
+                check(_read(spark, paths), list(staged))
             relative = {name: path[len(root) + 1 :] for name, path in paths.items()}
-            manifest = json.dumps({"version": version, "tables": relative}, indent=1, sort_keys=True)
+            known = {**before["derived"], **built}
+            entries = {name: entry for name, entry in known.items() if _fresh(relative, entry)}
+            scrap += [f"{root}/{entry['path']}" for name, entry in built.items() if name not in entries]
+            for name in derived:
+                if name not in entries:
+                    entries[name] = built[name] = _build(spark, root, name, paths, relative)
+            text = json.dumps({"version": version, "tables": relative, "derived": entries}, indent=1, sort_keys=True)
             tried = number + 1
-            if files.create_text(spark, f"{_manifests(root)}/{tried:06}.json", manifest, f"{_manifests(root)}/{version}.new"):
+            if files.create_text(spark, f"{_manifests(root)}/{tried:06}.json", text, f"{_manifests(root)}/{version}.new"):
+                for path in scrap:
+                    files.delete(spark, path)
                 return version
             tried = None
     except Exception:
-        if tried is None or not _may_be_published(spark, root, tried, staged):
-            for path in staged.values():
+        mine = {**staged, **{name: f"{root}/{entry['path']}" for name, entry in built.items()}}
+        if tried is None or not _may_be_published(spark, root, tried, mine):
+            for path in [*mine.values(), *scrap]:
                 files.delete(spark, path)
         raise
 
 
+def _build(spark: SparkSession, root: str, name: str, paths: dict[str, str], relative: dict[str, str]) -> dict:
+    """Compute a derived table from tables at these paths; its entry in the manifest."""
+    place = f"derived/{name}/{_version()}"
+    write_derived(Tables(**_read(spark, paths)), name, f"{root}/{place}")
+    return {"path": place, "inputs": {table: relative[table] for table in DERIVED[name].inputs}}
+
+
 def _may_be_published(spark: SparkSession, root: str, number: int, staged: dict[str, str]) -> bool:
     """Whether the manifest of that number names the staged tables, or cannot be read to tell."""
     try:
         if _latest(spark, root) < number:
             return False
-        return any(path in staged.values() for path in _manifest(spark, root, number).values())
+        content = _content(spark, root, number)
+        named = {**content["tables"], **{name: entry["path"] for name, entry in content["derived"].items()}}
+        return any(path in staged.values() for path in _absolute(root, named).values())
     except Exception:  # no answer is no licence to delete
         return True
 
 
 def publish_snapshot(
-    spark: SparkSession, root: str, tables: Tables | dict[str, DataFrame], expected: dict[str, int] | None = None
+    spark: SparkSession,
+    root: str,
+    tables: Tables | dict[str, DataFrame],
+    expected: dict[str, int] | None = None,
+    derived: tuple[str, ...] = (),
 ) -> str:
     """Write all eight tables as a new snapshot and make it current; returns its version.
 
-    ``expected`` holds source row counts to verify the stored tables against.
+    ``expected`` holds source row counts to verify the stored tables against, ``derived`` names tables to compute from it.
     """
     frames = tables.as_dict() if isinstance(tables, Tables) else tables
     missing = [name for name in TABLES if name not in frames]
     if missing:
         raise ValueError(f"a full snapshot needs all tables, missing {missing}")
-    return _publish(spark, root, {name: frames[name] for name in TABLES}, expected or {})
+    return _publish(spark, root, {name: frames[name] for name in TABLES}, expected or {}, derived)
+
+
+def _to_rebuild(spark: SparkSession, root: str, rebuild: bool) -> tuple[str, ...]:
+    return tuple(_content(spark, root, _latest(spark, root))["derived"]) if rebuild else ()
 
 
 def replace_table(
-    spark: SparkSession, root: str, name: str, df: DataFrame, expected_rows: int | None = None
+    spark: SparkSession, root: str, name: str, df: DataFrame, expected_rows: int | None = None, rebuild: bool = False
 ) -> str:
     """Publish a snapshot with one table replaced and the other seven shared, not copied.
 
     Tables that refer to the new one are checked against it: unlike an emptying cascade, a reload
-    that would orphan their rows is refused.
+    that would orphan their rows is refused. Derived tables that read it are dropped from the snapshot, or computed again and published
+    with it if ``rebuild`` is true.
     """
     current_paths(spark, root)  # there must be a snapshot
-    return _publish(spark, root, {name: df}, {} if expected_rows is None else {name: expected_rows})
+    expected = {} if expected_rows is None else {name: expected_rows}
+    return _publish(spark, root, {name: df}, expected, _to_rebuild(spark, root, rebuild))
+
+
+def derive(spark: SparkSession, root: str, *names: str) -> str:
+    """Compute derived tables (all known ones by default) of the current snapshot where they are missing, and publish them.
+
+    Tables that a load replaces meanwhile are read again: what is published fits the tables beside it.
+    """
+    unknown = [name for name in names if name not in DERIVED]
+    if unknown:
+        raise ValueError(f"no such derived table: {unknown}; known are {sorted(DERIVED)}")
+    current_paths(spark, root)
+    return _publish(spark, root, {}, {}, names or tuple(DERIVED))

@@ -22,12 +22,13 @@ class Tables:
     order_payments: DataFrame
     order_reviews: DataFrame
 
-    stored_order_metrics: DataFrame | None = None
+    derived: dict[str, DataFrame]  # stored results of these very tables, by name
 
     def __init__(self, **sources: DataFrame | Callable[[], DataFrame]):
         if set(sources) != set(TABLES):
             raise ValueError(f"expected the tables {sorted(TABLES)}, got {sorted(sources)}")
         self._sources = sources
+        self.derived = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in self._sources:
@@ -41,10 +42,11 @@ class Tables:
         return {name: getattr(self, name) for name in TABLES}
 
     def with_tables(self, **changed: DataFrame | Callable[[], DataFrame]) -> Tables:
+        """Some tables replaced; results derived from the old ones are left behind."""
         return Tables(**{**self._sources, **changed})
 
-    def with_order_metrics(self, stored: DataFrame) -> Tables:
-        """The same tables with a stored result that stands in for the order metrics' joins."""
+    def with_derived(self, **stored: DataFrame) -> Tables:
+        """The same tables with stored results that stand in for their computation."""
         tables = Tables(**self._sources)
-        tables.stored_order_metrics = stored
+        tables.derived = {**self.derived, **stored}
         return tables
