@@ -183,10 +183,11 @@ def _own_starts(batch: pa.RecordBatch, row: int, size: int) -> np.ndarray:
     """The starts that came to a row's key and are its own: another row of the same id may have the same 32 bits."""
     (piece,) = pieces(batch.column(1).slice(row, 1), lower=False)
     first = piece.windows(size, WINDOW_SEEDS[0])
-    at, hashes = batch.column(2)[row].values.to_numpy(), batch.column(3)[row].values.to_numpy().view(np.uint64)
-    at, hashes = at[at < len(first)], hashes[at < len(first)]
-    key = np.array([batch.column(4)[row].as_py()], np.int64).astype(np.uint64)
-    own = (first[at] == hashes) | (_place_hashes(first[at], at, key) == hashes)
+    found = batch.column(2)[row].values.to_numpy()
+    found = found[found >> 32 < len(first)]
+    at, half = found >> 32, (found & 0xFFFFFFFF).astype(np.uint64)
+    key = np.array([batch.column(3)[row].as_py()], np.int64).astype(np.uint64)
+    own = (first[at] >> np.uint64(32) == half) | (_place_hashes(first[at], at, key) >> np.uint64(32) == half)
     return np.unique(at[own])
 
 
@@ -253,12 +254,13 @@ def repeated_passages(
     repeated = dealt.withColumn("met", met).where("met > 1")
     repeated = repeated.withColumn("text_key", F.col("w2_key").bitwiseAND(F.lit(0xFFFFFFFF)))
     start = F.when(F.col("start") < 0, -F.col("start") - 1).otherwise(F.col("start"))
-    found = F.collect_set(F.struct(start.cast("int").alias("start"), "w1"))
-    starts = repeated.groupBy("id", "text_key").agg(found.alias("found"))
-    s = starts.select(F.col("id").alias("s_id"), F.col("text_key").alias("s_key"), "found.start", "found.w1")
+    # A start and the upper half of its window's hash share a number.
+    found = F.shiftleft(start.cast("long"), 32).bitwiseOR(F.shiftrightunsigned("w1", 32))
+    starts = repeated.groupBy("id", "text_key").agg(F.collect_set(found).alias("starts"))
+    s = starts.select(F.col("id").alias("s_id"), F.col("text_key").alias("s_key"), "starts")
     whole = rows.join(s, rows["id"].eqNullSafe(F.col("s_id")) & (rows["text_key"] == F.col("s_key")), "left")
     extra = ", kept_text string" if with_text else ""
-    out = whole.select("id", "text", "start", "w1", "text_key").mapInArrow(
+    out = whole.select("id", "text", "starts", "text_key").mapInArrow(
         _removed(size, with_text), f"id {kind}, n_words long, n_removed long, kept_sha256 string{extra}"
     )
     return out.withColumnRenamed("id", id_col)

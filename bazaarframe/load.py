@@ -9,7 +9,7 @@ from bazaarframe.operators.checks import check_columns, require_valid
 from bazaarframe.operators.clean import clean_text_columns, project_to_spec
 from bazaarframe.schema import TABLES, TableSpec
 from bazaarframe.session import size_for, tune
-from bazaarframe.sources.csv_source import scan_csv_table
+from bazaarframe.sources.csv_source import find_csv, scan_csv, scan_csv_table
 from bazaarframe.sources.snapshot import publish_snapshot, replace_table
 
 # Fixed value: the column that the single-table customer file must have although it is not kept.
@@ -48,30 +48,44 @@ def prepare(df: DataFrame, spec: TableSpec, also: tuple[str, ...] = ()) -> DataF
 
 
 def run_load(
-    spark: SparkSession, raw_dir: str, root: str, names: dict[str, str] | None = None, derived: tuple[str, ...] = ()
+    spark: SparkSession,
+    raw_dir: str,
+    root: str,
+    names: dict[str, str] | None = None,
+    derived: tuple[str, ...] = (),
+    line_breaks: dict[str, bool] | None = None,
 ) -> str:
     """Load all eight files and publish them together; returns the snapshot's version.
 
     All files are found and their columns checked before anything is written. Keys, references and
     value rules are checked on the written Parquet, which is far cheaper to scan than the text, and
-    before the snapshot becomes current. ``derived`` names tables to compute from it and publish with it.
+    before the snapshot becomes current. ``derived`` names tables to compute from it and publish with it. Rows are
+    counted where they pass on their way into the files; ``line_breaks`` says of which tables it is known whether records go
+    over several lines, and spares their files the pass that finds out.
     """
     size_for(tune(spark), raw_dir)
-    scans = {name: scan_csv_table(spark, raw_dir, spec, names) for name, spec in TABLES.items()}
+    known = line_breaks or {}
+    scans = {name: scan_csv_table(spark, raw_dir, spec, names, known.get(name)) for name, spec in TABLES.items()}
     prepared = {name: prepare(scan.frame(), TABLES[name]) for name, scan in scans.items()}
-    expected = {name: scan.count() for name, scan in scans.items()}
+    expected = {name: scan.rows for name, scan in scans.items() if scan.rows is not None}
     return publish_snapshot(spark, root, prepared, expected, derived)
 
 
+def customers_to_reload(spark: SparkSession, raw_dir: str, names: dict[str, str] | None = None) -> tuple[DataFrame, int | None]:
+    """The customer file as a typed table, and the number of its records if it is known."""
+    spec = TABLES["customers"]
+    path = find_csv(spark, raw_dir, spec, names)
+    size_for(tune(spark), path)
+    scan = scan_csv(spark, path)
+    return prepare(scan.frame(), spec, CUSTOMER_FILE_COLUMNS), scan.rows
+
+
 def reload_customers(
-    spark: SparkSession, raw_dir: str, root: str, names: dict[str, str] | None = None
+    spark: SparkSession, raw_dir: str, root: str, names: dict[str, str] | None = None, rebuild: bool = False
 ) -> str:
-    """Reload customers alone from their file."""
-    tune(spark)
-    spec = TABLES["customers"]
-    scan = scan_csv_table(spark, raw_dir, spec, names)
-    table = prepare(scan.frame(), spec, CUSTOMER_FILE_COLUMNS)
-    return replace_table(spark, root, spec.name, table, scan.count())
+    """Reload customers alone from their file, as replace_table does."""
+    table, rows = customers_to_reload(spark, raw_dir, names)
+    return replace_table(spark, root, "customers", table, rows, rebuild)
 
 
 def validate_frame(df: DataFrame, spec: TableSpec) -> None:

@@ -161,11 +161,13 @@ def reference_violations(tables: dict[str, DataFrame], spec: TableSpec) -> list[
     return found
 
 
-def constraint_violations(tables: Tables | dict[str, DataFrame], names: list[str] | None = None) -> DataFrame:
+def constraint_violations(
+    tables: Tables | dict[str, DataFrame], names: list[str] | None = None, incoming: bool = True
+) -> DataFrame:
     """Every declared rule with its number of violations, zero included.
 
     With ``names``, row and key rules of the other tables are skipped, as are references that
-    neither start from nor point at a named table.
+    neither start from nor, unless ``incoming`` is false, point at a named table.
     """
     frames = tables.as_dict() if isinstance(tables, Tables) else tables
     wanted = set(names if names is not None else frames)
@@ -173,6 +175,46 @@ def constraint_violations(tables: Tables | dict[str, DataFrame], names: list[str
     for name, spec in TABLES.items():
         if name in wanted:
             found += [row_violations(frames[name], spec), key_violations(frames[name], spec)]
-        touched = tuple(fk for fk in spec.foreign_keys if name in wanted or fk.parent in wanted)
+        touched = tuple(fk for fk in spec.foreign_keys if name in wanted or (incoming and fk.parent in wanted))
         found += reference_violations(frames, replace(spec, foreign_keys=touched))
     return union_all(found)
+
+
+def key_changes(old: DataFrame, new: DataFrame, spec: TableSpec) -> DataFrame:
+    """Keys that differ between two versions of a table: the key columns and change (added, changed, removed).
+
+    Rows are compared by two hashes of all their other columns, so only keys and hashes are shuffled.
+    """
+    keys = list(spec.primary_key)
+    rest = [c for c in spec.column_names if c not in keys]
+
+    def hashed(df: DataFrame, side: str) -> DataFrame:
+        hashes = F.struct(*[F.xxhash64(F.lit(seed), *rest) for seed in (1, 2)])
+        return df.select(*keys, hashes.alias(side))
+
+    both = hashed(old, "before").join(hashed(new, "after"), keys, "full")
+    change = (
+        F.when(F.col("before").isNull(), "added")
+        .when(F.col("after").isNull(), "removed")
+        .when(F.col("before") != F.col("after"), "changed")
+    )
+    return both.select(*keys, change.alias("change")).where("change is not null")
+
+
+def orphaned_by(changes: DataFrame, frames: dict[str, DataFrame], parent: str) -> DataFrame:
+    """Rows (table_name, column_name, key, rows) of the dependants whose parent the changes remove.
+
+    Dependants are grouped by key where they are and meet the removed keys only. Sound where no reference was broken before.
+    """
+    removed = changes.where("change = 'removed'")
+    found = [
+        frames[name]
+        .groupBy(F.col(fk.column).alias("key"))
+        .agg(F.count("*").alias("rows"))
+        .join(removed.select(F.col(fk.parent_column).alias("key")), "key", "left_semi")
+        .select(F.lit(name).alias("table_name"), F.lit(fk.column).alias("column_name"), "key", "rows")
+        for name, spec in TABLES.items()
+        for fk in spec.foreign_keys
+        if fk.parent == parent
+    ]
+    return union_all(found) if found else removed.selectExpr("'' as table_name", "'' as column_name", "'' as key", "0L as rows").limit(0)

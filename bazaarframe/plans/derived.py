@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from bazaarframe.plans import metrics
+from bazaarframe.plans import cells, metrics
 from bazaarframe.session import new_folder
 from bazaarframe.tables import Tables
 
@@ -33,19 +33,27 @@ DERIVED = {
         metrics.order_metrics,
         ("order_purchase_timestamp", "order_id"),
     ),
+    "sales_cells": Derived(
+        ("customers", "orders", "order_items", "order_payments", "order_reviews"),
+        cells.sales_cells,
+        ("month", "customer_state", "bucket"),
+    ),
 }
 
 
 def write_derived(t: Tables, name: str, path: str) -> None:
-    """Compute a derived table anew and write it."""
+    """Compute a derived table and write it; other derived tables of ``t`` may serve, an older one of its name does not."""
     spec = DERIVED[name]
-    built = spec.build(Tables(**{table: getattr(t, table) for table in t.as_dict()}))
+    others = {other: df for other, df in t.derived.items() if other != name}
+    built = spec.build(t.without_derived().with_derived(**others))
     built.repartitionByRange(*spec.stored_by).sortWithinPartitions(*spec.stored_by).write.parquet(path)
 
 
-def store(t: Tables, name: str) -> Tables:
-    """Tables that no snapshot holds, with a derived table written to the shared folder."""
+def store(t: Tables, *names: str) -> Tables:
+    """Tables that no snapshot holds, with derived tables written to the shared folder, in the given order."""
     spark = t.orders.sparkSession
-    path = new_folder(spark, name)
-    write_derived(t, name, path)
-    return t.with_derived(**{name: spark.read.parquet(path)})
+    for name in names:
+        path = new_folder(spark, name)
+        write_derived(t, name, path)
+        t = t.with_derived(**{name: spark.read.parquet(path)})
+    return t

@@ -72,7 +72,18 @@ def active_order_metrics(t: Tables) -> DataFrame:
 
 
 def monthly_sales(t: Tables) -> DataFrame:
-    """Orders, customers and amounts per purchase month; one month is NULL when unknown."""
+    """Orders, customers and amounts per purchase month; one month is NULL when unknown. Stored cells answer it alone."""
+    if "sales_cells" in t.derived:
+        from bazaarframe.plans.cells import merged
+
+        return merged(t.derived["sales_cells"], "month").select(
+            "month",
+            "orders",
+            "customers",
+            F.col("product_value").alias("gmv"),
+            exact_avg(F.col("product_value"), F.col("orders")).alias("average_order_value"),
+            "freight_value",
+        )
     return (
         active_order_metrics(t)
         .groupBy(F.trunc("order_purchase_timestamp", "MM").alias("month"))

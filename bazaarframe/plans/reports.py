@@ -15,6 +15,7 @@ from bazaarframe.functions.exact import (
 from bazaarframe.functions.predicates import is_active
 from bazaarframe.functions.text import comma_text, fixed_text
 from bazaarframe.plans import metrics
+from bazaarframe.plans.cells import merged
 from bazaarframe.tables import Tables
 
 
@@ -32,6 +33,14 @@ def top(df: DataFrame, measure: str, key: str, n: int = 10) -> DataFrame:
 
 
 def executive_kpis(t: Tables) -> DataFrame:
+    if "sales_cells" in t.derived:
+        return merged(t.derived["sales_cells"]).select(
+            F.col("orders").alias("total_orders"),
+            F.col("customers").alias("unique_customers"),
+            F.col("product_value").alias("gmv"),
+            exact_avg(F.col("product_value"), F.col("orders")).alias("average_order_value"),
+            exact_avg(F.col("score_sum"), F.col("scored"), total_scale=SCORE_SCALE).alias("average_review_score"),
+        )
     return metrics.active_order_metrics(t).agg(
         F.count("*").alias("total_orders"),
         F.count_distinct("customer_unique_id").alias("unique_customers"),
@@ -50,7 +59,15 @@ def top_categories(t: Tables, n: int = 10) -> DataFrame:
 
 
 def state_sales(t: Tables) -> DataFrame:
-    """Sales per customer state, the unknown state included."""
+    """Sales per customer state, the unknown state included. Stored cells answer it alone."""
+    if "sales_cells" in t.derived:
+        return merged(t.derived["sales_cells"], "customer_state").select(
+            "customer_state",
+            "orders",
+            "customers",
+            F.col("product_value").alias("gmv"),
+            exact_avg(F.col("product_value"), F.col("orders")).alias("average_order_value"),
+        )
     return (
         metrics.active_order_metrics(t)
         .groupBy("customer_state")

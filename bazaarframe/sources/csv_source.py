@@ -1,26 +1,17 @@
-"""CSV scan that stays splittable when quoted fields contain line breaks.
+"""CSV scan that stays splittable where records keep to one line.
 
-Spark reads plain CSV in splits, but needs one task per file once ``multiLine`` is on. Here a first
-pass over the text finds the files in which some line ends inside a quoted field. All other files go
-to Spark's own reader, line by line. In the few that remain, read once more by themselves, each split learns from its
-predecessors' quote counts whether it begins inside a record; it then joins the lines of its own
-records, and only a record cut by a split boundary is put together through a shuffle.
-
-Line breaks inside quoted fields come out as a single line feed.
+Spark reads plain CSV in splits, but needs one task per file once ``multiLine`` is on. Here a first pass over the
+text finds the files in which some line ends inside a quoted field. Only those are read with ``multiLine``; all others line by
+line. Line breaks inside quoted fields come out as a single line feed.
 """
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bazaarframe.schema import TableSpec
 from bazaarframe.sources import files
@@ -55,238 +46,85 @@ _FIELD = r'(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+)?+'
 _WHOLE_LINE = rf"\A{_FIELD}(?:,{_FIELD})*+\z"
 
 
-@dataclass(frozen=True)
-class SplitState:
-    """Where one split of a file stands relative to records that cross split boundaries."""
-
-    starts_open: bool
-    ends_open: bool
-    owner: int | None  # start offset of the split in which the record open at the start began
-
-
 @dataclass
 class CsvScan:
-    """The outcome of the first pass: which files need joining, and the size of the others."""
+    """The outcome of the first pass: which files have records over several lines, and the size of the others."""
 
     spark: SparkSession
     columns: list[str]
     plain_files: list[str]
-    joined_files: dict[str, dict[int, SplitState]]
-    plain_rows: int
+    joined_files: dict[str, range]  # read whole by one task each, with the splits that they would have otherwise
+    plain_rows: int | None  # None: not counted
 
     def frame(self) -> DataFrame:
         """All records as text columns named by the header, missing-value words as NULL."""
         frames = []
         if self.plain_files:
-            frames.append(_read_plain(self.spark, self.plain_files, self.columns))
+            frames.append(_read(self.spark, self.plain_files, self.columns))
         if self.joined_files:
-            frames.append(_parse(_join_records(self), self.columns))
+            frames.append(_read(self.spark, sorted(self.joined_files), self.columns, multiLine=True))
         df = reduce(DataFrame.unionByName, frames)
         words = ", ".join(f"'{word}'" for word in NULL_WORDS)
         return df.selectExpr(*[f"if({c} in ({words}), null, {c}) as {c}" for c in map(_quoted, df.columns)])
 
+    @property
+    def rows(self) -> int | None:
+        """Number of source records if the first pass could count them, line by line; else None."""
+        return None if self.joined_files else self.plain_rows
+
     def count(self) -> int:
-        """Number of source records. Plain files were already counted, without the CSV parser."""
-        joined = _join_records(self).count() if self.joined_files else 0
-        return self.plain_rows + joined
+        """Number of source records, with a pass over the files that the first pass could not count."""
+        known = self.rows
+        return self.frame().count() if known is None else known
 
 
 def _quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
-def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value"
-    )
-
-
 def _text_schema(columns: list[str]) -> str:
     return ", ".join(f"{_quoted(c)} string" for c in columns)
 
 
-def _read_plain(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+def _read(spark: SparkSession, paths: list[str], columns: list[str], **options) -> DataFrame:
     # enforceSchema=False compares every file's header with the columns instead of trusting order. Without pruning the
     # parser counts a row's fields even if some columns are dropped later.
-    options = dict(_CSV_OPTIONS, header=True, enforceSchema=False, columnPruning=False)
+    options = dict(_CSV_OPTIONS, header=True, enforceSchema=False, columnPruning=False, **options)
     return spark.read.schema(_text_schema(columns)).options(**options).csv(paths)
 
 
-def scan_csv(spark: SparkSession, path: str) -> CsvScan:
-    """First pass over a CSV file or a folder of CSV parts that each carry the header."""
-    # Both passes must cut the files alike; the default cut depends on the executors alive.
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
-    header = spark.read.options(header=True, **_CSV_OPTIONS).csv(path).columns
+def scan_csv(spark: SparkSession, path: str, line_breaks: bool | None = None) -> CsvScan:
+    """First pass over a CSV file or a folder of CSV parts that each carry the header.
 
-    per_file = _line_counts(_lines(spark, [path]), "file")
-    # One row per file.
-    plain, joined, plain_rows = [], [], 0
-    for row in per_file.collect():
-        if row["open_lines"]:
-            joined.append(row["file"])
-        else:
-            plain.append(row["file"])
-            plain_rows += max(row["lines"] - 1, 0)
-    return CsvScan(spark, header, sorted(plain), _split_states(spark, sorted(joined)) if joined else {}, plain_rows)
-
-
-def _line_counts(lines: DataFrame, *keys: str) -> DataFrame:
+    ``line_breaks`` tells whether records may go over several lines, if that is known; it spares the pass, and nothing is
+    counted then. A file with such records is read by one task: large ones should come in parts.
+    """
+    header = spark.read.options(header=True, **_CSV_OPTIONS).csv(path).columns
+    if line_breaks is not None:
+        found = [path] if line_breaks else []
+        return CsvScan(spark, header, [] if line_breaks else [path], {f: range(1) for f in found}, None)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value"
+    )
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return lines.groupBy(*keys).agg(
+    per_split = lines.groupBy("file", "split").agg(
         F.count_if(F.col("value").rlike(r"[^\x00-\x20]")).alias("lines"),
-        F.sum(quotes % 2).alias("odd_lines"),
+        F.sum(quotes).alias("quotes"),
         F.count_if(~F.col("value").rlike(_WHOLE_LINE)).alias("open_lines"),
     )
-
-
-def _split_states(spark: SparkSession, paths: list[str]) -> dict[str, dict[int, SplitState]]:
-    """Of each file its splits, cut as _join_records cuts them: Spark's cut depends on the size of all files read together."""
-    per_split = _line_counts(_lines(spark, paths), "file", "split")
-    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    starts_open = F.coalesce(F.sum("odd_lines").over(before), F.lit(0)) % 2 == 1
-    # A split inside one long record has no odd line; the record then belongs to an earlier split.
-    begins_record = ~F.col("starts_open") | (F.col("odd_lines") > 0)
-    states = per_split.withColumn("starts_open", starts_open).withColumn(
-        "owner", F.last(F.when(begins_record, F.col("split")), ignorenulls=True).over(before)
+    per_file = per_split.groupBy("file").agg(
+        *[F.sum(c).alias(c) for c in ("lines", "quotes", "open_lines")], F.count("*").alias("splits")
     )
-    found: dict[str, dict[int, SplitState]] = {}
-    for row in states.collect():
-        ends_open = row["starts_open"] != (row["odd_lines"] % 2 == 1)
-        found.setdefault(row["file"], {})[row["split"]] = SplitState(row["starts_open"], ends_open, row["owner"])
-    return found
-
-
-def _ends_open(line: str) -> bool:
-    """Whether a line that begins inside a quoted field also ends inside one."""
-    position, inside = 0, True
-    while True:
-        if inside:
-            end = line.find('"', position)
-            while end >= 0 and line[end + 1 : end + 2] == '"':
-                end = line.find('"', end + 2)
-            if end < 0:
-                return True
-            position, inside = end + 1, False
-        comma = line.find(",", position)
-        if comma < 0:
-            return False
-        position = comma + 1
-        if line[position : position + 1] == '"':
-            position, inside = position + 1, True
-
-
-_RECORD_SCHEMA = T.StructType(
-    [
-        T.StructField("file", T.StringType()),
-        T.StructField("owner", T.LongType()),
-        T.StructField("split", T.LongType()),
-        T.StructField("piece", T.IntegerType()),
-        T.StructField("record", T.StringType()),
-    ]
-)
-
-
-class _SplitJoiner:
-    """Joins the lines of one split into records, holding only the record that is open."""
-
-    def __init__(self, file: str, split: int, state: SplitState, header: list[str]):
-        self.file, self.split, self.state, self.header = file, split, state, header
-        self.open = state.starts_open
-        self.leading = state.starts_open
-        self.buffer: list[str] = []
-        self.header_pending = split == 0
-
-    def _frame(self, records: list[str], owner: int | None = None, piece: int = 0) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"file": self.file, "owner": owner, "split": self.split, "piece": piece, "record": records}
-        ).astype({"owner": "Int64"})
-
-    def _whole(self, records: list[str]) -> Iterator[pd.DataFrame]:
-        records = [r for r in records if r.strip()]
-        if records and self.header_pending:
-            names = next(csv.reader([records[0]]))
-            if names != self.header:
-                raise ValueError(f"{self.file}: header {names} differs from {self.header}")
-            records, self.header_pending = records[1:], False
-        if records:
-            yield self._frame(records)
-
-    def add(self, lines: np.ndarray, whole: np.ndarray) -> Iterator[pd.DataFrame]:
-        openers = np.flatnonzero(~whole)
-        at = 0
-        while at < len(lines):
-            if self.open:
-                self.buffer.append(lines[at])
-                self.open = _ends_open(lines[at])
-                at += 1
-                if not self.open:
-                    text, self.buffer = "\n".join(self.buffer), []
-                    if self.leading:
-                        self.leading = False
-                        yield self._frame([text], self.state.owner, 0)
-                    else:
-                        yield from self._whole([text])
-                continue
-            later = openers[np.searchsorted(openers, at) :]
-            stop = int(later[0]) if len(later) else len(lines)
-            yield from self._whole(list(lines[at:stop]))
-            if stop < len(lines):
-                self.buffer, self.open = [lines[stop]], True
-                stop += 1
-            at = stop
-
-    def finish(self) -> Iterator[pd.DataFrame]:
-        if self.open != self.state.ends_open:
-            raise ValueError(f"{self.file}: a quote inside an unquoted field hides where records end")
-        if self.open and self.buffer:
-            owner = self.state.owner if self.leading else self.split
-            yield self._frame(["\n".join(self.buffer)], owner, 0 if self.leading else 1)
-
-
-def _join_records(scan: CsvScan) -> DataFrame:
-    """One row (record) per data record of the files that need joining."""
-    for file, splits in scan.joined_files.items():
-        if splits[max(splits)].ends_open:
-            raise ValueError(f"{file}: the file ends inside a quoted field")
-    # One small entry per split, so its size is that of the text divided by the split size.
-    states = scan.spark.sparkContext.broadcast(scan.joined_files)
-    header = scan.columns
-
-    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        joiner = None
-        for batch in batches:
-            starts = batch["split"].to_numpy()
-            names = batch["file"].to_numpy()
-            changed = np.flatnonzero((starts[1:] != starts[:-1]) | (names[1:] != names[:-1])) + 1
-            edges = [0, *changed.tolist(), len(batch)]
-            lines, whole = batch["value"].to_numpy(), batch["whole"].to_numpy(dtype=bool)
-            for first, last in zip(edges[:-1], edges[1:]):
-                if first == last:
-                    continue
-                file, split = names[first], int(starts[first])
-                if joiner is None or (joiner.file, joiner.split) != (file, split):
-                    if joiner is not None:
-                        yield from joiner.finish()
-                    joiner = _SplitJoiner(file, split, states.value[file][split], header)
-                yield from joiner.add(lines[first:last], whole[first:last])
-        if joiner is not None:
-            yield from joiner.finish()
-
-    lines = _lines(scan.spark, sorted(scan.joined_files))
-    pieces = lines.withColumn("whole", F.col("value").rlike(_WHOLE_LINE)).mapInPandas(join, _RECORD_SCHEMA)
-    # At most one record per split boundary comes in pieces; everything else passes straight through.
-    cut = (
-        pieces.where("owner is not null")
-        .groupBy("file", "owner")
-        .agg(F.array_sort(F.collect_list(F.struct("split", "piece", "record"))).alias("parts"))
-        .select(F.array_join("parts.record", "\n").alias("record"))
-    )
-    return pieces.where("owner is null").select("record").unionByName(cut)
-
-
-def _parse(records: DataFrame, columns: list[str]) -> DataFrame:
-    return records.select(F.from_csv("record", _text_schema(columns), _CSV_OPTIONS).alias("r")).select("r.*")
+    plain, joined, plain_rows = [], {}, 0
+    for row in per_file.collect():  # one row per file
+        if row["open_lines"]:
+            if row["quotes"] % 2:
+                raise ValueError(f"{row['file']}: the file ends inside a quoted field, or a quote inside an unquoted field hides where it ends")
+            joined[row["file"]] = range(row["splits"])
+        else:
+            plain.append(row["file"])
+            plain_rows += max(row["lines"] - 1, 0)
+    return CsvScan(spark, header, sorted(plain), joined, plain_rows)
 
 
 def find_csv(spark: SparkSession, raw_dir: str, spec: TableSpec, names: dict[str, str] | None = None) -> str:
@@ -301,9 +139,9 @@ def find_csv(spark: SparkSession, raw_dir: str, spec: TableSpec, names: dict[str
 
 
 def scan_csv_table(
-    spark: SparkSession, raw_dir: str, spec: TableSpec, names: dict[str, str] | None = None
+    spark: SparkSession, raw_dir: str, spec: TableSpec, names: dict[str, str] | None = None, line_breaks: bool | None = None
 ) -> CsvScan:
-    return scan_csv(spark, find_csv(spark, raw_dir, spec, names))
+    return scan_csv(spark, find_csv(spark, raw_dir, spec, names), line_breaks)
 
 
 def read_csv_table(

@@ -17,9 +17,10 @@ import json
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from bazaarframe.operators.checks import constraint_violations, union_all
+from bazaarframe.operators.checks import constraint_violations, key_changes, orphaned_by, union_all
 from bazaarframe.plans.derived import DERIVED, write_derived
 from bazaarframe.schema import TABLES
 from bazaarframe.sources import files
@@ -73,12 +74,17 @@ def derived_paths(spark: SparkSession, root: str, content: dict | None = None) -
     return _absolute(root, {name: entry["path"] for name, entry in content["derived"].items()})
 
 
-def write_table(df: DataFrame, path: str, name: str, mode: str = "errorifexists") -> None:
-    """Write a table's modelled columns by name; ``mode='append'`` adds to what is there."""
+def write_table(df: DataFrame, path: str, name: str, mode: str = "errorifexists") -> int:
+    """Write a table's modelled columns by name; ``mode='append'`` adds to what is there. Returns the rows written.
+
+    Rows are counted by the job that writes them, behind the exchange: a range exchange reads its input twice.
+    """
     df = df.select(*TABLES[name].column_names)
     if name in STORED_BY:
         df = df.repartitionByRange(*STORED_BY[name]).sortWithinPartitions(*STORED_BY[name])
-    df.write.mode(mode).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    return seen.get["rows"]
 
 
 def current_paths(spark: SparkSession, root: str) -> dict[str, str]:
@@ -123,13 +129,23 @@ def verify_counts(frames: dict[str, DataFrame], expected: dict[str, int]) -> dic
     return actual
 
 
-def _require_constraints(frames: dict[str, DataFrame], names: list[str]) -> None:
-    broken = constraint_violations(frames, names).where("violations > 0").collect()
+def _require(violations: DataFrame) -> None:
+    """Raise if any rule (table_name, rule, violations) is violated."""
+    broken = violations.where("violations > 0").collect()
     if broken:
         found = "; ".join(f"{r['table_name']}: {r['rule']} ({r['violations']} rows)" for r in broken)
         raise ValueError(f"constraints violated: {found}")
 
 
+def _require_constraints(frames: dict[str, DataFrame], names: list[str], changes: DataFrame | None = None) -> None:
+    """Check the named tables with the others; with the key changes of the only one, dependants meet the removed keys alone."""
+    _require(constraint_violations(frames, names, incoming=changes is None))
+    if changes is not None and not changes.where("change = 'removed'").isEmpty():
+        orphans = orphaned_by(changes, frames, names[0])
+        rule = F.concat(F.lit("reference "), F.col("column_name")).alias("rule")
+        _require(orphans.groupBy("table_name", rule).agg(F.sum("rows").alias("violations")))
+
+
 def _version() -> str:
     return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
@@ -140,10 +156,13 @@ def _publish(
     changed: dict[str, DataFrame],
     expected: dict[str, int],
     derived: tuple[str, ...] = (),
-    check=_require_constraints,
+    by_difference: bool = False,
 ) -> str:
     """Write the changed tables, check them with the others as they are published, and publish all together.
 
+    ``by_difference``: a single table takes the place of an older one; their key changes are stored beside it, named in the manifest, and
+    dependants are checked against the removed keys only.
+
     ``derived`` tables are computed from the tables as they will be published, unless the manifest has them already from
     the same versions; others that are no longer good are left out. If another load publishes meanwhile, all
     of this is done again with its tables. Once a manifest was tried, the staged tables stay unless the manifest of that number can be read
@@ -156,28 +175,38 @@ def _publish(
     scrap: list[str] = []  # those of them that another load has made old
     tried = None
     try:
-        for name, df in changed.items():
-            write_table(df, staged[name], name)
+        written = {name: write_table(df, staged[name], name) for name, df in changed.items()}
         if staged:
-            verify_counts(_read(spark, staged), expected)
+            verify_counts(_read(spark, staged), {**written, **expected})
         while True:
             number = _latest(spark, root)
             before = _content(spark, root, number)
             paths = {**_absolute(root, before["tables"]), **staged}
+            changes, compared = {}, None
+            if by_difference:
+                (name,) = staged
+                place = f"changes/{name}/{_version()}"
+                changes[name] = {"path": place, "from": before["tables"][name]}
+                scrap.append(f"{root}/{place}")
+                old = _read(spark, _absolute(root, {name: before["tables"][name]}))[name]
+                key_changes(old, _read(spark, staged)[name], TABLES[name]).write.parquet(scrap[-1])
+                compared = spark.read.parquet(scrap[-1])
             if staged:
-                check(_read(spark, paths), list(staged))
+                _require_constraints(_read(spark, paths), list(staged), compared)
             relative = {name: path[len(root) + 1 :] for name, path in paths.items()}
             known = {**before["derived"], **built}
             entries = {name: entry for name, entry in known.items() if _fresh(relative, entry)}
             scrap += [f"{root}/{entry['path']}" for name, entry in built.items() if name not in entries]
             for name in derived:
                 if name not in entries:
-                    entries[name] = built[name] = _build(spark, root, name, paths, relative)
-            text = json.dumps({"version": version, "tables": relative, "derived": entries}, indent=1, sort_keys=True)
+                    entries[name] = built[name] = _build(spark, root, name, paths, relative, entries)
+            content = {"version": version, "tables": relative, "derived": entries, "changes": changes}
+            text = json.dumps(content, indent=1, sort_keys=True)
             tried = number + 1
             if files.create_text(spark, f"{_manifests(root)}/{tried:06}.json", text, f"{_manifests(root)}/{version}.new"):
                 for path in scrap:
-                    files.delete(spark, path)
+                    if path not in _absolute(root, {n: c["path"] for n, c in changes.items()}).values():
+                        files.delete(spark, path)
                 return version
             tried = None
     except Exception:
@@ -188,10 +217,13 @@ def _publish(
         raise
 
 
-def _build(spark: SparkSession, root: str, name: str, paths: dict[str, str], relative: dict[str, str]) -> dict:
-    """Compute a derived table from tables at these paths; its entry in the manifest."""
+def _build(
+    spark: SparkSession, root: str, name: str, paths: dict[str, str], relative: dict[str, str], known: dict[str, dict]
+) -> dict:
+    """Compute a derived table from tables at these paths and the derived ones known already; its entry in the manifest."""
     place = f"derived/{name}/{_version()}"
-    write_derived(Tables(**_read(spark, paths)), name, f"{root}/{place}")
+    others = {other: spark.read.parquet(f"{root}/{entry['path']}") for other, entry in known.items() if other in DERIVED}
+    write_derived(Tables(**_read(spark, paths)).with_derived(**others), name, f"{root}/{place}")
     return {"path": place, "inputs": {table: relative[table] for table in DERIVED[name].inputs}}
 
 
@@ -234,13 +266,27 @@ def replace_table(
 ) -> str:
     """Publish a snapshot with one table replaced and the other seven shared, not copied.
 
-    Tables that refer to the new one are checked against it: unlike an emptying cascade, a reload
-    that would orphan their rows is refused. Derived tables that read it are dropped from the snapshot, or computed again and published
-    with it if ``rebuild`` is true.
+    The new version is compared with the old one by key. Tables that refer to it are checked against the removed keys: unlike an
+    emptying cascade, a reload that would orphan their rows is refused, and one that removes no key reads none of them.
+    Derived tables that read it are dropped from the snapshot, or computed again and published with it if ``rebuild`` is
+    true.
     """
     current_paths(spark, root)  # there must be a snapshot
     expected = {} if expected_rows is None else {name: expected_rows}
-    return _publish(spark, root, {name: df}, expected, _to_rebuild(spark, root, rebuild))
+    return _publish(spark, root, {name: df}, expected, _to_rebuild(spark, root, rebuild), by_difference=True)
+
+
+def last_changes(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """By table the key changes (key columns, change) that the current manifest's load made, if it replaced a table."""
+    changes = _content(spark, root, _latest(spark, root)).get("changes", {})
+    return {name: spark.read.parquet(f"{root.rstrip('/')}/{entry['path']}") for name, entry in changes.items()}
+
+
+def would_orphan(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:
+    """Rows (table_name, column_name, key, rows) that a reload with this table would leave without parent; nothing is changed."""
+    paths = current_paths(spark, root)
+    frames = _read(spark, paths)
+    return orphaned_by(key_changes(frames[name], df, TABLES[name]), frames, name)
 
 
 def derive(spark: SparkSession, root: str, *names: str) -> str:

@@ -50,3 +50,6 @@ class Tables:
         tables = Tables(**self._sources)
         tables.derived = {**self.derived, **stored}
         return tables
+
+    def without_derived(self) -> Tables:
+        return Tables(**self._sources)
