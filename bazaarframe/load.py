@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarframe.operators.checks import check_columns, require_valid
+from bazaarframe.operators.checks import check_columns, constraint_violations, require_valid, union_all
 from bazaarframe.operators.clean import clean_text_columns, project_to_spec
 from bazaarframe.schema import TABLES, TableSpec
 from bazaarframe.session import size_for, tune
 from bazaarframe.sources.csv_source import find_csv, scan_csv, scan_csv_table
-from bazaarframe.sources.snapshot import publish_snapshot, replace_table
+from bazaarframe.sources.snapshot import open_snapshot, publish_snapshot, replace_table, row_counts, write_table
 
 # Fixed value: the column that the single-table customer file must have although it is not kept.
 CUSTOMER_FILE_COLUMNS = ("customer_zip_code_prefix",)
@@ -47,6 +48,61 @@ def prepare(df: DataFrame, spec: TableSpec, also: tuple[str, ...] = ()) -> DataF
     return coerce(clean_text_columns(project_to_spec(df, spec)), spec)
 
 
+def rejects(
+    spark: SparkSession, raw_dir: str, names: dict[str, str] | None = None, line_breaks: dict[str, bool] | None = None
+) -> DataFrame:
+    """Values that do not convert to their column's type: (table_name, column_name, file, value, rows), in one pass a table.
+
+    ``file`` is the name of the table's file or folder. For finding all faults of a delivery at once; a load stops at the
+    first.
+    """
+    size_for(tune(spark), raw_dir)
+    found = []
+    for name, spec in TABLES.items():
+        path = find_csv(spark, raw_dir, spec, names)
+        text = clean_text_columns(project_to_spec(scan_csv(spark, path, (line_breaks or {}).get(name)).frame(), spec))
+        typed = [c for c in spec.columns if not isinstance(c.type, T.StringType)]
+        if not typed:
+            continue
+        bad = [
+            f"case when {c.name} is not null and {_typed(c.name, c.type)} is null"
+            f" then named_struct('column_name', '{c.name}', 'value', {c.name}) end"
+            for c in typed
+        ]
+        rows = text.selectExpr(f"inline(array_compact(array({', '.join(bad)})))")
+        file = F.lit(path.rstrip("/").rsplit("/", 1)[-1]).alias("file")
+        found.append(
+            rows.groupBy("column_name", "value")
+            .agg(F.count("*").alias("rows"))
+            .select(F.lit(name).alias("table_name"), "column_name", file, "value", "rows")
+        )
+    return union_all(found)
+
+
+def refusals(
+    spark: SparkSession, raw_dir: str, folder: str, names: dict[str, str] | None = None, line_breaks: dict[str, bool] | None = None
+) -> DataFrame:
+    """What a load of these files would be refused for: (table_name, rule, violations), none if it would pass.
+
+    The tables are written below ``folder`` and checked there, as a load does; nothing is published.
+    """
+    size_for(tune(spark), raw_dir)
+    stored = {}
+    for name, spec in TABLES.items():
+        scan = scan_csv_table(spark, raw_dir, spec, names, (line_breaks or {}).get(name))
+        path = f"{folder.rstrip('/')}/{name}"
+        write_table(prepare(scan.frame(), spec), path, name)
+        stored[name] = spark.read.schema(spec.struct).parquet(path)
+    return constraint_violations(stored).where("violations > 0")
+
+
+def source_and_stored_counts(spark: SparkSession, raw_dir: str, root: str, names: dict[str, str] | None = None) -> DataFrame:
+    """(table_name, source_rows, stored_rows) of the published snapshot and the files it came from."""
+    counts = row_counts(open_snapshot(spark, root)).withColumnRenamed("row_count", "stored_rows")
+    sources = [(name, scan_csv_table(spark, raw_dir, spec, names).count()) for name, spec in TABLES.items()]  # one number a table
+    return spark.createDataFrame(sources, "table_name string, source_rows long").join(counts, "table_name")
+
+
 def run_load(
     spark: SparkSession,
     raw_dir: str,

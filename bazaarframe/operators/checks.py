@@ -7,7 +7,6 @@ sides of the anti join are unique on the key.
 
 from __future__ import annotations
 
-from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -146,19 +145,34 @@ def row_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
     return counts.selectExpr(f"stack({len(rules)}, {rows}) as (table_name, rule, violations)")
 
 
-def key_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Surplus rows of the primary key in the form of the other rules."""
-    return pk_duplicates(df, spec).selectExpr("table_name", "'primary key' as rule", "surplus_rows as violations")
+def _encoded(columns: tuple[str, ...]) -> str:
+    """SQL for a text that is equal for equal keys only, NULL being a value like others."""
+    return "concat(" + ", ".join(f"coalesce(concat(length({c}), ':', {c}), '-')" for c in columns) + ")"
 
 
-def reference_violations(tables: dict[str, DataFrame], spec: TableSpec) -> list[DataFrame]:
-    """Broken references of one table. NULL keys are left to the NOT NULL rules."""
-    found = []
+def _marks(name: str, spec: TableSpec, own: bool, referring: dict[tuple[str, str], int], width: int) -> list[str]:
+    """SQL structs (entity, key, own, refs) that a row of the table contributes to the one grouping of all checks.
+
+    A row counts as owner of its key, as referrer of the keys it refers to, and once for every row rule that it breaks. For a
+    row rule the entity is the rule itself.
+    """
+
+    def mark(entity: str, key: str, owner: int, ref: int | None, condition: str | None = None) -> str:
+        refs = ", ".join("1L" if i == ref else "0L" for i in range(width))
+        struct = f"named_struct('entity', '{entity}', 'key', {key}, 'own', {owner}L, 'refs', array({refs}))"
+        return f"case when {condition} then {struct} end" if condition else struct
+
+    marks = []
+    if own:
+        marks.append(mark(name, _encoded(spec.primary_key), 1, None))
+        marks += [mark(f"{name}|{rule}", "cast(null as string)", 1, None, bad) for rule, bad in _row_rules(spec)]
+    elif any(parent == name for parent, _ in referring.values()):
+        marks.append(mark(name, _encoded(spec.primary_key), 1, None))
     for fk in spec.foreign_keys:
-        child = tables[spec.name].where(f"{fk.column} is not null")
-        broken = orphans(child, fk.column, tables[fk.parent], fk.parent_column, "violations")
-        found.append(broken.selectExpr(f"'{spec.name}' as table_name", f"'reference {fk.column}' as rule", "violations"))
-    return found
+        if (name, fk.column) in referring:
+            parent, place = referring[name, fk.column]
+            marks.append(mark(parent, _encoded((fk.column,)), 0, place, f"{fk.column} is not null"))
+    return marks
 
 
 def constraint_violations(
@@ -168,16 +182,47 @@ def constraint_violations(
 
     With ``names``, row and key rules of the other tables are skipped, as are references that
     neither start from nor, unless ``incoming`` is false, point at a named table.
+
+    Every table is read once. A row becomes a few marks: its own key, the keys it refers to, the row rules it breaks. One
+    grouping by key, combined where the rows are, then shows keys with several owners and references without any: no
+    join, and a key that a third of the rows refer to is one row per task.
     """
     frames = tables.as_dict() if isinstance(tables, Tables) else tables
     wanted = set(names if names is not None else frames)
-    found = []
+    referring: dict[tuple[str, str], tuple[str, int]] = {}  # (table, column) to (parent, place among the parent's referrers)
+    for name, spec in TABLES.items():
+        for fk in spec.foreign_keys:
+            if name in wanted or (incoming and fk.parent in wanted):
+                place = sum(parent == fk.parent for parent, _ in referring.values())
+                referring[name, fk.column] = (fk.parent, place)
+    width = 1 + max((place for _, place in referring.values()), default=0)
+    marked, rules = [], []
     for name, spec in TABLES.items():
+        marks = _marks(name, spec, name in wanted, referring, width)
+        if marks:
+            marked.append(frames[name].selectExpr(f"inline(array_compact(array({', '.join(marks)})))"))
         if name in wanted:
-            found += [row_violations(frames[name], spec), key_violations(frames[name], spec)]
-        touched = tuple(fk for fk in spec.foreign_keys if name in wanted or (incoming and fk.parent in wanted))
-        found += reference_violations(frames, replace(spec, foreign_keys=touched))
-    return union_all(found)
+            rules += [(name, rule) for rule, _ in _row_rules(spec)] + [(name, "primary key")]
+    rules += [(name, f"reference {column}") for name, column in referring]
+
+    sums = [F.sum(F.col("refs")[i]).alias(f"r{i}") for i in range(width)]
+    keys = union_all(marked).groupBy("entity", "key").agg(F.sum("own").alias("own"), *sums)
+    parts = ["case when locate('|', entity) > 0 then named_struct('table_name', substring_index(entity, '|', 1),"
+             " 'rule', substring(entity, locate('|', entity) + 1), 'violations', own) end"]
+    for name in sorted(wanted):
+        parts.append(
+            f"case when entity = '{name}' and own > 1 then"
+            f" named_struct('table_name', '{name}', 'rule', 'primary key', 'violations', own - 1) end"
+        )
+    for (name, column), (parent, place) in referring.items():
+        parts.append(
+            f"case when entity = '{parent}' and own = 0 and r{place} > 0 then"
+            f" named_struct('table_name', '{name}', 'rule', 'reference {column}', 'violations', r{place}) end"
+        )
+    found = keys.selectExpr(f"inline(array_compact(array({', '.join(parts)})))")
+    listed = ", ".join(f"('{name}', '{rule}', 0L)" for name, rule in rules)
+    none = found.sparkSession.sql(f"select * from values {listed} as (table_name, rule, violations)")
+    return found.unionByName(none).groupBy("table_name", "rule").agg(F.sum("violations").alias("violations"))
 
 
 def key_changes(old: DataFrame, new: DataFrame, spec: TableSpec) -> DataFrame:

@@ -40,6 +40,11 @@ def dash_monthly(t: Tables) -> DataFrame:
     return reports.monthly_evolution(t)
 
 
+def dash_monthly_times(t: Tables) -> DataFrame:
+    """The monthly list with the month as a moment, as a time axis takes it; months that are not known come last."""
+    return dash_monthly(t).withColumn("month", F.col("month").cast("timestamp_ntz"))
+
+
 def dash_categories(t: Tables) -> DataFrame:
     return metrics.category_performance(t).orderBy(F.col("revenue").desc_nulls_first(), F.col("category").asc_nulls_last())
 
@@ -248,31 +253,61 @@ def dash_cards(
 def dash_insights(t: Tables) -> DataFrame:
     """The five headline findings as rows (insight, subject, value).
 
-    The score gap is 0 when either the late or the on-time group has no scored order.
+    The score gap is 0 when either the late or the on-time group has no scored order. Everything but the leading category
+    comes from one pass over the order metrics: sums by person and state, rolled up to persons and to states in one
+    aggregation, then to a single row.
     """
-    gap = F.coalesce(
-        plain_avg(F.sum("on_time_score"), F.sum("on_time_scored")) - plain_avg(F.sum("late_score"), F.sum("late_scored")),
-        F.lit(0.0),
+    sums = ("active_orders", "sold_value", "delivered", "late", "late_score", "late_scored", "on_time_score", "on_time_scored")
+    facts = reports.person_facts(t, F.lit(True), "customer_state").withColumnRenamed("chosen_value", "sold_value")
+    rolled = facts.groupingSets(
+        [["customer_unique_id"], ["customer_state"]], "customer_unique_id", "customer_state"
+    ).agg(F.grouping("customer_state").alias("person"), *[F.sum(c).alias(c) for c in sums])
+
+    person = F.col("person") == 1
+
+    def total(column: str) -> Column:
+        return F.sum(F.when(person, F.col(column)))
+
+    leading = F.struct(
+        (-F.col("sold_value")).alias("less"), F.col("customer_state").isNull().alias("unknown"), F.col("customer_state").alias("state")
     )
-    shares = reports.person_facts(t, F.lit(False)).agg(
-        _retention_pct().alias("repeat_customer_percentage"),
-        _plain_pct(F.sum("late"), F.sum("delivered")).alias("late_delivery_percentage"),
-        gap.alias("review_difference"),
+    gap = plain_avg(total("on_time_score"), total("on_time_scored")) - plain_avg(total("late_score"), total("late_scored"))
+    active = F.col("active_orders")
+    figures = rolled.agg(
+        F.min(F.when(~person & (active > 0), leading)).alias("state"),
+        _plain_pct(F.count_if(person & (active > 1)), F.count_if(person & (active > 0))).alias("repeat"),
+        _plain_pct(total("late"), total("delivered")).alias("late"),
+        F.coalesce(gap, F.lit(0.0)).alias("gap"),
     )
-    nobody = F.lit(None).cast("string").alias("subject")
-    shares = shares.select(
+
+    def finding(insight: str, subject: Column, value: Column) -> Column:
+        return F.struct(F.lit(insight).alias("insight"), subject.alias("subject"), value.cast("double").alias("value"))
+
+    nobody = F.lit(None).cast("string")
+    figures = figures.select(
         F.inline(
-            F.array(
-                *[F.struct(F.lit(c).alias("insight"), nobody, F.col(c).alias("value")) for c in shares.columns]
+            F.array_compact(
+                F.array(
+                    F.when(F.col("state").isNotNull(), finding("top_state", F.col("state.state"), -F.col("state.less"))),
+                    finding("repeat_customer_percentage", nobody, F.col("repeat")),
+                    finding("late_delivery_percentage", nobody, F.col("late")),
+                    finding("review_difference", nobody, F.col("gap")),
+                )
             )
         )
     )
+    leader = reports.top(metrics.category_performance(t), "revenue", "category", 1).select(
+        F.lit("top_category").alias("insight"), F.col("category").alias("subject"), F.col("revenue").cast("double").alias("value")
+    )
+    return leader.unionByName(figures)
 
-    def leader(df: DataFrame, insight: str, key: str, measure: str) -> DataFrame:
-        return reports.top(df, measure, key, 1).select(
-            F.lit(insight).alias("insight"), F.col(key).alias("subject"), F.col(measure).cast("double").alias("value")
-        )
 
-    categories = leader(metrics.category_performance(t), "top_category", "category", "revenue")
-    states = leader(_state_list(t), "top_state", "customer_state", "gmv")
-    return categories.unionByName(states).unionByName(shares)
+def dash_insight_texts(t: Tables) -> DataFrame:
+    """The findings as they are shown: (insight, subject, text), money in reais, shares in percent, the gap in points."""
+    value, insight = F.col("value"), F.col("insight")
+    text = (
+        F.when(insight.startswith("top_"), brl_text(value))
+        .when(insight.endswith("_percentage"), F.concat(fixed_text(value), F.lit("%")))
+        .otherwise(fixed_text(value))
+    )
+    return dash_insights(t).select("insight", "subject", text.alias("text"))

@@ -156,8 +156,8 @@ def _sum_if(condition: Column, value: Column) -> Column:
     return F.sum(F.when(condition, value))
 
 
-def person_facts(t: Tables, chosen: Column) -> DataFrame:
-    """One row per person with the sums that the KPI, delivery and retention figures need.
+def person_facts(t: Tables, chosen: Column, *also: str) -> DataFrame:
+    """One row per person (and ``also`` more columns) with the sums that the KPI, delivery and retention figures need.
 
     All three figures come from a single pass over the order metrics: distinct customers turn into
     a count of persons, so nothing has to be scanned twice or joined back together.
@@ -172,7 +172,7 @@ def person_facts(t: Tables, chosen: Column) -> DataFrame:
             "decimal(20,0)"
         ),
     )
-    return orders.groupBy("customer_unique_id").agg(
+    return orders.groupBy("customer_unique_id", *also).agg(
         F.count_if(active).alias("active_orders"),
         F.count_if(chosen).alias("chosen_orders"),
         _sum_if(chosen, F.col("product_value")).alias("chosen_value"),

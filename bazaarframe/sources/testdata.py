@@ -10,7 +10,8 @@ would need a whole order in one task, and no metric reads the number's value.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from bazaarframe.operators.joins import unique_join
 from bazaarframe.schema import TABLES
@@ -198,6 +199,27 @@ def load_model(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(**{name: getattr(source, name) for name in TABLES})
 
 
+def load_loadable_model(spark: SparkSession, sf_dir: str) -> Tables:
+    """The clean model as a load accepts it: no broken reference, and items of one order with numbers of their own.
+
+    Orders without customer go, with all that refers to them; an item number that an order repeats is raised by a thousand
+    each time.
+    """
+    t = load_model(spark, sf_dir)
+    orders = t.orders.join(t.customers.select("customer_id"), "customer_id", "left_semi").select(t.orders.columns)
+    known = orders.select("order_id")
+    again = Window.partitionBy("order_id", "order_item_id").orderBy("product_id", "seller_id", "price", "freight_value")
+    items = t.order_items.join(known, "order_id", "left_semi").withColumn(
+        "order_item_id", (F.col("order_item_id") + 1000 * (F.row_number().over(again) - 1)).cast("int")
+    )
+    return t.with_tables(
+        orders=orders,
+        order_items=items.select(t.order_items.columns),
+        order_payments=t.order_payments.join(known, "order_id", "left_semi").select(t.order_payments.columns),
+        order_reviews=t.order_reviews.join(known, "order_id", "left_semi").select(t.order_reviews.columns),
+    )
+
+
 def load_dirty_model(spark: SparkSession, sf_dir: str) -> Tables:
     """The model with broken references, bad values, missing keys and untidy text."""
     source = _Source(spark, sf_dir)

@@ -6,7 +6,7 @@ rounding uses whole numbers because DuckDB's ``avg`` works on doubles.
 
 from __future__ import annotations
 
-from gate.queries import ALL_OF_1997, EARLY_1996, MID_MONTHS, NOTHING
+from gate.queries import ALL_OF_1997, EARLY_1996, MID_MONTHS, NOTHING, WHOLE_MONTHS
 
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
 _NO_TIME = "cast(null as timestamp)"
@@ -93,6 +93,11 @@ MODEL = {
                          else 1 + o_orderkey % 5 end as int) as review_score,
                {_NO_TIME} as review_creation_date, {_NO_TIME} as review_answer_timestamp
         from orders where o_orderkey % 8 <> 0""",
+    # The tables as a load accepts them
+    "l_orders": "select * from m_orders where customer_id in (select customer_id from m_customers)",
+    "l_items": "select * from m_items where order_id in (select order_id from l_orders)",
+    "l_payments": "select * from m_payments where order_id in (select order_id from l_orders)",
+    "l_reviews": "select * from m_reviews where order_id in (select order_id from l_orders)",
     # Order grain, with the mean score as a whole number of 1e-16
     "item_sums": """
         select order_id, count(*) as n, sum(price) as price, sum(freight_value) as freight from m_items group by all""",
@@ -133,6 +138,10 @@ _STATE_MONTHS = """
     from sales where {where} group by 1, 2"""
 
 _DEPENDS = {
+    "l_orders": ["m_orders", "m_customers"],
+    "l_items": ["m_items", "l_orders"],
+    "l_payments": ["m_payments", "l_orders"],
+    "l_reviews": ["m_reviews", "l_orders"],
     "d_customers": ["m_customers"],
     "item_sums": ["m_items"],
     "paid": ["m_payments"],
@@ -426,7 +435,97 @@ def _report() -> str:
     return _with("sales delivered people sold_items", " union all ".join(parts))
 
 
+_LOADABLE = _CLEAN | {"orders": "l_orders", "order_items": "l_items", "order_payments": "l_payments", "order_reviews": "l_reviews"}
+
+
+def _planted(table: str, column: str, value: str, cte: str, condition: str) -> str:
+    return (
+        f"select '{table}' as table_name, '{column}' as column_name, '{table}.csv' as file, '{value}' as value, count(*) as rows"
+        f" from {cte} where cast(substr(order_id, 2) as bigint) {condition} having count(*) > 0"
+    )
+
+
+def _load_oracles() -> dict[str, str]:
+    number = "cast(substr(customer_id, 2) as bigint)"
+    return {
+        "load_row_counts": _per_table(_LOADABLE, lambda n, cte: f"select '{n}' as table_name, count(*) as row_count from {cte}"),
+        "load_source_counts": _per_table(
+            _LOADABLE, lambda n, cte: f"select '{n}' as table_name, count(*) as source_rows, count(*) as stored_rows from {cte}"
+        ),
+        "load_customers": _with("m_customers", "select customer_id, customer_unique_id, customer_city, customer_state from m_customers"),
+        "load_orders": _with(
+            "l_orders",
+            """select order_id, customer_id, order_status, order_purchase_timestamp, order_delivered_customer_date,
+                order_estimated_delivery_date from l_orders""",
+        ),
+        "load_items": _with(
+            "l_items",
+            f"select order_id, product_id, seller_id, {_dbl('price')} as price, {_dbl('freight_value')} as freight_value from l_items",
+        ),
+        "load_refusals": f"select * from ({_violations(_DIRTY)}) where violations > 0",
+        "load_rejects": _with(
+            "m_items m_orders",
+            " union all ".join(
+                [
+                    _planted("order_items", "order_item_id", "one", "m_items", "% 89 = 4"),
+                    _planted("order_items", "price", "12,5O", "m_items", "% 97 = 3"),
+                    _planted("orders", "order_purchase_timestamp", "2020-02-30 10:00:00", "m_orders", "% 83 = 7"),
+                ]
+            ),
+        ),
+        "load_reload_changes": _with(
+            "m_customers",
+            f"""select customer_id, 'changed' as change from m_customers where {number} % 7 = 3
+                union all select 'n' || customer_id, 'added' from m_customers where {number} % 11 = 2""",
+        ),
+        "load_would_orphan": _with(
+            "l_orders",
+            f"""select 'orders' as table_name, 'customer_id' as column_name, customer_id as key, count(*) as rows
+                from l_orders where {number} % 37 = 5 group by customer_id""",
+        ),
+        "load_appended": _with(
+            "m_sellers", "select seller_state, 2 * count(*) as rows, count(distinct seller_id) as sellers from m_sellers group by 1"
+        ),
+    }
+
+
+def _insight_texts(numbers: str) -> str:
+    return f"""select insight, subject, case when insight like 'top%' then {_brl('value')}
+        when insight like '%percentage' then printf('%.2f%%', value) else printf('%.2f', value) end as text from ({numbers})"""
+
+
 def all_oracles() -> dict[str, str]:
+    sql = _query_oracles()
+    same = {
+        "stored_dash_kpis": "dash_kpis",
+        "stored_review_by_lateness": "review_by_lateness",
+        "cells_monthly_sales": "monthly_sales",
+        "cells_states": "dash_states",
+        "cells_executive_kpis": "executive_kpis",
+        "cells_kpis_all_states": "dash_kpis_all_states",
+        "load_order_metrics": "order_metrics",
+    }
+    return {
+        **sql,
+        **{name: sql[other] for name, other in same.items()},
+        **_load_oracles(),
+        "cells_kpis_state": _kpis(_chosen(WHOLE_MONTHS)),
+        "dash_insight_texts": _insight_texts(sql["dash_insights"]),
+        "dash_monthly_times": _with("sales", _MONTHLY.replace("as date) as month", "as timestamp) as month")),
+        "sql_function_kpis": _with(
+            "sales",
+            f"""select count(*) as total_orders, count(distinct customer_unique_id) as unique_customers,
+                {_dbl('ifnull(sum(product_value), 0)')} as gmv from sales where {_chosen(MID_MONTHS)}""",
+        ),
+        "sql_function_late_share": _with(
+            "delivered",
+            f"""select customer_state, count(*) as delivered, {_LATE} as late, 100.0 * {_dbl(_LATE)} / count(*) as late_percentage
+                from delivered group by 1 having count(*) >= 10""",
+        ),
+    }
+
+
+def _query_oracles() -> dict[str, str]:
     top_categories = _with("sold_items", _top(_CATEGORIES, "revenue", "category"))
     monthly = _with("sales", _MONTHLY)
     states = _with("sales", _STATES)

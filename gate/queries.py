@@ -14,11 +14,12 @@ from bazaarframe.operators import checks, clean, profile
 from bazaarframe.plans import dashboards as d
 from bazaarframe.plans import metrics as m
 from bazaarframe.plans import reports as r
-from bazaarframe.plans.sql_surface import register_views, run_query
+from bazaarframe.plans.sql_surface import register_functions, register_views, run_query
 from bazaarframe.session import size_for, tune
 from bazaarframe.sources.snapshot import row_counts
 from bazaarframe.sources.testdata import load_dirty_model, load_model
 from bazaarframe.tables import Tables
+from gate import load_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 MID_MONTHS = (date(1996, 1, 15), date(1996, 12, 31), "AX")
 EARLY_1996 = (date(1996, 1, 15), date(1996, 3, 10), None)
 ALL_OF_1997 = (date(1997, 1, 1), date(1997, 12, 31), "All states")
+WHOLE_MONTHS = (date(1996, 2, 1), date(1996, 11, 30), "AX")
 NOTHING = (date(1970, 1, 1), date(1970, 1, 31), "AX")
 
 # Orders, items and payments by state and month; the first over one state, the second over all.
@@ -38,6 +40,7 @@ SQL_STATE_MONTHS = """
       {state}
     group by 1, 2
 """
+SQL_FUNCTION_KPIS = "select * from kpis(:first, :last, :state)"
 SQL_LATE_SHARE = """
     select customer_state, count(*) as delivered, count(*) filter (where delivered_late) as late
     from vw_delivery_performance group by customer_state
@@ -64,6 +67,14 @@ def _dirty(build: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: plain(build(load_dirty_model(size_for(tune(spark), sf_dir), sf_dir)))
 
 
+def _plain_query(query: Query) -> Query:
+    return lambda spark, sf_dir: plain(query(spark, sf_dir))
+
+
+def _loaded(build: Callable[[Tables], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain(build(load_queries.opened(spark, sf_dir)))
+
+
 def _all_profiles(build: Callable[[DataFrame, str], DataFrame]) -> Callable[[Tables], DataFrame]:
     return lambda t: checks.union_all([build(df, name) for name, df in t.as_dict().items()])
 
@@ -71,6 +82,7 @@ def _all_profiles(build: Callable[[DataFrame, str], DataFrame]) -> Callable[[Tab
 def _in_views(text: str, params: dict | None = None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         register_views(size_for(tune(spark), sf_dir), load_model(spark, sf_dir), base_tables=False)
+        register_functions(spark)
         return plain(run_query(spark, text, params))
 
     return query
@@ -163,12 +175,22 @@ def all_queries() -> dict[str, Query]:
         "dash_cards_default": _clean(d.dash_cards),
         "dash_insights": _clean(lambda t: _rounded(d.dash_insights(t), "value")),
         "order_texts": _clean(_order_texts),
-        "stored_dash_kpis": _clean(
-            lambda t: _rounded(d.dash_kpis(m.store_order_metrics(t), *mid), "average_review_score")
-        ),
-        "stored_review_by_lateness": _clean(lambda t: r.review_by_lateness(m.store_order_metrics(t))),
+        "dash_insight_texts": _clean(d.dash_insight_texts),
+        "dash_monthly_times": _clean(d.dash_monthly_times),
+        # A snapshot with derived tables
+        "stored_dash_kpis": _loaded(lambda t: _rounded(d.dash_kpis(t, *mid), "average_review_score")),
+        "stored_review_by_lateness": _loaded(r.review_by_lateness),
+        "cells_monthly_sales": _loaded(m.monthly_sales),
+        "cells_states": _loaded(d.dash_states),
+        "cells_executive_kpis": _loaded(r.executive_kpis),
+        "cells_kpis_all_states": _loaded(lambda t: _rounded(d.dash_kpis(t, *year), "average_review_score")),
+        "cells_kpis_state": _loaded(lambda t: _rounded(d.dash_kpis(t, *WHOLE_MONTHS), "average_review_score")),
+        # The load
+        **{name: _plain_query(query) for name, query in load_queries.QUERIES.items()},
         # SQL surface
         "sql_kpis": _in_views(SQL_STATE_MONTHS.format(state="and customer_state = :state"), _parameters(mid)),
         "sql_kpis_all_states": _in_views(SQL_STATE_MONTHS.format(state=""), _parameters(year)),
         "sql_late_share": _in_views(SQL_LATE_SHARE),
+        "sql_function_kpis": _in_views(SQL_FUNCTION_KPIS, {"first": mid[0], "last": mid[1], "state": mid[2]}),
+        "sql_function_late_share": _in_views("select * from late_share(10)"),
     }
