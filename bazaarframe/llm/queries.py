@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -24,6 +25,8 @@ from bazaarframe.llm import (
     token_counts,
 )
 
+from bazaarframe.llm.store import scratch
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
@@ -49,7 +52,9 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    """Each table has a cache of its own, so that its first count encodes all its distinct texts, whatever ran before."""
+    cache = f"{scratch(spark)}/token-cache-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), cache)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
