@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaarframe.session import new_folder
+
 
 def profile_shape(df: DataFrame, name: str) -> DataFrame:
     """One row (table_name, row_count, column_count)."""
@@ -33,9 +38,40 @@ def profile_nulls(df: DataFrame, name: str) -> DataFrame:
     return profile_columns(df, name).where("nulls > 0").select("table_name", "column_name", "nulls")
 
 
+def row_hashes(columns: list[Column]) -> list[Column]:
+    """Two hashes of 64 bits over all columns of a row, NULLs marked: without that a NULL would leave no trace."""
+    marked = [part for c in columns for part in (c.isNull(), c)]
+    return [F.xxhash64(F.lit(seed), *marked).alias(f"hash_{seed}") for seed in (1, 2)]
+
+
+def all_duplicates(
+    frames: dict[str, DataFrame], hashes: Callable[[list[Column]], list[Column]] = row_hashes
+) -> DataFrame:
+    """Per table the rows (table_name, duplicated_rows) that repeat an earlier row in full; NULL equals NULL.
+
+    Rows are grouped by hashes first, all tables in one job. Only rows whose hashes come again are then grouped in full, so wide
+    rows that are alone are never shuffled, and rows that merely share hashes are told apart. The repeated hashes are
+    written to the shared folder once.
+    """
+    hashed = {}
+    for name, df in frames.items():
+        plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+        columns = [F.col(c) for c in plain.columns]
+        hashed[name] = plain.select(*columns, F.struct(*hashes(columns)).alias("hashes"))
+    spark = df.sparkSession
+    keys = reduce(DataFrame.union, [h.select(F.lit(name).alias("name"), "hashes") for name, h in hashed.items()])
+    again = keys.groupBy("name", "hashes").agg(F.count("*").alias("n")).where("n > 1").select("name", "hashes")
+    path = new_folder(spark, "repeated_hashes")
+    again.write.parquet(path)
+    again = spark.read.schema(again.schema).parquet(path)
+    found = []
+    for name, rows in hashed.items():
+        met = rows.join(again.where(F.col("name") == name).select("hashes"), "hashes", "left_semi")
+        copies = met.groupBy(*[c for c in rows.columns if c != "hashes"]).agg(F.count("*").alias("n"))
+        found.append(copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("d")).select(F.lit(name).alias("table_name"), F.col("d").alias("duplicated_rows")))
+    return reduce(DataFrame.union, found)
+
+
 def profile_duplicates(df: DataFrame, name: str) -> DataFrame:
-    """Rows that repeat an earlier row in full; NULL equals NULL."""
-    copies = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("__copies"))
-    return copies.agg(F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0)).alias("duplicated_rows")).select(
-        F.lit(name).alias("table_name"), "duplicated_rows"
-    )
+    """Rows of one table that repeat an earlier row in full, as all_duplicates counts them."""
+    return all_duplicates({name: df})

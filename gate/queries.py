@@ -146,7 +146,7 @@ def all_queries() -> dict[str, Query]:
         "clean_constraint_violations": _clean(checks.constraint_violations),
         "profile_shape": _dirty(_all_profiles(profile.profile_shape)),
         "profile_nulls": _dirty(_all_profiles(profile.profile_nulls)),
-        "profile_duplicates": _dirty(_all_profiles(profile.profile_duplicates)),
+        "profile_duplicates": _dirty(lambda t: profile.all_duplicates(t.as_dict())),
         "row_counts": _clean(row_counts),
         "clean_customers": _dirty(lambda t: clean.clean_text_columns(t.customers)),
         # Dashboard
