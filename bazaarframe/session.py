@@ -34,19 +34,27 @@ MAX_SHUFFLE_PARTITIONS = 20_000
 MAX_SCAN_TASKS = 200_000
 
 
-def partitions_for(input_bytes: int) -> tuple[int, int]:
-    """(initial shuffle partitions, bytes per scan task) for an input of the given size."""
-    shuffle = min(max(input_bytes // SHUFFLE_BYTES, 1), MAX_SHUFFLE_PARTITIONS)
+def partitions_for(
+    input_bytes: int, shuffle_bytes: int = SHUFFLE_BYTES, most_partitions: int = MAX_SHUFFLE_PARTITIONS
+) -> tuple[int, int]:
+    """(initial shuffle partitions, bytes per scan task) for an input of the given size.
+
+    A partition stands for ``shuffle_bytes`` of input until there are ``most_partitions``; beyond, partitions grow: at
+    100 TB the default of 20,000 makes them 5 GB of input each, so raise it as far as the driver can keep track of.
+    """
+    shuffle = min(max(input_bytes // shuffle_bytes, 1), most_partitions)
     return shuffle, max(128 << 20, input_bytes // MAX_SCAN_TASKS)
 
 
-def size_for(spark: SparkSession, folder: str) -> SparkSession:
+def size_for(
+    spark: SparkSession, folder: str, shuffle_bytes: int = SHUFFLE_BYTES, most_partitions: int = MAX_SHUFFLE_PARTITIONS
+) -> SparkSession:
     """Size shuffles and scan tasks for the data under a folder, never below the session's setting.
 
     Adaptive execution can merge small shuffle partitions but not divide evenly large ones, so the
-    initial number has to fit the input.
+    initial number has to fit the input; see partitions_for.
     """
-    shuffle, scan_bytes = partitions_for(folder_bytes(spark, folder))
+    shuffle, scan_bytes = partitions_for(folder_bytes(spark, folder), shuffle_bytes, most_partitions)
     first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     now = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(first, None) or 0))
     require_exact_sizes(spark, max(shuffle, now))
