@@ -285,7 +285,7 @@ def train(examples: list[tuple[list[Segment], set[tuple[int, int, int]]]]) -> di
         places.append(_places(found))
         for s in found:
             ids = [number[f] for f in s.features]
-            rows += [cuts[-1] + len(gold) - cuts[-1]] * len(ids)
+            rows += [len(gold)] * len(ids)
             columns += ids
             gold.append((s.kind, s.start, s.end) in marked)
         cuts.append(len(gold))
