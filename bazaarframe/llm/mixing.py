@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,8 +24,6 @@ from bazaarframe.llm.words import WORD
 #: Blocks in the mix; a block has at least one word.
 BLOCKS = 1_000_000
 SHARDS = 16
-#: Rows whose places in a source's stream are found together.
-BUCKET_ROWS = 20_000
 
 
 def next_prime(n: int) -> int:
@@ -122,6 +121,23 @@ def apportion(targets: DataFrame, total: int, house: int, shards: int) -> DataFr
     return seats.select("src", "shard", (F.col("seats") - before).alias("quota"))
 
 
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the words of the source up to each row, in the sorted rows of a partition."""
+    source, words = None, 0
+    for batch in batches:
+        src, size = batch.column("src"), batch.column("size").to_numpy()
+        if not len(batch):
+            continue
+        starts = np.flatnonzero(np.append(True, pc.not_equal(src[1:], src[:-1]).to_numpy(zero_copy_only=False)))
+        total = np.cumsum(size)
+        before = total[starts] - size[starts]
+        if src[0].as_py() == source:
+            before[0] -= words
+        so_far = total - np.repeat(before, np.diff(np.append(starts, len(src))))
+        source, words = src[-1].as_py(), int(so_far[-1])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(so_far, pa.int64())], [*batch.schema.names, "so_far"])
+
+
 def _streams(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -139,7 +155,9 @@ def _streams(
     A row's words are start..stop of its source's stream. ends are the words of the source that the mix holds up to the end of
     each shard: whole blocks, but never beyond ``most`` times the source's words.
     """
-    sizes = stored(word_counts(docs, id_col, text_col, source_col, seed, *keep), "sizes")
+    # Rows that repeat one another differ by a number, so that many of them need not meet in one task.
+    numbered = word_counts(docs, id_col, text_col, source_col, seed, *keep).withColumn("tie", F.monotonically_increasing_id())
+    sizes = stored(numbered, "sizes")
     targets, total = source_targets(sizes, weights, most)
     targets = stored(targets, "targets")
     block = max(1, total // blocks)
@@ -160,14 +178,15 @@ def _streams(
         f"transform(so_far, q -> least(q * {block}L, cast(floor(source_size * {float(most)!r}D) as long))) as ends",
     ).withColumn("shift", F.expr(f"pmod(xxhash64({seed}, src), blocks)"))
 
-    rows = sizes.count()
-    bits = max(1, math.ceil(math.log2(max(2, rows / BUCKET_ROWS))))
-    placed = sizes.withColumn("bucket", F.shiftrightunsigned("place", 64 - bits))
-    sums = placed.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
-    before = F.sum("words").over(Window.partitionBy("src").orderBy("bucket")) - F.col("words")
-    sums = sums.select("src", "bucket", before.alias("before")).join(plan, "src")
-    stream = Window.partitionBy("src", "bucket").orderBy("place", "id", "size", *keep).rowsBetween(Window.unboundedPreceding, 0)
-    spread = placed.join(sums, ["src", "bucket"]).withColumn("stop", F.col("before") + F.sum("size").over(stream))
+    order = ["src", "place", "id", "size", "tie"]
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sizes.schema)
+    dealt = sizes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    stream = stored(dealt.mapInArrow(_running, f"{fields}, part int, so_far long"), "stream")
+    # A row per partition and source.
+    sums = stream.groupBy("src", "part").agg(F.sum("size").alias("words"))
+    before = F.sum("words").over(Window.partitionBy("src").orderBy("part")) - F.col("words")
+    sums = stored(sums.select("src", "part", before.alias("before")).join(plan, "src"), "sums")
+    spread = stream.join(sums, ["src", "part"]).withColumn("stop", F.col("before") + F.col("so_far"))
     return spread.withColumn("start", F.col("stop") - F.col("size")), block, prime
 
 
