@@ -141,3 +141,22 @@ def test_pipeline_stages_with_clashing_names(spark, crowded, tmp_path):
         assert out.columns == docs.columns
         assert all(r["score"] == f"score {r['doc_id']}" for r in out.collect())
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 1
+
+
+def test_many_repeated_rows_are_mixed(spark):
+    rows = [(7, "one two three", "en", "a")] * 3000 + [(i, "four five", "en", "a") for i in range(10, 40)] + [(None, "six", None, None)] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(6)
+    found = mixing.mix(docs).collect()
+    assert len(found) == len(rows)
+    taken = {}
+    for r in found:
+        assert r["taken"] <= 3 * r["size"]
+        key = (r["source_size"], r["target"], r["quota"])
+        taken[key] = taken.get(key, 0) + r["taken"]
+    assert len(taken) == 2
+    for (source_size, target, _), words in taken.items():
+        assert abs(words - target) <= 1 + 0.001 * target
+    again = mixing.mix(docs.repartition(3)).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))
+    copies = mixing.mixed_documents(docs).groupBy("source").count().collect()
+    assert {r["source"] for r in copies} == {"a", None}
