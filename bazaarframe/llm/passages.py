@@ -164,30 +164,30 @@ def _rows(batch: pa.RecordBatch, held: list[tuple]) -> pa.RecordBatch:
     several = again.copy()
     several[:-1] |= again[1:]
     text, start = text[order], start[order]
-    keys = batch.column(1).take(pa.array(text)).to_numpy(zero_copy_only=False).astype(np.uint64)
+    keys = batch.column(1).take(pa.array(text)).to_numpy(zero_copy_only=False).view(np.uint64)
     own = _place_hashes(a, start, keys)
     a, b = np.where(again, own, a), np.where(again, mix(own), b)
-    # The second hash's upper half and the row's key share a number: rows are many, and hashes do not compress.
+    place = np.where(several, ~start, start).astype(np.int32).view(np.uint32).astype(np.uint64)
+    # The second hash's upper half and the place share a number: rows are many, and hashes do not compress.
     return pa.RecordBatch.from_arrays(
         [
-            batch.column(0).take(pa.array(text)),
-            pa.array(np.where(several, ~start, start).astype(np.int32)),
+            batch.column(1).take(pa.array(text)),
             pa.array(a.view(np.int64)),
-            pa.array((b & np.uint64(0xFFFFFFFF00000000) | keys).view(np.int64)),
+            pa.array((b & np.uint64(0xFFFFFFFF00000000) | place).view(np.int64)),
         ],
-        ["id", "start", "w1", "w2_key"],
+        ["row_key", "w1", "w2_place"],
     )
 
 
 def _own_starts(batch: pa.RecordBatch, row: int, size: int) -> np.ndarray:
-    """The starts that came to a row's key and are its own: another row of the same id may have the same 32 bits."""
+    """The starts that came to a row's key and are its own: another row may have the same key."""
     (piece,) = pieces(batch.column(1).slice(row, 1), lower=False)
     first = piece.windows(size, WINDOW_SEEDS[0])
     found = batch.column(2)[row].values.to_numpy()
-    found = found[found >> 32 < len(first)]
-    at, half = found >> 32, (found & 0xFFFFFFFF).astype(np.uint64)
-    key = np.array([batch.column(3)[row].as_py()], np.int64).astype(np.uint64)
-    own = (first[at] >> np.uint64(32) == half) | (_place_hashes(first[at], at, key) >> np.uint64(32) == half)
+    found = found[found >> 16 < len(first)]
+    at, check = found >> 16, (found & 0xFFFF).astype(np.uint64)
+    key = np.array([batch.column(3)[row].as_py()], np.int64).view(np.uint64)
+    own = (first[at] >> np.uint64(48) == check) | (_place_hashes(first[at], at, key) >> np.uint64(48) == check)
     return np.unique(at[own])
 
 
@@ -234,9 +234,9 @@ def repeated_passages(
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    # 32 bits tell rows of one id apart; where they do not, each row takes up only starts of windows it has.
-    key = F.xxhash64(f"`{id_col}`", text).bitwiseAND(F.lit(0xFFFFFFFF))
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), key.alias("text_key"), text.alias("text"))
+    # A row is known by 64 bits of its id and text. Should two rows share them, each takes up only starts of windows it has.
+    key = F.xxhash64(f"`{id_col}`", text)
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), key.alias("row_key"), text.alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     partial = rows.select("text").mapInArrow(_sketch(size), "slice int, once binary, more binary")
@@ -246,21 +246,22 @@ def repeated_passages(
         sketch[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
     shared = spark.sparkContext.broadcast(sketch.tobytes())
 
-    found = rows.mapInArrow(_windows(size, shared), f"id {kind}, start int, w1 long, w2_key long")
-    # A window counts twice if it was met several times before it came here (a negative start).
-    met = F.sum(F.when(F.col("start") < 0, 2).otherwise(1)).over(Window.partitionBy("w1", "w2"))
+    found = rows.mapInArrow(_windows(size, shared), "row_key long, w1 long, w2_place long")
     # Dealt out by the first hash alone, which serves the groups as well, so that no further column is shuffled.
-    dealt = found.repartition("w1").withColumn("w2", F.shiftright("w2_key", 32))
+    dealt = found.repartition("w1").withColumns(
+        {"w2": F.shiftright("w2_place", 32), "place": F.col("w2_place").bitwiseAND(F.lit(0xFFFFFFFF))}
+    )
+    # A window counts twice if it was met several times before it came here: its place is below zero, here above 2**31.
+    several = F.col("place") >= 1 << 31
+    met = F.sum(F.when(several, 2).otherwise(1)).over(Window.partitionBy("w1", "w2"))
+    start = F.when(several, (1 << 32) - 1 - F.col("place")).otherwise(F.col("place"))
+    # A start and 16 bits of its window's hash share a number.
+    checked = F.shiftleft(start, 16).bitwiseOR(F.shiftrightunsigned("w1", 48))
     repeated = dealt.withColumn("met", met).where("met > 1")
-    repeated = repeated.withColumn("text_key", F.col("w2_key").bitwiseAND(F.lit(0xFFFFFFFF)))
-    start = F.when(F.col("start") < 0, -F.col("start") - 1).otherwise(F.col("start"))
-    # A start and the upper half of its window's hash share a number.
-    found = F.shiftleft(start.cast("long"), 32).bitwiseOR(F.shiftrightunsigned("w1", 32))
-    starts = repeated.groupBy("id", "text_key").agg(F.collect_set(found).alias("starts"))
-    s = starts.select(F.col("id").alias("s_id"), F.col("text_key").alias("s_key"), "starts")
-    whole = rows.join(s, rows["id"].eqNullSafe(F.col("s_id")) & (rows["text_key"] == F.col("s_key")), "left")
+    starts = repeated.groupBy("row_key").agg(F.collect_set(checked).alias("starts"))
+    whole = rows.join(starts, "row_key", "left")
     extra = ", kept_text string" if with_text else ""
-    out = whole.select("id", "text", "starts", "text_key").mapInArrow(
+    out = whole.select("id", "text", "starts", "row_key").mapInArrow(
         _removed(size, with_text), f"id {kind}, n_words long, n_removed long, kept_sha256 string{extra}"
     )
     return out.withColumnRenamed("id", id_col)
