@@ -1,23 +1,27 @@
 """Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
 
-log P(word | words before) = log P(class of the word | classes before) + log P(word | class). The most frequent words are
-classes of their own, the end of a text is one, all other words fall into classes by their last two bytes. The first factor
-is a softmax over the classes whose features are the classes one, two and three words back (skips) and their
-pairs, hashed into rows of a weight matrix; the second is the maximum-entropy solution for word indicators, smoothed counts.
-
-Everything is counted over all training texts. The gradient of the first factor depends on the counts of (context, class)
-only, so these are summed up once, and each update adds up gradients over their partitions.
+log P(word | words before) = log P(class of the word | words before) + log P(bucket | class, words before) + log P(word | bucket).
+The most frequent words are classes of their own, the end of a text is one, all other words fall into classes by their last
+two bytes, and into buckets of their class by hash. The first two factors are softmaxes. Features of the class are the classes
+one, two and three words back (skips) and their pairs, trained on counts of (three classes, class), and hashed word
+n-grams and skips (``word_features``); those of the bucket are word n-grams and skips that go with the class.
+The third is the maximum-entropy solution for word indicators, smoothed counts.
+
+Everything is counted over all training texts. Counts of (context, class) are summed up once; word features are trained on the
+texts themselves, each of which goes into one update. Every update adds up gradients over partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaarframe.llm import word_features
 from bazaarframe.llm.store import stored
 from bazaarframe.llm.words import mix, pieces
 
@@ -51,9 +55,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def counted():
         hashes, at, n = np.unique(np.concatenate([h for h, _ in held]), return_index=True, return_counts=True)
-        classes = np.concatenate([c for _, c in held])[at]
+        cells = np.concatenate([c for _, c in held])[at] * word_features.WIDTH + word_features.bucket_of(hashes)
         return pa.RecordBatch.from_arrays(
-            [pa.array(hashes.view(np.int64)), pa.array(classes.astype(np.int32)), pa.array(n)], ["word", "class", "n"]
+            [pa.array(hashes.view(np.int64)), pa.array(cells.astype(np.int32)), pa.array(n)], ["word", "cell", "n"]
         )
 
     for batch in batches:
@@ -181,12 +185,66 @@ def train_classes(counts: DataFrame) -> np.ndarray:
     return weights
 
 
+@dataclass
+class Model:
+    """A trained model; what executors need of it has a bounded size, the counts of rare words are a table."""
+
+    total: int  # training tokens
+    distinct: int
+    words: DataFrame  # word (hash), cell (class and bucket), n
+    least: int | None  # words this frequent are in head_words, all others are joined
+    head_words: np.ndarray  # sorted hashes
+    head_counts: np.ndarray
+    singles: np.ndarray  # sorted hashes of the words that are classes of their own
+    class_weights: np.ndarray
+    cells: np.ndarray  # classes x buckets: smoothed counts of their words
+    word_weights: np.ndarray
+
+
+def _in_buckets(classes: np.ndarray, singles: np.ndarray) -> np.ndarray:
+    """Which tokens have a bucket: a single word, like the end, is all of its class."""
+    return (classes >= len(singles)) & (classes != END_CLASS)
+
+
+def _events(hashes, classes, bounds, model, rows: int) -> tuple[word_features.Events, word_features.Events]:
+    """The choices of classes, one for each token, and of buckets, one for each token that has one."""
+    singles, class_weights, log_cells = model
+    one, two = word_features.words_before(hashes, bounds, END)
+    contexts = _contexts(classes, bounds)
+
+    def class_logs(part: slice) -> np.ndarray:
+        distinct, at = np.unique(contexts[part], return_inverse=True)
+        return log_softmax(distinct, class_weights)[at]
+
+    in_buckets = _in_buckets(classes, singles)
+    given = classes[in_buckets]
+    return (
+        word_features.Events(class_logs, word_features.rows_of(one, two, rows), classes),
+        word_features.Events(
+            lambda part: log_cells[given[part]],
+            word_features.rows_of(one[in_buckets], two[in_buckets], rows, given),
+            word_features.bucket_of(hashes[in_buckets]),
+        ),
+    )
+
+
+def _training_events(column: pa.Array, model, rows: int) -> Iterator[word_features.Events]:
+    for piece in pieces(column, lower=True):
+        hashes, classes, bounds = _tokens(piece)
+        yield from _events(hashes, _classes(hashes, classes, model[0]), bounds, model, rows)
+
+
+def _log_cells(cells: np.ndarray) -> np.ndarray:
+    return np.log(cells / cells.sum(axis=1, keepdims=True)).astype(np.float32)
+
+
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head_words, head_counts, singles, weights, base_total, class_totals = shared.value
+        head_words, head_counts, singles, class_weights, cells, word_weights, base_total = shared.value
         # log10 of a smoothed count of 0 stands in for words to be joined; their true part is added later.
         head_logs = np.log10(head_counts + 0.5)
-        log_class = np.log10(class_totals)
+        known_parts = (singles, class_weights, _log_cells(cells))
+        cell_logs = np.log10(cells)
         for batch in batches:
             for piece in pieces(batch.column(0), lower=True):
                 hashes, classes, bounds = _tokens(piece)
@@ -194,11 +252,11 @@ def _score(shared):
                 at = np.minimum(np.searchsorted(head_words, hashes), max(len(head_words) - 1, 0))
                 known = head_words[at] == hashes if len(head_words) else np.zeros(len(hashes), bool)
                 logs = np.where(known, head_logs[at], 0.0) if len(head_words) else np.zeros(len(hashes))
-                contexts, context_at = np.unique(_contexts(classes, bounds), return_inverse=True)
-                chosen = log_softmax(contexts, weights)[context_at, classes] / np.log(10)
-                # A single word is all of its class.
-                alone = (classes < len(singles)) | (classes == END_CLASS)
-                word = np.where(alone, 0.0, logs - log_class[classes])
+                of_class, of_bucket = _events(hashes, classes, bounds, known_parts, len(word_weights))
+                modelled = word_features.chosen(of_class, word_weights) / np.log(10)
+                in_buckets = _in_buckets(classes, singles)
+                word = logs[in_buckets] - cell_logs[classes[in_buckets], of_bucket.outcomes]
+                modelled[in_buckets] += word_features.chosen(of_bucket, word_weights) / np.log(10) + word
                 first = bounds[:-1]
                 n = np.diff(bounds)
                 rest = ~known
@@ -211,7 +269,7 @@ def _score(shared):
                         pa.array(n, pa.int64()),
                         pa.array(np.add.reduceat(known.astype(np.int64), first)),
                         pa.array(np.add.reduceat(logs, first) - n * np.log10(base_total)),
-                        pa.array(np.add.reduceat(chosen.astype(np.float64) + word, first)),
+                        pa.array(np.add.reduceat(modelled, first)),
                         tail,
                     ],
                     [*batch.schema.names[1:], "n_tokens", "n_known", "base_score", "score", "tail"],
@@ -220,46 +278,64 @@ def _score(shared):
     return run
 
 
-def score(docs: DataFrame, train: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One row per row of ``docs``: the columns ``keep``, n_tokens, n_known, train_tokens, base_score, score.
-
-    Texts are lower-cased (A-Z), a token for each word and one for the end, so a null or empty text has one token. n_known
-    tokens occur in the texts of ``train``, train_tokens is their number there; base_score is the log10 probability by
-    smoothed counts of single words, score by the model. Words are told apart by 64-bit hashes. With nothing to
-    learn from, every word is unknown and the counts are 0. Columns of ``keep`` named like a result are left out. Repeated rows are scored each; an empty table gives an empty
-    result; other columns are ignored.
-    """
-    spark = docs.sparkSession
+def fit(train: DataFrame, text_col: str = "text") -> Model:
+    """Learns from all texts of ``train`` (null counts as empty); an empty table gives a model in which every word is unknown."""
+    context = train.sparkSession.sparkContext
     learn = train.select(F.col(f"`{text_col}`").cast("string").alias("text"))
-    words = learn.mapInArrow(_count_words, "word long, class int, n long").groupBy("word").agg(
-        F.first("class").alias("class"), F.sum("n").alias("n")
+    words = learn.mapInArrow(_count_words, "word long, cell int, n long").groupBy("word").agg(
+        F.first("cell").alias("cell"), F.sum("n").alias("n")
     )
     words = stored(words, "words")
     end = int(END)
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = words.where(F.col("word") != end).orderBy(F.desc("n"), "word").limit(SINGLES).collect()
     singles = np.sort(np.array([r["word"] for r in top], np.int64).view(np.uint64))
-    classes = words.where(~F.col("word").isin([r["word"] for r in top] + [end])).groupBy("class").agg(F.sum("n"), F.count("*"))
-    class_totals = np.full(CLASSES, 0.5)
-    for class_, n, v in classes.collect():
-        class_totals[class_] = n + 0.5 * (v + 1)
+    cells = np.full(CLASSES * word_features.WIDTH, 0.5)
+    alone = F.col("word").isin([r["word"] for r in top] + [end])
+    for cell, n, v in words.where(~alone).groupBy("cell").agg(F.sum("n"), F.count("*")).collect():
+        cells[cell] = n + 0.5 * (v + 1)
+    cells = cells.reshape(CLASSES, word_features.WIDTH)
     # The least count that is frequent enough to be sent: as many as fit, all words of a count or none.
     least, held = None, 0
     for n, v in words.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
         if held + v > HEAD:
             break
         least, held = n, held + v
-    head = words.where(F.col("n") >= (least if least is not None else total + 1)).select("word", "n").toPandas()
+    # Words that are all of their class are among them, however rare: what is joined is added to scores as a word of a bucket.
+    head = words.where((F.col("n") >= (least if least is not None else total + 1)) | alone).select("word", "n").toPandas()
     head_words = head["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(head_words)
     head_counts = head["n"].to_numpy(np.float64)[order]
 
-    counts = learn.mapInArrow(_count_contexts(spark.sparkContext.broadcast(singles)), "context int, class int, n long")
+    counts = learn.mapInArrow(_count_contexts(context.broadcast(singles)), "context int, class int, n long")
     counts = counts.groupBy("context", "class").agg(F.sum("n").alias("n")).repartition(PARTS, "context")
-    weights = train_classes(stored(counts.sortWithinPartitions("context"), "contexts"))
+    class_weights = train_classes(stored(counts.sortWithinPartitions("context"), "contexts"))
+    parts = (singles, class_weights, _log_cells(cells))
+    word_weights = word_features.train(learn, _training_events, parts, total)
+    return Model(total, distinct, words, least, head_words[order], head_counts, singles, class_weights, cells, word_weights)
 
-    model = (head_words[order], head_counts, singles, weights, total + 0.5 * (distinct + 1), class_totals)
-    shared = spark.sparkContext.broadcast(model)
+
+def score(docs: DataFrame, train: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per row of ``docs``: the columns ``keep``, n_tokens, n_known, train_tokens, base_score, score.
+
+    Texts are lower-cased (A-Z), a token for each word and one for the end, so a null or empty text has one token. n_known
+    tokens occur in the texts of ``train``, train_tokens is their number there; base_score is the log10 probability by
+    smoothed counts of single words, score by the model. Words are told apart by 64-bit hashes. With nothing to
+    learn from, every word is unknown and the counts are 0. Columns of ``keep`` named like a result are left out. Repeated rows are scored each; an empty table gives an empty
+    result; other columns are ignored.
+    """
+    model = fit(train, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (
+            model.head_words,
+            model.head_counts,
+            model.singles,
+            model.class_weights,
+            model.cells,
+            model.word_weights,
+            model.total + 0.5 * (model.distinct + 1),
+        )
+    )
     results = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     kept = [c for c in keep if c.lower() not in results]
     rows = docs.select(F.col(f"`{text_col}`").cast("string"), *[F.col(f"`{c}`") for c in kept])
@@ -269,7 +345,7 @@ def score(docs: DataFrame, train: DataFrame, text_col: str = "text", keep: tuple
         _score(shared), f"{schema}n_tokens long, n_known long, base_score double, score double, tail array<long>"
     )
     scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = words.where(F.col("n") < least) if least is not None else words
+    rare = model.words if model.least is None else model.words.where(F.col("n") < model.least)
     tail = scored.select("row", F.explode("tail").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times"))
     found = tail.join(rare.select("word", "n"), "word", "left")
     n = F.coalesce("n", F.lit(0))
@@ -282,7 +358,7 @@ def score(docs: DataFrame, train: DataFrame, text_col: str = "text", keep: tuple
         *rows.columns[1:],
         "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
+        F.lit(model.total).cast("long").alias("train_tokens"),
         (F.col("base_score") + more).alias("base_score"),
         (F.col("score") + more).alias("score"),
     ).toDF(*kept, *results)
