@@ -208,26 +208,36 @@ def _in_buckets(classes: np.ndarray, singles: np.ndarray) -> np.ndarray:
 
 def _events(hashes, classes, bounds, model, rows: int) -> tuple[word_features.Events, word_features.Events]:
     """The choices of classes, one for each token, and of buckets, one for each token that has one."""
-    singles, class_weights, log_cells = model
-    one, two = word_features.words_before(hashes, bounds, END)
+    singles, class_tables, log_cells = model
+    before = word_features.words_before(hashes, bounds, END)
     contexts = _contexts(classes, bounds)
-
-    def class_logs(part: slice) -> np.ndarray:
-        distinct, at = np.unique(contexts[part], return_inverse=True)
-        return log_softmax(distinct, class_weights)[at]
-
+    one, two, three = contexts // CLASSES**2, contexts // CLASSES % CLASSES, contexts % CLASSES
+    pairs = (one * CLASSES + two, one * CLASSES + three, two * CLASSES + three)
     in_buckets = _in_buckets(classes, singles)
     given = classes[in_buckets]
     return (
-        word_features.Events(class_logs, word_features.rows_of(one, two, rows), classes),
+        word_features.Events(list(zip(class_tables, pairs)), word_features.rows_of(*before, rows), classes),
         word_features.Events(
-            lambda part: log_cells[given[part]],
-            word_features.rows_of(one[in_buckets], two[in_buckets], rows, given),
+            [(log_cells, given)],
+            word_features.rows_of(*[w[in_buckets] for w in before], rows, given),
             word_features.bucket_of(hashes[in_buckets]),
         ),
     )
 
 
+def class_tables(weights: np.ndarray) -> list[np.ndarray]:
+    """Three tables by pairs of classes before, (one, two), (one, three) and (two, three) back, that add up to a context's logits."""
+    a, b = np.divmod(np.arange(CLASSES**2), CLASSES)
+    zero = np.zeros_like(a)
+
+    def logits(one, two, three, kinds) -> np.ndarray:
+        rows = feature_rows((one * CLASSES + two) * CLASSES + three)
+        return np.sum([weights[rows[:, k]] for k in kinds], axis=0, dtype=np.float32)
+
+    # Kinds in the order of feature_rows: always, one, two, three, (one, two), (one, three), (two, three).
+    return [logits(a, b, zero, (0, 1, 2, 4)), logits(a, zero, b, (3, 5)), logits(zero, a, b, (6,))]
+
+
 def _training_events(column: pa.Array, model, rows: int) -> Iterator[word_features.Events]:
     for piece in pieces(column, lower=True):
         hashes, classes, bounds = _tokens(piece)
@@ -243,7 +253,7 @@ def _score(shared):
         head_words, head_counts, singles, class_weights, cells, word_weights, base_total = shared.value
         # log10 of a smoothed count of 0 stands in for words to be joined; their true part is added later.
         head_logs = np.log10(head_counts + 0.5)
-        known_parts = (singles, class_weights, _log_cells(cells))
+        known_parts = (singles, class_tables(class_weights), _log_cells(cells))
         cell_logs = np.log10(cells)
         for batch in batches:
             for piece in pieces(batch.column(0), lower=True):
@@ -310,7 +320,7 @@ def fit(train: DataFrame, text_col: str = "text") -> Model:
     counts = learn.mapInArrow(_count_contexts(context.broadcast(singles)), "context int, class int, n long")
     counts = counts.groupBy("context", "class").agg(F.sum("n").alias("n")).repartition(PARTS, "context")
     class_weights = train_classes(stored(counts.sortWithinPartitions("context"), "contexts"))
-    parts = (singles, class_weights, _log_cells(cells))
+    parts = (singles, class_tables(class_weights), _log_cells(cells))
     word_weights = word_features.train(learn, _training_events, parts, total)
     return Model(total, distinct, words, least, head_words[order], head_counts, singles, class_weights, cells, word_weights)
 

@@ -8,7 +8,7 @@ its features. Weights start at zero, and each update moves them along the gradie
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +27,7 @@ UPDATES = 4
 #: Step along the gradient; observations that each weight has before the first (they hold rare features back); largest step.
 RATE, PRIOR, LARGEST = 0.3, 1.0, 1.5
 #: Events whose probabilities are held at once, rows of a block of the matrix, and training tokens for each task.
-CHUNK, BLOCK_ROWS, TASK_TOKENS = 1 << 15, 1 << 10, 1 << 21
+CHUNK, BLOCK_ROWS, TASK_TOKENS = 1 << 10, 1 << 10, 1 << 21
 
 
 def matrix_rows(tokens: int) -> int:
@@ -58,49 +58,55 @@ def rows_of(one: np.ndarray, two: np.ndarray, rows: int, given: np.ndarray | Non
     return [(mix(k) % np.uint64(rows)).astype(np.uint16) for k in keys]
 
 
-def log_probabilities(known: np.ndarray, features: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
-    """Events x outcomes; known: natural logarithms without the words before."""
-    logits = known.astype(np.float32, copy=True)
-    for rows in features:
-        logits += weights[rows]
-    logits -= logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
-
-
 @dataclass
 class Events:
-    """What one softmax has to foretell: known(part) has a row for each event of a slice."""
+    """What one softmax has to foretell: tables of logits and, for each of them, the row that each event takes."""
 
-    known: Callable[[slice], np.ndarray]
+    known: list[tuple[np.ndarray, np.ndarray]]
     features: list[np.ndarray]
     outcomes: np.ndarray
 
-    def chunks(self, weights: np.ndarray) -> Iterator[tuple[slice, list[np.ndarray], np.ndarray]]:
-        """Slices of the events, with the rows of their features and the log probabilities of all outcomes."""
+    def chunks(self, weights: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+        """Slices of the events, small enough for a processor's cache, and the logits of all outcomes."""
+        spare = np.empty((CHUNK, weights.shape[1]), np.float32)
+        tables = [*self.known, *[(weights, f) for f in self.features]]
         for i in range(0, len(self.outcomes), CHUNK):
             part = slice(i, min(i + CHUNK, len(self.outcomes)))
-            rows = [f[part] for f in self.features]
-            yield part, rows, log_probabilities(self.known(part), rows, weights)
+            logits = np.take(*_taken(tables[0], part), axis=0)
+            for table in tables[1:]:
+                logits += np.take(*_taken(table, part), axis=0, out=spare[: len(logits)], mode="clip")
+            yield part, logits
+
+
+def _taken(table: tuple[np.ndarray, np.ndarray], part: slice) -> tuple[np.ndarray, np.ndarray]:
+    return table[0], table[1][part]
 
 
 def chosen(events: Events, weights: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each event's outcome."""
     out = np.zeros(len(events.outcomes))
-    for part, _, logs in events.chunks(weights):
-        out[part] = logs[np.arange(len(logs)), events.outcomes[part]]
+    for part, logits in events.chunks(weights):
+        logits -= logits.max(axis=1, keepdims=True)
+        own = logits[np.arange(len(logits)), events.outcomes[part]]
+        out[part] = own - np.log(np.exp(logits, out=logits).sum(axis=1))
     return out
 
 
 def add_gradient(total: np.ndarray, mass: np.ndarray, events: Events, weights: np.ndarray) -> None:
     """Adds observed less expected outcomes to total, row by row, and the number of events to mass."""
-    for part, features, logs in events.chunks(weights):
-        error = -np.exp(logs)
+    for part, error in events.chunks(weights):
+        error -= error.max(axis=1, keepdims=True)
+        np.exp(error, out=error)
+        error *= -1 / error.sum(axis=1, keepdims=True)
         error[np.arange(len(error)), events.outcomes[part]] += 1
-        for rows in features:
+        for feature in events.features:
+            rows = feature[part]
             order = np.argsort(rows, kind="stable")
-            own, first, n = np.unique(rows[order], return_index=True, return_counts=True)
-            total[own] += np.add.reduceat(error[order], first, axis=0)
-            mass[own] += n
+            rows = rows[order]
+            first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+            own = rows[first]
+            total[own] += np.add.reduceat(np.take(error, order, axis=0), first, axis=0)
+            mass[own] += np.diff(first, append=len(rows))
 
 
 def stepped(weights: np.ndarray, total: np.ndarray, mass: np.ndarray) -> np.ndarray:

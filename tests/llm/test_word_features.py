@@ -153,7 +153,7 @@ def test_gradient_is_that_of_plain_loops():
     features = [rng.integers(0, rows, n).astype(np.uint16) for _ in range(3)]
     outcomes = rng.integers(0, word_features.WIDTH, n)
     total, mass = np.zeros(weights.shape, np.float32), np.zeros(rows)
-    word_features.add_gradient(total, mass, word_features.Events(lambda part: known[part], features, outcomes), weights)
+    word_features.add_gradient(total, mass, word_features.Events([(known, np.arange(n))], features, outcomes), weights)
     expected, often = np.zeros(weights.shape), np.zeros(rows)
     for i in range(n):
         p = np.exp(softmax([float(known[i, k]) + sum(float(weights[f[i], k]) for f in features) for k in range(word_features.WIDTH)]))
