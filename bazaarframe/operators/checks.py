@@ -146,32 +146,34 @@ def row_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def _encoded(columns: tuple[str, ...]) -> str:
-    """SQL for a text that is equal for equal keys only, NULL being a value like others."""
+    """SQL for a text that is equal for equal keys only, NULL being a value like others; a single column is its own text."""
+    if len(columns) == 1:
+        return f"cast({columns[0]} as string)"
     return "concat(" + ", ".join(f"coalesce(concat(length({c}), ':', {c}), '-')" for c in columns) + ")"
 
 
-def _marks(name: str, spec: TableSpec, own: bool, referring: dict[tuple[str, str], int], width: int) -> list[str]:
-    """SQL structs (entity, key, own, refs) that a row of the table contributes to the one grouping of all checks.
+def _marks(name: str, spec: TableSpec, own: bool, referring: dict[tuple[str, str], tuple[str, int]]) -> list[str]:
+    """SQL structs (entity, key, place) that a row of the table contributes to the one grouping of all checks, or NULL.
 
-    A row counts as owner of its key, as referrer of the keys it refers to, and once for every row rule that it breaks. For a
-    row rule the entity is the rule itself.
+    A row counts as owner of its key (place 0) and as referrer of the keys it refers to (1 and more). If it breaks row rules,
+    it counts once under them all: the entity is the table's of rules, the key has a bit for each.
     """
+    entities = {table: i for i, table in enumerate(TABLES)}
 
-    def mark(entity: str, key: str, owner: int, ref: int | None, condition: str | None = None) -> str:
-        refs = ", ".join("1L" if i == ref else "0L" for i in range(width))
-        struct = f"named_struct('entity', '{entity}', 'key', {key}, 'own', {owner}L, 'refs', array({refs}))"
+    def mark(entity: int, key: str, place: int, condition: str | None = None) -> str:
+        struct = f"named_struct('entity', {entity}, 'key', {key}, 'place', {place})"
         return f"case when {condition} then {struct} end" if condition else struct
 
     marks = []
+    if own or any(parent == name for parent, _ in referring.values()):
+        marks.append(mark(entities[name], _encoded(spec.primary_key), 0))
     if own:
-        marks.append(mark(name, _encoded(spec.primary_key), 1, None))
-        marks += [mark(f"{name}|{rule}", "cast(null as string)", 1, None, bad) for rule, bad in _row_rules(spec)]
-    elif any(parent == name for parent, _ in referring.values()):
-        marks.append(mark(name, _encoded(spec.primary_key), 1, None))
+        broken = " + ".join(f"if({bad}, {1 << i}L, 0L)" for i, (_, bad) in enumerate(_row_rules(spec)))
+        marks.append(mark(len(TABLES) + entities[name], f"cast({broken} as string)", 0, f"{broken} <> 0"))
     for fk in spec.foreign_keys:
         if (name, fk.column) in referring:
             parent, place = referring[name, fk.column]
-            marks.append(mark(parent, _encoded((fk.column,)), 0, place, f"{fk.column} is not null"))
+            marks.append(mark(entities[parent], _encoded((fk.column,)), place, f"{fk.column} is not null"))
     return marks
 
 
@@ -193,33 +195,35 @@ def constraint_violations(
     for name, spec in TABLES.items():
         for fk in spec.foreign_keys:
             if name in wanted or (incoming and fk.parent in wanted):
-                place = sum(parent == fk.parent for parent, _ in referring.values())
+                place = 1 + sum(parent == fk.parent for parent, _ in referring.values())
                 referring[name, fk.column] = (fk.parent, place)
-    width = 1 + max((place for _, place in referring.values()), default=0)
     marked, rules = [], []
     for name, spec in TABLES.items():
-        marks = _marks(name, spec, name in wanted, referring, width)
+        marks = _marks(name, spec, name in wanted, referring)
         if marks:
-            marked.append(frames[name].selectExpr(f"inline(array_compact(array({', '.join(marks)})))"))
+            marked.append(frames[name].selectExpr(f"inline(array({', '.join(marks)}))").where("place is not null"))
         if name in wanted:
             rules += [(name, rule) for rule, _ in _row_rules(spec)] + [(name, "primary key")]
     rules += [(name, f"reference {column}") for name, column in referring]
 
-    sums = [F.sum(F.col("refs")[i]).alias(f"r{i}") for i in range(width)]
-    keys = union_all(marked).groupBy("entity", "key").agg(F.sum("own").alias("own"), *sums)
-    parts = ["case when locate('|', entity) > 0 then named_struct('table_name', substring_index(entity, '|', 1),"
-             " 'rule', substring(entity, locate('|', entity) + 1), 'violations', own) end"]
-    for name in sorted(wanted):
-        parts.append(
-            f"case when entity = '{name}' and own > 1 then"
-            f" named_struct('table_name', '{name}', 'rule', 'primary key', 'violations', own - 1) end"
-        )
-    for (name, column), (parent, place) in referring.items():
-        parts.append(
-            f"case when entity = '{parent}' and own = 0 and r{place} > 0 then"
-            f" named_struct('table_name', '{name}', 'rule', 'reference {column}', 'violations', r{place}) end"
-        )
-    found = keys.selectExpr(f"inline(array_compact(array({', '.join(parts)})))")
+    refs = {place: F.count_if(F.col("place") == place).alias(f"r{place}") for _, place in sorted(referring.values())}
+    keys = union_all(marked).groupBy("entity", "key").agg(F.count_if(F.col("place") == 0).alias("own"), *refs.values())
+    parts = []
+    for i, (name, spec) in enumerate(TABLES.items()):
+        conditions = []
+        if name in wanted:
+            bits = f"entity = {len(TABLES) + i} and (try_cast(key as bigint) & {{}}L) <> 0"
+            conditions += [(name, rule, bits.format(1 << bit), "own") for bit, (rule, _) in enumerate(_row_rules(spec))]
+            conditions.append((name, "primary key", f"entity = {i} and own > 1", "own - 1"))
+        for (child, column), (parent, place) in referring.items():
+            if parent == name:
+                conditions.append((child, f"reference {column}", f"entity = {i} and own = 0 and r{place} > 0", f"r{place}"))
+        parts += [
+            f"case when {bad} then named_struct('table_name', '{table}', 'rule', '{rule}', 'violations', {n}) end"
+            for table, rule, bad, n in conditions
+        ]
+    broken = keys.where(f"entity >= {len(TABLES)} or own <> 1")  # few keys, if any
+    found = broken.selectExpr(f"inline(array({', '.join(parts)}))").where("rule is not null")
     listed = ", ".join(f"('{name}', '{rule}', 0L)" for name, rule in rules)
     none = found.sparkSession.sql(f"select * from values {listed} as (table_name, rule, violations)")
     return found.unionByName(none).groupBy("table_name", "rule").agg(F.sum("violations").alias("violations"))
