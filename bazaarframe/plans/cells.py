@@ -30,20 +30,29 @@ def sales_cells(t: Tables) -> DataFrame:
     """One row per month, state and bitmap of persons, with the sums of these persons' orders there.
 
     Orders of nobody known have a row without bitmap. All columns add up over rows, people by bitmap_or_agg.
+
+    Persons are summed up first and then brought together by cell, at most 32,768 rows each, so that a bitmap is built once:
+    tasks that each build their own of every cell would shuffle as many bitmaps as cells times tasks.
     """
     sales = metrics.active_order_metrics(t).join(person_numbers(t), "customer_unique_id", "left")
-    return sales.groupBy(
+    cell = ("month", "customer_state", "bucket")
+    by_person = sales.groupBy(
         F.trunc("order_purchase_timestamp", "MM").alias("month"),
         "customer_state",
         F.bitmap_bucket_number("person").alias("bucket"),
+        "person",
     ).agg(
-        F.when(F.count("person") > 0, F.bitmap_construct_agg(F.bitmap_bit_position("person"))).alias("people"),
         F.count("*").alias("orders"),
         F.sum("product_value").alias("product_value"),
         F.sum("freight_value").alias("freight_value"),
         F.sum("review_score").alias("score_sum"),
         F.count("review_score").alias("scored"),
     )
+    sums = by_person.schema.fields[len(cell) + 1 :]
+    return by_person.repartition(*cell).groupBy(*cell).agg(
+        F.when(F.count("person") > 0, F.bitmap_construct_agg(F.bitmap_bit_position("person"))).alias("people"),
+        *[F.sum(s.name).cast(s.dataType).alias(s.name) for s in sums],
+    )
 
 
 def merged(cells: DataFrame, *groups) -> DataFrame:

@@ -122,3 +122,28 @@ def test_table_functions(spark, model):
     every = spark.sql("select total_orders from kpis(date '1996-01-01', date '1996-12-31', null)").first()[0]
     assert every == d.dash_kpis(model, date(1996, 1, 1), date(1996, 12, 31)).first()["total_orders"]
     assert "CartesianProduct" not in plan(found)
+
+
+def test_bitmaps_are_built_once_for_each_cell(model):
+    physical = cells.sales_cells(model)._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("bitmap_construct_agg") == 2  # where the rows of a cell have met, its two halves in one stage
+    partial = next(line for line in physical.splitlines() if "partial_bitmap_construct_agg" in line)
+    above = physical[: physical.index(partial)]
+    assert "Exchange" not in above, above
+
+
+def test_rules_of_one_row_count_each_and_keys_of_two_columns_stay_apart(make_tables):
+    t = make_tables(
+        order_items=[dict(order_id="o1", order_item_id=11), dict(order_id="o11", order_item_id=1), dict(order_id="o", order_item_id=None)],
+    )
+    found = {(x["table_name"], x["rule"]): x["violations"] for x in checks.constraint_violations(t).collect() if x["violations"]}
+    assert found == {
+        ("order_items", "not null order_item_id"): 1,
+        **{("order_items", f"not null {c}"): 3 for c in ("product_id", "seller_id", "price", "freight_value")},
+        ("order_items", "reference order_id"): 3,
+    }
+
+
+def test_marks_of_all_checks_run_as_compiled_code(shop):
+    physical = checks.constraint_violations(shop)._jdf.queryExecution().executedPlan().toString()
+    assert "inline(array(" in physical and "lambdafunction" not in physical
