@@ -36,8 +36,7 @@ def coerce(df: DataFrame, spec: TableSpec) -> DataFrame:
         typed = _typed(c.name, c.type)
         message = f"concat('{spec.name}.{c.name}: not a {kind}: ', {c.name})"
         columns.append(
-            f"case when {c.name} is not null and {typed} is null then cast(raise_error({message}) as {kind})"
-            f" else {typed} end as {c.name}"
+            f"coalesce({typed}, case when {c.name} is not null then cast(raise_error({message}) as {kind}) end) as {c.name}"
         )
     return df.selectExpr(*columns)
 

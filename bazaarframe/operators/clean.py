@@ -20,6 +20,7 @@ UPPERCASE_COLUMNS = ("customer_state", "seller_state")
 
 # All Unicode white space plus the four ASCII separators 0x1C to 0x1F.
 _OUTER_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+_FIRST_SEEN, _LAST_SEEN = 33, 126  # ASCII characters that print
 
 
 def project_to_spec(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -32,6 +33,8 @@ def clean_text_columns(df: DataFrame) -> DataFrame:
     cleaned = {}
     for name in STRIPPED_COLUMNS:
         if name in df.columns:
-            text = F.regexp_replace(F.col(name).cast("string"), _OUTER_SPACE, "")
+            raw = F.col(name).cast("string")
+            tidy = F.ascii(raw).between(_FIRST_SEEN, _LAST_SEEN) & F.ascii(F.right(raw, F.lit(1))).between(_FIRST_SEEN, _LAST_SEEN)
+            text = F.when(tidy, raw).otherwise(F.regexp_replace(raw, _OUTER_SPACE, ""))
             cleaned[name] = F.upper(text) if name in UPPERCASE_COLUMNS else text
     return df.withColumns(cleaned) if cleaned else df

@@ -110,7 +110,8 @@ def scan_csv(spark: SparkSession, path: str, line_breaks: bool | None = None) ->
     per_split = lines.groupBy("file", "split").agg(
         F.count_if(F.col("value").rlike(r"[^\x00-\x20]")).alias("lines"),
         F.sum(quotes).alias("quotes"),
-        F.count_if(~F.col("value").rlike(_WHOLE_LINE)).alias("open_lines"),
+        # A line without quotes is whole.
+        F.count_if(F.contains("value", F.lit('"')) & ~F.col("value").rlike(_WHOLE_LINE)).alias("open_lines"),
     )
     per_file = per_split.groupBy("file").agg(
         *[F.sum(c).alias(c) for c in ("lines", "quotes", "open_lines")], F.count("*").alias("splits")
