@@ -29,7 +29,10 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-SHUFFLE_BYTES = 128 << 20  # wanted input per shuffle partition; adaptive execution merges small ones
+SHUFFLE_BYTES = 128 << 20  # most input per shuffle partition; adaptive execution merges small ones
+FINE_BYTES, FINE_PARTITIONS = 16 << 20, 2000  # wanted input a task, as Parquet unfolds tenfold; up to the number with exact sizes
+SCAN_BYTES = 128 << 20  # Spark's own size of scan tasks
+MERGED_BYTES = 16 << 20  # compressed shuffle data up to which partitions are merged: a task's memory holds several times as much
 MAX_SHUFFLE_PARTITIONS = 20_000
 MAX_SCAN_TASKS = 200_000
 
@@ -39,30 +42,42 @@ def partitions_for(
 ) -> tuple[int, int]:
     """(initial shuffle partitions, bytes per scan task) for an input of the given size.
 
-    A partition stands for ``shuffle_bytes`` of input until there are ``most_partitions``; beyond, partitions grow: at
-    100 TB the default of 20,000 makes them 5 GB of input each, so raise it as far as the driver can keep track of.
+    A partition stands for ``FINE_BYTES`` of input until there are ``FINE_PARTITIONS``, then for ``shuffle_bytes`` at
+    most until there are ``most_partitions``; beyond, partitions grow: at 100 TB the default of 20,000 makes them 5 GB of
+    input each, so raise it as far as the driver can keep track of.
     """
-    shuffle = min(max(input_bytes // shuffle_bytes, 1), most_partitions)
-    return shuffle, max(128 << 20, input_bytes // MAX_SCAN_TASKS)
+    fine = min(input_bytes // min(FINE_BYTES, shuffle_bytes), FINE_PARTITIONS)
+    shuffle = min(max(input_bytes // shuffle_bytes, fine, 1), most_partitions)
+    return shuffle, max(SCAN_BYTES, input_bytes // MAX_SCAN_TASKS)
 
 
 def size_for(
     spark: SparkSession, folder: str, shuffle_bytes: int = SHUFFLE_BYTES, most_partitions: int = MAX_SHUFFLE_PARTITIONS
 ) -> SparkSession:
-    """Size shuffles and scan tasks for the data under a folder, never below the session's setting.
+    """Size shuffles and scan tasks for the data under a folder, never below what the session was set to.
+
+    Scan tasks of Spark's own size become smaller where the input allows it: one that groups its rows by keys that hardly
+    repeat, before they are shuffled, holds all of them.
 
     Adaptive execution can merge small shuffle partitions but not divide evenly large ones, so the
     initial number has to fit the input; see partitions_for.
     """
-    shuffle, scan_bytes = partitions_for(folder_bytes(spark, folder), shuffle_bytes, most_partitions)
+    input_bytes = folder_bytes(spark, folder)
+    shuffle, scan_bytes = partitions_for(input_bytes, shuffle_bytes, most_partitions)
+    if scan_bytes == SCAN_BYTES:
+        scan_bytes = min(max(FINE_BYTES, input_bytes // FINE_PARTITIONS), SCAN_BYTES)
     first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     now = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(first, None) or 0))
     require_exact_sizes(spark, max(shuffle, now))
     if shuffle > now:
         spark.conf.set(first, str(shuffle))
+    as_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     scan = "spark.sql.files.maxPartitionBytes"
-    if scan_bytes > spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(scan)):
+    if scan_bytes > as_bytes(spark.conf.get(scan)) or as_bytes(spark.conf.get(scan)) == SCAN_BYTES:
         spark.conf.set(scan, str(scan_bytes))
+    merged = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if MERGED_BYTES < as_bytes(spark.conf.get(merged, None) or "64m"):
+        spark.conf.set(merged, str(MERGED_BYTES))
     return spark
 
 
