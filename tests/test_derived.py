@@ -106,3 +106,11 @@ def test_a_failed_build_leaves_nothing_behind(spark, good, root, monkeypatch):
         snapshot.replace_table(spark, root, "order_payments", good.order_payments.limit(0), rebuild=True)
     assert (snapshot.current_paths(spark, root), snapshot.derived_paths(spark, root)) == before
     assert len(files.glob(spark, f"{root}/order_payments/*")) == 1
+
+
+def test_the_loadable_orders_are_found_once_for_all_that_refer_to_them(spark):
+    from bazaarframe.sources.testdata import load_loadable_model
+
+    t = load_loadable_model(spark, "/root/testdata/sf0.001")
+    for name in ("orders", "order_items", "order_payments", "order_reviews"):
+        assert not any("customer.parquet" in file for file in getattr(t, name).inputFiles()), name
