@@ -248,6 +248,14 @@ def _log_cells(cells: np.ndarray) -> np.ndarray:
     return np.log(cells / cells.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
+def _places(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """searchsorted of hashes in sorted words; asked in order, neighbouring searches end in the same part of the words."""
+    order = np.argsort(hashes)
+    places = np.empty(len(hashes), np.intp)
+    places[order] = np.searchsorted(words, hashes[order])
+    return places
+
+
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head_words, head_counts, singles, class_weights, cells, word_weights, base_total = shared.value
@@ -259,7 +267,7 @@ def _score(shared):
             for piece in pieces(batch.column(0), lower=True):
                 hashes, classes, bounds = _tokens(piece)
                 classes = _classes(hashes, classes, singles)
-                at = np.minimum(np.searchsorted(head_words, hashes), max(len(head_words) - 1, 0))
+                at = np.minimum(_places(head_words, hashes), max(len(head_words) - 1, 0))
                 known = head_words[at] == hashes if len(head_words) else np.zeros(len(hashes), bool)
                 logs = np.where(known, head_logs[at], 0.0) if len(head_words) else np.zeros(len(hashes))
                 of_class, of_bucket = _events(hashes, classes, bounds, known_parts, len(word_weights))

@@ -28,6 +28,8 @@ UPDATES = 4
 RATE, PRIOR, LARGEST = 0.3, 1.0, 1.5
 #: Events whose probabilities are held at once, rows of a block of the matrix, and training tokens for each task.
 CHUNK, BLOCK_ROWS, TASK_TOKENS = 1 << 10, 1 << 10, 1 << 21
+#: Events of one row of the matrix up to which they are added up together with those of other rows, not row by row.
+FEW = 8
 
 
 def matrix_rows(tokens: int) -> int:
@@ -52,10 +54,11 @@ def words_before(hashes: np.ndarray, bounds: np.ndarray, end: np.uint64) -> tupl
 
 
 def rows_of(one: np.ndarray, two: np.ndarray, rows: int, given: np.ndarray | None = None) -> list[np.ndarray]:
-    """Rows of the matrix for each event's features; given: the class, for events that choose a bucket."""
+    """Rows of the matrix for each event's features; given: the class, for events that choose a bucket; rows: a power of two."""
     salt = np.uint64(0) if given is None else (given.astype(np.uint64) + np.uint64(1)) << np.uint64(8)
-    keys = [mix(one) ^ salt ^ np.uint64(1), mix(two) ^ salt ^ np.uint64(2), fold(mix(one), two) ^ salt ^ np.uint64(3)]
-    return [(mix(k) % np.uint64(rows)).astype(np.uint16) for k in keys]
+    mixed = mix(one)
+    keys = [mixed ^ salt ^ np.uint64(1), mix(two) ^ salt ^ np.uint64(2), fold(mixed, two) ^ salt ^ np.uint64(3)]
+    return [(mix(k) & np.uint64(rows - 1)).astype(np.uint16) for k in keys]
 
 
 @dataclass
@@ -82,31 +85,69 @@ def _taken(table: tuple[np.ndarray, np.ndarray], part: slice) -> tuple[np.ndarra
     return table[0], table[1][part]
 
 
+def largest(logits: np.ndarray) -> np.ndarray:
+    """The largest logit of each event, as a column; among columns laid out as rows it is found many events at a time."""
+    return np.ascontiguousarray(logits.T).max(axis=0)[:, None]
+
+
 def chosen(events: Events, weights: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each event's outcome."""
     out = np.zeros(len(events.outcomes))
     for part, logits in events.chunks(weights):
-        logits -= logits.max(axis=1, keepdims=True)
+        logits -= largest(logits)
         own = logits[np.arange(len(logits)), events.outcomes[part]]
         out[part] = own - np.log(np.exp(logits, out=logits).sum(axis=1))
     return out
 
 
+def row_sums(error: np.ndarray, features: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each feature its distinct rows, the events of each, and the sums of these events' errors.
+
+    Most rows of a chunk have one event or a few, for which ``reduceat`` costs a call for each row and outcome. These rows are
+    taken all at once instead: the first event of each, the second of those that have one, and so on, added up
+    in the order of ``reduceat``, the first to the sum of the others, so that not a bit differs.
+    """
+    orders = [np.argsort(rows, kind="stable") for rows in features]
+    order, ranked = np.concatenate(orders), np.concatenate([rows[o] for rows, o in zip(features, orders)])
+    begins = np.ones(len(order), bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=begins[1:])
+    begins[:: len(error)] = True  # where a feature ends, so does its last row
+    first = np.flatnonzero(begins)
+    n = np.empty_like(first)
+    np.subtract(first[1:], first[:-1], out=n[:-1])
+    n[-1] = len(order) - first[-1]
+    sums = np.take(error, order[first], axis=0)
+    several = np.flatnonzero((n > 1) & (n <= FEW))
+    if len(several):
+        several = several[np.argsort(-n[several])]
+        at, others = first[several], n[several]
+        rest = np.take(error, order[at + 1], axis=0)
+        for k in range(2, others[0]):
+            more = np.count_nonzero(others > k)  # so many have an event of this place, and stand in front
+            rest[:more] += np.take(error, order[at[:more] + k], axis=0)
+        sums[several] += rest
+    many = n > FEW
+    if many.any():
+        events = order[np.repeat(many, n)]
+        starts = np.cumsum(n[many]) - n[many]
+        sums[many] = np.add.reduceat(np.take(error, events, axis=0), starts, axis=0)
+    cuts = [0, *np.searchsorted(first, len(error) * np.arange(1, len(features))), len(first)]
+    own = ranked[first].astype(np.intp)
+    for i, j in zip(cuts[:-1], cuts[1:]):
+        yield own[i:j], n[i:j], sums[i:j]
+
+
 def add_gradient(total: np.ndarray, mass: np.ndarray, events: Events, weights: np.ndarray) -> None:
     """Adds observed less expected outcomes to total, row by row, and the number of events to mass."""
     for part, error in events.chunks(weights):
-        error -= error.max(axis=1, keepdims=True)
+        error -= largest(error)
         np.exp(error, out=error)
         error *= -1 / error.sum(axis=1, keepdims=True)
         error[np.arange(len(error)), events.outcomes[part]] += 1
-        for feature in events.features:
-            rows = feature[part]
-            order = np.argsort(rows, kind="stable")
-            rows = rows[order]
-            first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-            own = rows[first]
-            total[own] += np.add.reduceat(np.take(error, order, axis=0), first, axis=0)
-            mass[own] += np.diff(first, append=len(rows))
+        for own, n, sums in row_sums(error, [f[part] for f in events.features]):
+            sums += np.take(total, own, axis=0)
+            total[own] = sums
+            mass[own] += n
 
 
 def stepped(weights: np.ndarray, total: np.ndarray, mass: np.ndarray) -> np.ndarray:
