@@ -81,15 +81,21 @@ def _classes(hashes: np.ndarray, classes: np.ndarray, singles: np.ndarray) -> np
     return classes
 
 
-def _contexts(classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The three classes before each token as one number; before a text stands its end."""
-    context = np.zeros(len(classes), np.int64)
+def _classes_before(classes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """The classes one, two and three tokens before each token; before a text stands its end."""
     place = np.arange(len(classes)) - np.repeat(bounds[:-1], np.diff(bounds))
+    found = []
     for back in (1, 2, 3):
         before = np.full(len(classes), END_CLASS)
         before[back:] = classes[:-back] if back < len(classes) else classes[:0]
-        context = context * CLASSES + np.where(place >= back, before, END_CLASS)
-    return context
+        found.append(np.where(place >= back, before, END_CLASS))
+    return found
+
+
+def _contexts(classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The three classes before each token as one number."""
+    one, two, three = _classes_before(classes, bounds)
+    return (one * CLASSES + two) * CLASSES + three
 
 
 def _count_contexts(shared):
@@ -210,16 +216,16 @@ def _events(hashes, classes, bounds, model, rows: int) -> tuple[word_features.Ev
     """The choices of classes, one for each token, and of buckets, one for each token that has one."""
     singles, class_tables, log_cells = model
     before = word_features.words_before(hashes, bounds, END)
-    contexts = _contexts(classes, bounds)
-    one, two, three = contexts // CLASSES**2, contexts // CLASSES % CLASSES, contexts % CLASSES
+    keys = word_features.keys_of(*before)
+    one, two, three = _classes_before(classes, bounds)
     pairs = (one * CLASSES + two, one * CLASSES + three, two * CLASSES + three)
-    in_buckets = _in_buckets(classes, singles)
+    in_buckets = np.flatnonzero(_in_buckets(classes, singles))
     given = classes[in_buckets]
     return (
-        word_features.Events(list(zip(class_tables, pairs)), word_features.rows_of(*before, rows), classes),
+        word_features.Events(list(zip(class_tables, pairs)), word_features.rows_of_keys(keys, rows), classes),
         word_features.Events(
             [(log_cells, given)],
-            word_features.rows_of(*[w[in_buckets] for w in before], rows, given),
+            word_features.rows_of_keys([k[in_buckets] for k in keys], rows, given),
             word_features.bucket_of(hashes[in_buckets]),
         ),
     )

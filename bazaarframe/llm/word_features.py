@@ -53,12 +53,21 @@ def words_before(hashes: np.ndarray, bounds: np.ndarray, end: np.uint64) -> tupl
     return one, two
 
 
-def rows_of(one: np.ndarray, two: np.ndarray, rows: int, given: np.ndarray | None = None) -> list[np.ndarray]:
+def keys_of(one: np.ndarray, two: np.ndarray) -> list[np.ndarray]:
+    """Keys of each event's features, the same for classes and for buckets: the word before, the one before that, and both."""
+    mixed = mix(one)
+    return [mixed, mix(two), fold(mixed, two)]
+
+
+def rows_of_keys(keys: list[np.ndarray], rows: int, given: np.ndarray | None = None) -> list[np.ndarray]:
     """Rows of the matrix for each event's features; given: the class, for events that choose a bucket; rows: a power of two."""
     salt = np.uint64(0) if given is None else (given.astype(np.uint64) + np.uint64(1)) << np.uint64(8)
-    mixed = mix(one)
-    keys = [mixed ^ salt ^ np.uint64(1), mix(two) ^ salt ^ np.uint64(2), fold(mixed, two) ^ salt ^ np.uint64(3)]
-    return [(mix(k) & np.uint64(rows - 1)).astype(np.uint16) for k in keys]
+    return [(mix(k ^ (salt ^ np.uint64(i))) & np.uint64(rows - 1)).astype(np.uint16) for i, k in enumerate(keys, 1)]
+
+
+def rows_of(one: np.ndarray, two: np.ndarray, rows: int, given: np.ndarray | None = None) -> list[np.ndarray]:
+    """Rows of the matrix for events after the words one and two back."""
+    return rows_of_keys(keys_of(one, two), rows, given)
 
 
 @dataclass
@@ -85,18 +94,30 @@ def _taken(table: tuple[np.ndarray, np.ndarray], part: slice) -> tuple[np.ndarra
     return table[0], table[1][part]
 
 
-def largest(logits: np.ndarray) -> np.ndarray:
-    """The largest logit of each event, as a column; among columns laid out as rows it is found many events at a time."""
-    return np.ascontiguousarray(logits.T).max(axis=0)[:, None]
+def less_largest(logits: np.ndarray) -> np.ndarray:
+    """Logits of events x outcomes less the event's largest, as outcomes x events: so numpy takes many events at a time."""
+    logits = np.ascontiguousarray(logits.T)
+    logits -= logits.max(axis=0)
+    return logits
+
+
+def sum_of_outcomes(powers: np.ndarray) -> np.ndarray:
+    """Sums of outcomes x events, in the order in which numpy adds up a row of events x outcomes: by eights, then pairs."""
+    sums = powers[0:8] + powers[8:16]
+    for i in range(16, len(powers), 8):
+        sums += powers[i : i + 8]
+    while len(sums) > 1:
+        sums = sums[0::2] + sums[1::2]
+    return sums[0]
 
 
 def chosen(events: Events, weights: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each event's outcome."""
     out = np.zeros(len(events.outcomes))
     for part, logits in events.chunks(weights):
-        logits -= largest(logits)
-        own = logits[np.arange(len(logits)), events.outcomes[part]]
-        out[part] = own - np.log(np.exp(logits, out=logits).sum(axis=1))
+        logits = less_largest(logits)
+        own = logits[events.outcomes[part], np.arange(logits.shape[1])]
+        out[part] = own - np.log(sum_of_outcomes(np.exp(logits, out=logits)))
     return out
 
 
@@ -140,9 +161,10 @@ def row_sums(error: np.ndarray, features: list[np.ndarray]) -> Iterator[tuple[np
 def add_gradient(total: np.ndarray, mass: np.ndarray, events: Events, weights: np.ndarray) -> None:
     """Adds observed less expected outcomes to total, row by row, and the number of events to mass."""
     for part, error in events.chunks(weights):
-        error -= largest(error)
-        np.exp(error, out=error)
-        error *= -1 / error.sum(axis=1, keepdims=True)
+        powers = less_largest(error)
+        np.exp(powers, out=powers)
+        powers *= -1 / sum_of_outcomes(powers)
+        error = np.ascontiguousarray(powers.T)
         error[np.arange(len(error)), events.outcomes[part]] += 1
         for own, n, sums in row_sums(error, [f[part] for f in events.features]):
             sums += np.take(total, own, axis=0)

@@ -31,9 +31,12 @@ _MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every input bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def fold(x: np.ndarray, y: np.ndarray) -> np.ndarray:

@@ -164,6 +164,16 @@ def test_gradient_is_that_of_plain_loops():
     assert np.allclose(total, expected, atol=1e-3) and (mass == often).all()
 
 
+def test_softmax_on_columns_is_that_on_rows_to_the_bit():
+    rng = np.random.default_rng(6)
+    for n in (1, 5, word_features.CHUNK):
+        logits = (rng.normal(size=(n, word_features.WIDTH)) * 9).astype(np.float32)
+        rows = logits - logits.max(axis=1, keepdims=True)
+        columns = word_features.less_largest(logits)
+        assert np.array_equal(columns.T, rows)
+        assert np.array_equal(word_features.sum_of_outcomes(np.exp(columns)), np.exp(rows).sum(axis=1))
+
+
 def test_row_sums_are_those_of_reduceat_to_the_bit_in_less_time():
     rng = np.random.default_rng(4)
     n = word_features.CHUNK
