@@ -118,10 +118,20 @@ def pieces(column: pa.Array, lower: bool) -> Iterator[Piece]:
         first = last
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """LOWER[data] by arithmetic on bytes, of which a processor does many at a time."""
+    return data + ((data - np.uint8(65) < 26).view(np.uint8) << 5)
+
+
+def in_words(data: np.ndarray) -> np.ndarray:
+    """~SPACES[data] by arithmetic on bytes."""
+    return (data != 0x20) & (data - np.uint8(9) > 4)
+
+
 def _piece(data: np.ndarray, offsets: np.ndarray, first: int, last: int, lower: bool) -> Piece:
     if lower:
-        data = LOWER[data]
-    inside = ~SPACES[data]
+        data = lowered(data)
+    inside = in_words(data)
     begins, closes = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]

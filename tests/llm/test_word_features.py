@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from bazaarframe.llm import maxent_lm, word_features
-from bazaarframe.llm.words import pieces
+from bazaarframe.llm.words import LOWER, SPACES, in_words, lowered, pieces
 
 END = int(maxent_lm.END)
 
@@ -164,6 +164,13 @@ def test_gradient_is_that_of_plain_loops():
     assert np.allclose(total, expected, atol=1e-3) and (mass == often).all()
 
 
+def test_bytes_by_arithmetic_are_those_of_the_tables():
+    data = np.arange(256, dtype=np.uint8)
+    assert lowered(data).dtype == np.uint8 and np.array_equal(lowered(data), LOWER)
+    assert np.array_equal(in_words(data), ~SPACES)
+    assert not len(lowered(data[:0])) and not len(in_words(data[:0]))
+
+
 def test_softmax_on_columns_is_that_on_rows_to_the_bit():
     rng = np.random.default_rng(6)
     for n in (1, 5, word_features.CHUNK):
