@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from bazaarframe.operators.checks import check_columns, constraint_violations, require_valid, union_all
 from bazaarframe.operators.clean import clean_text_columns, project_to_spec
 from bazaarframe.schema import TABLES, TableSpec
-from bazaarframe.session import size_for, tune
+from bazaarframe.session import shuffles_dropped, size_for, tune
 from bazaarframe.sources.csv_source import find_csv, scan_csv, scan_csv_table
 from bazaarframe.sources.snapshot import open_snapshot, publish_snapshot, replace_table, row_counts, write_table
 
@@ -90,7 +90,8 @@ def refusals(
     for name, spec in TABLES.items():
         scan = scan_csv_table(spark, raw_dir, spec, names, (line_breaks or {}).get(name))
         path = f"{folder.rstrip('/')}/{name}"
-        write_table(prepare(scan.frame(), spec), path, name)
+        with shuffles_dropped(spark):
+            write_table(prepare(scan.frame(), spec), path, name)
         stored[name] = spark.read.schema(spec.struct).parquet(path)
     return constraint_violations(stored).where("violations > 0")
 

@@ -11,14 +11,14 @@ from bazaarframe.session import new_folder
 _PLACE_BITS = 33  # monotonically_increasing_id: the place in the partition, below the partition's number
 
 
-def numbered(df: DataFrame, column: str, *order: str) -> DataFrame:
+def numbered(df: DataFrame, column: str, *order: str, folder: str | None = None) -> DataFrame:
     """The rows with numbers 1, 2, 3, ... in the order of the given columns.
 
-    The sorted rows are written once to the shared folder, with their place in their partition; a partition's first
-    number is one more than the rows of the partitions before it, one row per partition.
+    The sorted rows are written once to the folder, by default one in the shared folder, with their place in their partition; a
+    partition's first number is one more than the rows of the partitions before it, one row per partition.
     """
     spark = df.sparkSession
-    path = new_folder(spark, "numbered")
+    path = folder or new_folder(spark, "numbered")
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
     rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_at", _PLACE_BITS))

@@ -15,7 +15,7 @@ from bazaarframe.plans import metrics
 from bazaarframe.tables import Tables
 
 
-def person_numbers(t: Tables) -> DataFrame:
+def person_numbers(t: Tables, folder: str | None = None) -> DataFrame:
     """(customer_unique_id, person): a dense number for everyone with an active order."""
     people = (
         metrics.active_order_metrics(t)
@@ -23,18 +23,18 @@ def person_numbers(t: Tables) -> DataFrame:
         .groupBy("customer_unique_id")
         .agg(F.min("customer_state").alias("home"), F.min("order_purchase_timestamp").alias("since"))
     )
-    return numbered(people, "person", "home", "since", "customer_unique_id").select("customer_unique_id", "person")
+    return numbered(people, "person", "home", "since", "customer_unique_id", folder=folder).select("customer_unique_id", "person")
 
 
-def sales_cells(t: Tables) -> DataFrame:
-    """One row per month, state and bitmap of persons, with the sums of these persons' orders there.
+def sales_cells(t: Tables, folder: str | None = None) -> DataFrame:
+    """One row per month, state and bitmap of persons, with the sums of these persons' orders there; the numbers go to the folder.
 
     Orders of nobody known have a row without bitmap. All columns add up over rows, people by bitmap_or_agg.
 
     Persons are summed up first and then brought together by cell, at most 32,768 rows each, so that a bitmap is built once:
     tasks that each build their own of every cell would shuffle as many bitmaps as cells times tasks.
     """
-    sales = metrics.active_order_metrics(t).join(person_numbers(t), "customer_unique_id", "left")
+    sales = metrics.active_order_metrics(t).join(person_numbers(t, folder), "customer_unique_id", "left")
     cell = ("month", "customer_state", "bucket")
     by_person = sales.groupBy(
         F.trunc("order_purchase_timestamp", "MM").alias("month"),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -101,6 +103,21 @@ def local_session(cores: int | str = "*", name: str = "bazaarframe", **conf: str
     return tune(spark)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query that starts in here go when it ends, not when the driver comes to collect its garbage.
+
+    For queries that run once: a DataFrame that is asked again would shuffle again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach: the cluster's checkpoint directory, or a local one in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

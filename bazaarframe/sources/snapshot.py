@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarframe.operators.checks import constraint_violations, key_changes, orphaned_by, union_all
-from bazaarframe.plans.derived import DERIVED, write_derived
+from bazaarframe.plans.derived import COMPRESSION, DERIVED, write_derived
 from bazaarframe.schema import TABLES
+from bazaarframe.session import shuffles_dropped
 from bazaarframe.sources import files
 from bazaarframe.tables import Tables
 
@@ -83,7 +84,7 @@ def write_table(df: DataFrame, path: str, name: str, mode: str = "errorifexists"
     if name in STORED_BY:
         df = df.repartitionByRange(*STORED_BY[name]).sortWithinPartitions(*STORED_BY[name])
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path, compression=COMPRESSION)
     return seen.get["rows"]
 
 
@@ -129,17 +130,30 @@ def verify_counts(frames: dict[str, DataFrame], expected: dict[str, int]) -> dic
     return actual
 
 
-def _require(violations: DataFrame) -> None:
-    """Raise if any rule (table_name, rule, violations) is violated."""
-    broken = violations.where("violations > 0").collect()
+def _require(*violations: DataFrame) -> None:
+    """Raise if any rule (table_name, rule, violations) is violated, with the broken ones of all frames."""
+    broken = [row for rules in violations for row in rules.where("violations > 0").collect()]
     if broken:
         found = "; ".join(f"{r['table_name']}: {r['rule']} ({r['violations']} rows)" for r in broken)
         raise ValueError(f"constraints violated: {found}")
 
 
+def _check_groups() -> list[list[str]]:
+    """All tables, in the groups that are checked one after another, so that only one group's keys are shuffled to disk at once.
+
+    The small ones and those that others refer to come together; of the others each for itself.
+    """
+    parents = {fk.parent for spec in TABLES.values() for fk in spec.foreign_keys}
+    alone = [name for name, spec in TABLES.items() if spec.foreign_keys and name not in parents]
+    return [[name for name in TABLES if name not in alone], *[[name] for name in alone]]
+
+
 def _require_constraints(frames: dict[str, DataFrame], names: list[str], changes: DataFrame | None = None) -> None:
     """Check the named tables with the others; with the key changes of the only one, dependants meet the removed keys alone."""
-    _require(constraint_violations(frames, names, incoming=changes is None))
+    if set(names) == set(TABLES):  # every reference starts from one of them
+        _require(*[constraint_violations(frames, group, incoming=False) for group in _check_groups()])
+    else:
+        _require(constraint_violations(frames, names, incoming=changes is None))
     if changes is not None and not changes.where("change = 'removed'").isEmpty():
         orphans = orphaned_by(changes, frames, names[0])
         rule = F.concat(F.lit("reference "), F.col("column_name")).alias("rule")
@@ -254,7 +268,8 @@ def publish_snapshot(
     missing = [name for name in TABLES if name not in frames]
     if missing:
         raise ValueError(f"a full snapshot needs all tables, missing {missing}")
-    return _publish(spark, root, {name: frames[name] for name in TABLES}, expected or {}, derived)
+    with shuffles_dropped(spark):
+        return _publish(spark, root, {name: frames[name] for name in TABLES}, expected or {}, derived)
 
 
 def _to_rebuild(spark: SparkSession, root: str, rebuild: bool) -> tuple[str, ...]:
@@ -273,7 +288,8 @@ def replace_table(
     """
     current_paths(spark, root)  # there must be a snapshot
     expected = {} if expected_rows is None else {name: expected_rows}
-    return _publish(spark, root, {name: df}, expected, _to_rebuild(spark, root, rebuild), by_difference=True)
+    with shuffles_dropped(spark):
+        return _publish(spark, root, {name: df}, expected, _to_rebuild(spark, root, rebuild), by_difference=True)
 
 
 def last_changes(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -298,4 +314,5 @@ def derive(spark: SparkSession, root: str, *names: str) -> str:
     if unknown:
         raise ValueError(f"no such derived table: {unknown}; known are {sorted(DERIVED)}")
     current_paths(spark, root)
-    return _publish(spark, root, {}, {}, names or tuple(DERIVED))
+    with shuffles_dropped(spark):
+        return _publish(spark, root, {}, {}, names or tuple(DERIVED))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from bazaarframe.operators.joins import unique_join
 from bazaarframe.schema import TABLES
-from bazaarframe.session import new_folder
+from bazaarframe.session import new_folder, shuffles_dropped
 from bazaarframe.tables import Tables
 
 # Columns read from each test table; naming them spares a schema-inference job per read.
@@ -200,16 +200,18 @@ def load_model(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(**{name: getattr(source, name) for name in TABLES})
 
 
-def load_loadable_model(spark: SparkSession, sf_dir: str) -> Tables:
+def load_loadable_model(spark: SparkSession, sf_dir: str, folder: str | None = None) -> Tables:
     """The clean model as a load accepts it: no broken reference, and items of one order with numbers of their own.
 
     Orders without customer go, with all that refers to them; an item number that an order repeats is raised by a thousand
-    each time. The orders that stay are written once to the shared folder, for the three tables that refer to them.
+    each time. The orders that stay are written once to the folder, by default one in the shared folder, for the three tables that
+    refer to them.
     """
     t = load_model(spark, sf_dir)
     orders = t.orders.join(t.customers.select("customer_id"), "customer_id", "left_semi").select(t.orders.columns)
-    folder = new_folder(spark, "orders")
-    orders.write.parquet(folder)
+    folder = folder or new_folder(spark, "orders")
+    with shuffles_dropped(spark):
+        orders.write.parquet(folder)
     orders = spark.read.schema(orders.schema).parquet(folder)
     known = orders.select("order_id")
     again = Window.partitionBy("order_id", "order_item_id").orderBy("product_id", "seller_id", "price", "freight_value")

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from bazaarframe import load
 from bazaarframe.plans import metrics
-from bazaarframe.session import new_folder, size_for, tune
-from bazaarframe.sources import snapshot
+from bazaarframe.session import new_folder, shuffles_dropped, size_for, tune
+from bazaarframe.sources import files, snapshot
 from bazaarframe.sources.testdata import load_dirty_model, load_loadable_model, load_model
 from bazaarframe.tables import Tables
 
@@ -16,6 +16,9 @@ from bazaarframe.tables import Tables
 LINE_BREAKS = {"orders": False, "order_items": False, "order_payments": False}
 
 _WRITTEN = {"quote": '"', "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+#: Text takes a fraction of its room when compressed. Such files are read whole by a task, so they come in parts of so many rows.
+_COMPRESSED = "gzip"
+_PART_ROWS = 1_000_000
 
 
 def write_raw(t: Tables, folder: str, **changed: DataFrame) -> str:
@@ -27,10 +30,15 @@ def write_raw(t: Tables, folder: str, **changed: DataFrame) -> str:
             comment = F.concat(F.lit('first "line" of '), "order_id", F.lit("\nsecond, and last"))
             df = df.select("review_id", comment.alias("review_comment_message"), *df.columns[1:])
         text = [F.col(c).cast("string").alias(c) for c in df.columns]
-        df.select(*text).write.csv(f"{folder}/{name}.csv", header=True, **_WRITTEN)
+        _write_csv(df.select(*text), f"{folder}/{name}.csv")
     return folder
 
 
+def _write_csv(df: DataFrame, path: str) -> None:
+    with shuffles_dropped(df.sparkSession):
+        df.write.option("maxRecordsPerFile", _PART_ROWS).csv(path, header=True, compression=_COMPRESSED, **_WRITTEN)
+
+
 def _sized(spark: SparkSession, sf_dir: str) -> SparkSession:
     return size_for(tune(spark), sf_dir)
 
@@ -43,8 +51,9 @@ def loaded(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _loads:
         folder = new_folder(_sized(spark, sf_dir), "load")
-        t = load_loadable_model(spark, sf_dir)
+        t = load_loadable_model(spark, sf_dir, f"{folder}/orders")
         raw = write_raw(t, f"{folder}/raw", customers=load_dirty_model(spark, sf_dir).customers)
+        files.delete(spark, f"{folder}/orders")
         load.run_load(spark, raw, f"{folder}/store", line_breaks=LINE_BREAKS, derived=("order_metrics", "sales_cells"))
         _loads[key] = raw, f"{folder}/store"
     return _loads[key]
@@ -114,11 +123,12 @@ def _later_customers(t: Tables) -> DataFrame:
 def load_reload_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers reloaded from a later file: the keys that it adds and changes."""
     folder = new_folder(_sized(spark, sf_dir), "reload")
-    t = load_loadable_model(spark, sf_dir)
+    t = load_loadable_model(spark, sf_dir, f"{folder}/orders")
     root = f"{folder}/store"
     snapshot.publish_snapshot(spark, root, t)
+    files.delete(spark, f"{folder}/orders")
     later = _later_customers(t).select("customer_id", F.lit("01000").alias("customer_zip_code_prefix"), *t.customers.columns[1:])
-    later.write.csv(f"{folder}/raw/customers.csv", header=True, **_WRITTEN)
+    _write_csv(later, f"{folder}/raw/customers.csv")
     load.reload_customers(spark, f"{folder}/raw", root)
     return snapshot.last_changes(spark, root)["customers"]
 
