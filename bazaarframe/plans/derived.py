@@ -34,7 +34,7 @@ DERIVED = {
     # Files cover ranges of purchase time, so a filtered period skips most of them.
     "order_metrics": Derived(
         ("customers", "orders", "order_items", "order_payments", "order_reviews"),
-        lambda t, _: metrics.order_metrics(t),
+        metrics.order_metrics,
         ("order_purchase_timestamp", "order_id"),
     ),
     "sales_cells": Derived(
@@ -59,6 +59,7 @@ def write_derived(t: Tables, name: str, path: str) -> None:
         with shuffles_dropped(spark):
             built = spec.build(t.without_derived().with_derived(**others), f"{folder}/meanwhile")
             built.write.parquet(f"{folder}/built", compression=COMPRESSION)
+            files.delete(spark, f"{folder}/meanwhile")
             rows = spark.read.schema(built.schema).parquet(f"{folder}/built")
             rows.repartitionByRange(*spec.stored_by).sortWithinPartitions(*spec.stored_by).write.parquet(path, compression=COMPRESSION)
     finally:

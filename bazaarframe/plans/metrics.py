@@ -26,8 +26,25 @@ def _or_zero(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(0).cast("decimal(22,2)")).alias(column)
 
 
-def order_metrics(t: Tables) -> DataFrame:
-    """One row per order that has a customer: its place, status, times, amounts and score."""
+PLACED_COLUMNS = (
+    "order_id",
+    "customer_id",
+    "customer_unique_id",
+    "customer_city",
+    "customer_state",
+    "order_status",
+    "order_purchase_timestamp",
+    "order_delivered_customer_date",
+    "order_estimated_delivery_date",
+)
+
+
+def order_metrics(t: Tables, folder: str | None = None) -> DataFrame:
+    """One row per order that has a customer: its place, status, times, amounts and score.
+
+    With a folder, the orders with their customers are written there first: the shuffles that bring them together are gone when
+    the amounts come.
+    """
     if "order_metrics" in t.derived:
         return t.derived["order_metrics"]
     items = t.order_items.groupBy("order_id").agg(
@@ -40,22 +57,17 @@ def order_metrics(t: Tables) -> DataFrame:
 
     # Customers first: the exchange on order_id that follows lets adaptive execution split a hot
     # customer_id, and all three left joins then reuse that one partitioning.
-    placed = unique_join(t.orders, t.customers, "customer_id")
+    placed = unique_join(t.orders, t.customers, "customer_id").select(*PLACED_COLUMNS)
+    if folder:
+        placed.write.parquet(folder, compression="zstd")
+        placed = placed.sparkSession.read.schema(placed.schema).parquet(folder)
     late = F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date")
     return (
         placed.join(items, "order_id", "left")
         .join(payments, "order_id", "left")
         .join(reviews, "order_id", "left")
         .select(
-            "order_id",
-            "customer_id",
-            "customer_unique_id",
-            "customer_city",
-            "customer_state",
-            "order_status",
-            "order_purchase_timestamp",
-            "order_delivered_customer_date",
-            "order_estimated_delivery_date",
+            *PLACED_COLUMNS,
             F.coalesce(F.col("items_count"), F.lit(0).cast("bigint")).alias("items_count"),
             _or_zero("product_value"),
             _or_zero("freight_value"),
